@@ -16,13 +16,15 @@ BROADCAST_BYTES = 8 * 1024 * 1024
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure whether a frame is small enough to broadcast; reads at most ``max_rows + 1`` rows."""
-    head = df.limit(max_rows + 1)
+    """Measure whether a frame is small enough to broadcast.
+
+    Counts rows and bytes of the columns concerned on the executors; one row comes back.
+    """
     width = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns],
     )
-    measured = head.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
     return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
 
 
