@@ -11,9 +11,9 @@ _RANK = "_latest_rank"
 
 
 def row_tiebreak(df: DataFrame, exclude: Sequence[str] = ()) -> list[Column]:
-    """A total order over the remaining columns: row hash first, then the columns themselves."""
+    """A reproducible order among rows that tie: the hash of their remaining columns."""
     rest = [c for c in df.columns if c not in exclude]
-    return [F.xxhash64(*rest), *[F.col(c) for c in rest]] if rest else []
+    return [F.xxhash64(*rest)] if rest else []
 
 
 def latest_per_key(
@@ -24,8 +24,8 @@ def latest_per_key(
 ) -> DataFrame:
     """Keep the row with the greatest ``order`` per key.
 
-    Rows that tie on ``order`` are decided by ``tiebreak`` (default: all other columns), so
-    the result does not depend on how rows were distributed. ``row_number() = 1`` is planned
+    Rows that tie on ``order`` are decided by ``tiebreak`` (default: a hash of all other
+    columns), so the result does not depend on how rows were distributed. ``row_number() = 1`` is planned
     with a per-task limit ahead of the shuffle: a key holding a third of all rows sends one
     row per task.
     """

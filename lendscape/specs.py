@@ -35,6 +35,7 @@ class TableSpec:
     sentinels: Mapping[str, Any] = field(default_factory=dict)
     masked: tuple[str, ...] = ()
     only: Mapping[str, Any] = field(default_factory=dict)
+    cluster_by: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -129,6 +130,7 @@ BUREAU_BALANCE = TableSpec(
     upsert_keys=("SK_ID_BUREAU",),
     keep=("SK_ID_BUREAU", "STATUS"),
     only={"MONTHS_BALANCE": 0},
+    cluster_by=("MONTHS_BALANCE",),
 )
 
 PREVIOUS_APPLICATION = TableSpec(
