@@ -16,6 +16,20 @@ from lendscape.functions import bracket, percent, safe_ratio
 
 ALL = "ALL"
 
+# Amounts are added up in whole ten-thousandths: a sum of doubles depends on the order in which
+# tasks deliver, so a repeated run would not give the same total.
+UNITS = 10_000
+
+
+def in_units(amount: Column | str) -> Column:
+    """An amount as an exact number of units."""
+    value = F.col(amount) if isinstance(amount, str) else amount
+    return F.rint(value * F.lit(float(UNITS))).cast("long").cast("decimal(19,0)")
+
+
+def from_units(units: Column) -> Column:
+    return units.cast("double") / F.lit(float(UNITS))
+
 
 def _sum_back(names: Sequence[str]) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
@@ -59,14 +73,15 @@ def segment_default_rates(
 
 
 def average_credit(fact: DataFrame, by: Sequence[str], amount: str = "amt_credit") -> DataFrame:
-    return fact.groupBy(*by).agg(F.avg(amount).alias("avg_credit_amount"))
+    total = from_units(F.sum(in_units(amount)))
+    return fact.groupBy(*by).agg(safe_ratio(total, F.count(amount)).alias("avg_credit_amount"))
 
 
 def exposure(
     fact: DataFrame, by: Sequence[str] = ("sk_id_curr",), amount: str = "amt_credit_sum"
 ) -> DataFrame:
     """Total bureau credit per applicant."""
-    return fact.groupBy(*by).agg(F.sum(amount).alias("bureau_exposure"))
+    return fact.groupBy(*by).agg(from_units(F.sum(in_units(amount))).alias("bureau_exposure"))
 
 
 def overdue_rate(
@@ -233,7 +248,7 @@ def risk_summary(
     fine = loans.groupBy(loan_type).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("target_flag") == 1).alias("bad"),
-        F.sum("amt_credit").alias("credit"),
+        F.sum(in_units("amt_credit")).alias("credit"),
         F.count("amt_credit").alias("credit_n"),
         F.sum("income_to_credit_ratio").alias("ratio"),
         F.count("income_to_credit_ratio").alias("ratio_n"),
@@ -247,19 +262,19 @@ def risk_summary(
         F.when(F.col("_level") == 1, F.lit(ALL)).otherwise(F.col(loan_type)),
         {
             "default_rate_pct": percent(F.col("bad"), F.col("n")),
-            "avg_credit_amount": safe_ratio("credit", "credit_n"),
+            "avg_credit_amount": safe_ratio(from_units(F.col("credit")), "credit_n"),
             "income_to_credit_ratio": safe_ratio("ratio", "ratio_n"),
         },
     )
     bureau_rows = long_form(
         bureau.groupBy(applicant)
         .agg(
-            F.sum("amt_credit_sum").alias("exposure"),
+            F.sum(in_units("amt_credit_sum")).alias("exposure"),
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("credit_day_overdue") > 0).alias("overdue"),
         )
         .agg(
-            F.avg("exposure").alias("exposure"),
+            safe_ratio(from_units(F.sum("exposure")), F.count("exposure")).alias("exposure"),
             F.sum("n").alias("n"),
             F.sum("overdue").alias("overdue"),
         ),

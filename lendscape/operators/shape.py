@@ -46,13 +46,14 @@ def conform(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> DataFrame
 
 def stamp(
     df: DataFrame,
-    run_ts: datetime,
+    run_ts: datetime | Column,
     ingestion_date: Date,
     batch_id: str | None = None,
     env: str | None = None,
 ) -> DataFrame:
     """Lineage columns from the caller's run time, so a re-run writes identical rows."""
-    columns = {"ingestion_ts": F.lit(run_ts), "ingestion_date": F.lit(ingestion_date)}
+    moment = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    columns = {"ingestion_ts": moment, "ingestion_date": F.lit(ingestion_date)}
     if batch_id is not None:
         columns["batch_id"] = F.lit(batch_id)
     if env is not None:

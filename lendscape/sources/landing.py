@@ -78,10 +78,9 @@ def read_source(
     original text in ``raw``.
     """
     if path is None:
-        columns = [*spec.schema.fields, *spec.bronze_schema.fields[-4:]]
-        return spark.createDataFrame(
-            [], T.StructType([f for f in columns if f.name not in ("batch_id", "env")])
-        )
+        lineage = ("source_file", "reasons", "raw")
+        empty = [*spec.schema, *[f for f in spec.bronze_schema if f.name in lineage]]
+        return spark.createDataFrame([], T.StructType(empty))
     text = read_text_columns(spark, path)
     data = [c for c in text.columns if c not in (_CORRUPT, _FILE)]
     cleaned = {c: _blank_to_null(F.col(c), null_tokens) for c in data}
@@ -146,7 +145,7 @@ def ingest(
     )
     # Clustering inside each file makes row-group statistics selective for later filters; the
     # partitioned write sorts by zone anyway.
-    clustered = observed.sortWithinPartitions(ZONE, *[c for c in spec.cluster_by])
+    clustered = observed.sortWithinPartitions(ZONE, *spec.cluster_by)
     write_run(clustered, f"{bronze}/{spec.name}", DAY, ingestion_date.isoformat(), [ZONE])
     counts = seen.get
     result = IngestResult(spec.name, counts["clean"] or 0, counts["quarantine"] or 0)
