@@ -11,6 +11,7 @@ import json
 import os
 import re
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -58,6 +59,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-"))
 
     def once(name: str) -> float:
         start = time.perf_counter()

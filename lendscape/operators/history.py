@@ -78,7 +78,7 @@ def scd2_step(
     opened = F.when(
         is_seen & (~is_held | changed), version("_seen", start, F.nullif(start, start))
     )
-    return both.select(F.inline(F.array_compact(F.array(standing, opened))))
+    return both.select(F.inline(F.array(standing, opened))).filter(F.col(VALID_FROM).isNotNull())
 
 
 def scd2_apply(

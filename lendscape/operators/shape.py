@@ -68,7 +68,8 @@ def sample_first(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 def broken_rules(rules: Mapping[str, Column]) -> Column:
     """Names of the rules a row breaks; a rule that evaluates to NULL is not broken."""
-    return F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
+    named = [F.when(rule, F.lit(name)) for name, rule in rules.items()]
+    return F.array_except(F.array(*named), F.array(F.lit(None).cast("string")))
 
 
 def flag_broken(df: DataFrame, rules: Mapping[str, Column], column: str = "reasons") -> DataFrame:

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame | None,
+    source: DataFrame,
+    keys: Sequence[str],
+    few_keys: bool = False,
+) -> DataFrame:
     """Source rows replace target rows with the same key; other target rows stay.
 
     * No target yet: the source as it is.
@@ -17,6 +22,7 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) ->
       join key, so the check adds no shuffle of its own.
     * NULL keys match nothing and are inserted, as in SQL MERGE.
     * Both sides must have the same columns.
+    * ``few_keys`` says the caller has measured the source's keys to fit in memory.
     """
     if target is None:
         return source
@@ -32,6 +38,8 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) ->
         )
         .drop("_n")
     )
+    if few_keys:
+        incoming = F.broadcast(incoming)
     kept = target.join(incoming, list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(source)
 

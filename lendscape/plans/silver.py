@@ -30,19 +30,20 @@ def clean(
     salt: str | None = None,
     tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Row filter, kept columns, sentinels to NULL, masking, then latest row per key.
+    """Row filter, kept columns, latest row per key, sentinels to NULL, then masking.
 
-    Sentinels go first so that no digest of one is ever stored.
+    Sentinels become NULL before masking, so that no digest of one is ever stored. Masking
+    follows deduplication: the wide digests are neither shuffled nor computed for rows that
+    are dropped. Ties are decided on the landed values.
     """
     rows = bronze
     for column, value in spec.only.items():
         rows = rows.filter(F.col(column) == F.lit(value))
     rows = select_existing(rows, spec.silver_columns)
-    rows = null_sentinels(rows, spec.sentinels)
-    rows = mask_columns(rows, spec.masked, salt=salt)
     if spec.dedup_keys:
         rows = latest_per_key(rows, spec.dedup_keys, "ingestion_ts", tiebreak)
-    return rows
+    rows = null_sentinels(rows, spec.sentinels)
+    return mask_columns(rows, spec.masked, salt=salt)
 
 
 def run_silver(

@@ -26,6 +26,7 @@ from lendscape.operators.history import (
 from lendscape.operators.latest import latest_per_key
 from lendscape.operators.upsert import upsert
 from lendscape.plans import gold, silver, suites
+from lendscape.sources.store import settle
 from lendscape.specs import (
     APPLICATION,
     BUREAU,
@@ -59,8 +60,25 @@ def query(sql: str | None = None):
     return add
 
 
+# Columns of the given tables; naming them saves a footer-reading job per scan.
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def moment(text: str) -> Column:
@@ -290,24 +308,24 @@ def bronze_application(spark, sf):
     )
 
 
-_APPLICATION_TIES = ("AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH_MASKED", "DAYS_EMPLOYED_MASKED")
+_APPLICATION_TIES = ("AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "DAYS_EMPLOYED")
 
 
 @query(
     """
-    WITH masked AS (
+    WITH landed AS (
       SELECT l_orderkey AS SK_ID_CURR,
              cast(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS bigint) AS TARGET,
              l_linestatus AS NAME_CONTRACT_TYPE, l_extendedprice AS AMT_CREDIT,
              l_quantity AS AMT_ANNUITY, nullif(l_returnflag, 'N') AS ORGANIZATION_TYPE,
              l_shipdate AS ingestion_ts, cast(l_shipdate AS date) AS ingestion_date,
-             sha256(cast(-l_partkey AS varchar)) AS DAYS_BIRTH_MASKED,
-             CASE WHEN l_linenumber <> 4 THEN sha256(cast(-l_suppkey AS varchar)) END
-               AS DAYS_EMPLOYED_MASKED
+             -l_partkey AS birth,
+             CASE WHEN l_linenumber = 4 THEN 365243 ELSE -l_suppkey END AS employed
       FROM lineitem)
-    SELECT * EXCLUDE (rn) FROM (
-      SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY ingestion_ts DESC, AMT_CREDIT,
-        AMT_ANNUITY, DAYS_BIRTH_MASKED, DAYS_EMPLOYED_MASKED NULLS FIRST) AS rn FROM masked)
+    SELECT * EXCLUDE (rn, birth, employed), sha256(cast(birth AS varchar)) AS DAYS_BIRTH_MASKED,
+           sha256(cast(nullif(employed, 365243) AS varchar)) AS DAYS_EMPLOYED_MASKED
+    FROM (SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY ingestion_ts DESC,
+            AMT_CREDIT, AMT_ANNUITY, birth, employed) AS rn FROM landed)
     WHERE rn = 1
     """
 )
@@ -876,12 +894,14 @@ _FACT_LOAN = """
     FROM app LEFT JOIN dim ON sk_id_curr = applicant_id AND is_current"""
 
 
+def _loan_fact(spark, sf, applicants):
+    app = stg_application(spark, sf)
+    return gold.fact_loan_application(app, applicants, gold.dim_loan_type(app, moment(RUN_TS)))
+
+
 @query(_WITH_APPLICANTS + _FACT_LOAN)
 def fact_loan_application(spark, sf):
-    app = stg_application(spark, sf)
-    return gold.fact_loan_application(
-        app, dim_applicant(spark, sf), gold.dim_loan_type(app, moment(RUN_TS))
-    )
+    return _loan_fact(spark, sf, dim_applicant(spark, sf))
 
 
 _STATUS_VALUES = ", ".join(f"('{code}', '{text}')" for code, text in CREDIT_STATUSES)
@@ -916,16 +936,20 @@ _BUREAU_LANDED = {
 }
 
 
-@query(_WITH_APPLICANTS + _FACT_BUREAU)
-def fact_bureau_credit(spark, sf):
+def _bureau_fact(spark, sf, applicants):
     return gold.fact_bureau_credit(
         stg_bureau(spark, sf),
         gold.stg_bureau_balance(silver_bureau_balance(spark, sf)),
-        dim_applicant(spark, sf),
+        applicants,
         gold.dim_credit_status(spark, moment(RUN_TS)),
     )
 
 
+@query(_WITH_APPLICANTS + _FACT_BUREAU)
+def fact_bureau_credit(spark, sf):
+    return _bureau_fact(spark, sf, dim_applicant(spark, sf))
+
+
 _FACT_PAYMENT = f"""
     SELECT md5(concat(cast(SK_ID_PREV AS varchar), '|',
                       cast(cast(NUM_INSTALMENT_NUMBER AS bigint) AS varchar))) AS payment_sk,
@@ -1138,13 +1162,14 @@ def credit_histogram(spark, sf):
     """
 )
 def kpi_summary(spark, sf):
+    dim = settle(dim_applicant(spark, sf))
     loans = gold.loan_star(
-        fact_loan_application(spark, sf),
-        dim_applicant(spark, sf),
+        _loan_fact(spark, sf, dim),
+        dim,
         gold.dim_loan_type(stg_application(spark, sf), moment(RUN_TS)),
     )
     summary = kpi.risk_summary(
-        loans, fact_bureau_credit(spark, sf), fact_installment_payment(spark, sf)
+        loans, _bureau_fact(spark, sf, dim), fact_installment_payment(spark, sf)
     )
     # Ratios have no exact unit to be summed in.
     return summary.withColumn(
@@ -1168,9 +1193,9 @@ def kpi_summary(spark, sf):
     """
 )
 def kpi_by_applicant_segment(spark, sf):
-    dim = dim_applicant(spark, sf)
+    dim = settle(dim_applicant(spark, sf))
     loans = lookup.lookup_current(
-        fact_loan_application(spark, sf),
+        _loan_fact(spark, sf, dim),
         dim,
         "applicant_sk",
         "applicant_sk",
@@ -1440,10 +1465,11 @@ def dq_relationships(spark, sf):
 )
 def dq_loan_fact(spark, sf):
     """The loan fact's own suite; applications without a contract type fail it."""
-    loans, dim = fact_loan_application(spark, sf), dim_applicant(spark, sf)
+    dim = settle(dim_applicant(spark, sf))
+    loans = settle(_loan_fact(spark, sf, dim))
     marts = {
         "fact_loan_application": loans,
-        "fact_bureau_credit": fact_bureau_credit(spark, sf),
+        "fact_bureau_credit": _bureau_fact(spark, sf, dim),
         "dim_applicant": dim,
         "dim_loan_type": gold.dim_loan_type(stg_application(spark, sf), moment(RUN_TS)),
         "dim_credit_status": gold.dim_credit_status(spark, moment(RUN_TS)),

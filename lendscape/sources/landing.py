@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscape.operators.shape import flag_broken, stamp
+from lendscape.operators.shape import broken_rules, flag_broken, stamp
 from lendscape.sources.store import exists, latest_run, write_run
 from lendscape.specs import TableSpec
 
@@ -94,9 +94,7 @@ def read_source(
     staged = text.select(
         *[typed[c].alias(c) for c in data],
         _FILE,
-        F.array_compact(
-            F.array(*[F.when(bad, F.lit(name)) for name, bad in checks.items()])
-        ).alias("_parse"),
+        broken_rules(checks).alias("_parse"),
         original.alias("_original"),
     )
     row_rules = {f"NULL_KEY:{spec.primary_key}": F.col(spec.primary_key).isNull(), **(rules or {})}

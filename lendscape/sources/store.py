@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscape.operators.history import VALID_FROM, VALID_TO, open_versions, scd2_step
+from lendscape.operators.lookup import fits_broadcast
 from lendscape.operators.upsert import upsert
 
 SNAPSHOT = "snapshot"
@@ -22,6 +23,10 @@ RUN = "run"
 STATE = "state"
 OPEN, CLOSED = "open", "closed"
 
+# Most incoming keys an upsert may broadcast.
+UPSERT_ROWS = 500_000
+UPSERT_BYTES = 32 * 1024 * 1024
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, on whatever file system its scheme names."""
@@ -79,11 +84,13 @@ def publish_upsert(
     """Store the previous snapshot with the source merged in as this label's snapshot.
 
     Repeating a label starts from the snapshot before it, so it is idempotent even for rows
-    with NULL keys.
+    with NULL keys. When the incoming keys are measured to be few, the stored table is filtered
+    where it lies instead of being shuffled.
     """
     base = latest_run(spark, root, SNAPSHOT, before=label)
     target = None if base is None else read_run(spark, root, SNAPSHOT, base)
-    write_run(upsert(target, source, keys), root, SNAPSHOT, label)
+    small = fits_broadcast(source.select(*keys), UPSERT_ROWS, UPSERT_BYTES)
+    write_run(upsert(target, source, keys, small), root, SNAPSHOT, label)
 
 
 def run_label(run_ts: datetime) -> str:
@@ -132,6 +139,17 @@ def read_history(spark: SparkSession, root: str, as_of: datetime | None = None)
     return stored.filter(wanted).drop(RUN, STATE)
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Store a frame with several consumers once, where the session names a checkpoint folder.
+
+    That folder is on shared storage, so the rows outlive any executor. Without one the frame
+    stays lazy and is computed per consumer.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        return df
+    return df.checkpoint(eager=True)
+
+
 def materialise(
     df: DataFrame,
     name: str,
@@ -174,5 +192,6 @@ __all__ = [
     "register",
     "run_label",
     "run_labels",
+    "settle",
     "write_run",
 ]
