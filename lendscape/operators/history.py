@@ -17,6 +17,11 @@ from lendscape.functions import surrogate_key
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 
+# A log is cut along its order column into stretches of about this many rows; the cut points
+# are found on a grid of at most this many slots.
+ROWS_PER_CHUNK = 1_000_000
+CHUNK_SLOTS = 100_000
+
 
 def open_versions(source: DataFrame, run_ts: datetime | Column) -> DataFrame:
     """First load: every source row opens a version."""
@@ -104,25 +109,24 @@ def scd2_from_log(
     check_cols: Sequence[str],
     tiebreak: Sequence[str] = (),
     carry: Sequence[str] = (),
-    chunk: Column | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """History from a change log in one pass over each key's rows in order.
 
     Rows repeating the state before them are dropped, the others become versions ending where
     the next one begins.
 
-    No key is handled as a whole: rows are windowed per (key, chunk), by default per day of
-    the order column, and only one summary row per chunk is windowed per key to carry state
-    across chunk borders. A key with a third of the log is thereby spread over its days.
-    ``chunk`` must not decrease as ``order`` grows.
+    No key is handled as a whole: the log is cut along ``order`` into chunks of even size, rows
+    are windowed per (key, chunk), and only one summary row per chunk is windowed per key to
+    carry state across the cuts. A key with a third of the log is thereby spread over a third
+    of all rows' worth of chunks.
     """
-    piece = chunk if chunk is not None else F.col(order).cast("date")
     state = F.struct(*check_cols)
     within = Window.partitionBy(key, "_chunk").orderBy(order, *tiebreak)
 
+    needed = log.select(key, order, *_fresh([*tiebreak, *check_cols, *carry], (key, order)))
     staged = (
-        log.select(key, order, *_fresh([*tiebreak, *check_cols, *carry], (key, order)))
-        .withColumn("_chunk", piece)
+        even_chunks(needed, order, rows_per_chunk)
         .withColumn("_before", F.lag(state).over(within))
         .withColumn("_place", F.row_number().over(within))
     )
@@ -167,6 +171,63 @@ def scd2_from_log(
     )
 
 
+def even_chunks(
+    df: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK, alias: str = "_chunk"
+) -> DataFrame:
+    """Number the rows by stretches of about equal size along ``order``.
+
+    Numbers do not decrease as ``order`` grows; NULLs come first. Rows are counted on a grid
+    over the value range and neighbouring slots joined up to the wanted size. The grid is
+    bounded by ``CHUNK_SLOTS`` rows, hence may be numbered in one task and broadcast. One row
+    of statistics comes to the driver; a small log stays a single chunk.
+    """
+    place = _position(df, order)
+    stats = df.agg(
+        F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("n")
+    ).first()
+    pieces = min(stats["n"] // rows_per_chunk, CHUNK_SLOTS)
+    if pieces <= 1 or stats["lo"] == stats["hi"]:
+        return df.withColumn(alias, F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    density = CHUNK_SLOTS / (stats["hi"] - stats["lo"] + 1.0)
+    slot = F.floor((place - F.lit(stats["lo"])) * F.lit(density))
+    ahead = Window.partitionBy(F.lit(0)).orderBy("_slot").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    grid = (
+        df.filter(F.col(order).isNotNull())
+        .groupBy(slot.alias("_slot"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(
+            "_slot",
+            F.floor(F.coalesce(F.sum("_n").over(ahead), F.lit(0)) * pieces / stats["n"]).alias(
+                alias
+            ),
+        )
+    )
+    return (
+        df.withColumn("_slot", slot)
+        .join(F.broadcast(grid), "_slot", "left")
+        .withColumn(alias, F.coalesce(alias, F.lit(-1)))
+        .drop("_slot")
+    )
+
+
+def _position(df: DataFrame, order: str) -> Column:
+    """Order column as a number; coarser is fine as long as it never decreases."""
+    c, kind = F.col(order), df.schema[order].dataType.typeName()
+    if kind == "date":
+        number = F.unix_date(c)
+    elif kind == "timestamp":
+        number = F.unix_seconds(c)
+    elif kind == "timestamp_ntz":
+        # Taken apart rather than converted: local times may not exist in the session's zone.
+        clock = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+        number = F.unix_date(c.cast("date")).cast("long") * 86_400 + clock
+    else:
+        number = c
+    return number.cast("double")
+
+
 def scd2_present(history: DataFrame, key: str, sk: str) -> DataFrame:
     """Dimension view of a history: surrogate key, start and end dates, current flag."""
     attributes = [c for c in history.columns if c not in (key, VALID_FROM, VALID_TO)]
