@@ -24,6 +24,14 @@ def business_rules(spec: TableSpec) -> dict[str, Column]:
     }
 
 
+def wanted_rows(spec: TableSpec, bronze: DataFrame) -> DataFrame:
+    """Rows the table keeps at all, e.g. the most recent month of a balance."""
+    rows = bronze
+    for column, value in spec.only.items():
+        rows = rows.filter(F.col(column) == F.lit(value))
+    return rows
+
+
 def clean(
     spec: TableSpec,
     bronze: DataFrame,
@@ -36,10 +44,7 @@ def clean(
     follows deduplication: the wide digests are neither shuffled nor computed for rows that
     are dropped. Ties are decided on the landed values.
     """
-    rows = bronze
-    for column, value in spec.only.items():
-        rows = rows.filter(F.col(column) == F.lit(value))
-    rows = select_existing(rows, spec.silver_columns)
+    rows = select_existing(wanted_rows(spec, bronze), spec.silver_columns)
     if spec.dedup_keys:
         rows = latest_per_key(rows, spec.dedup_keys, "ingestion_ts", tiebreak)
     rows = null_sentinels(rows, spec.sentinels)
@@ -64,7 +69,8 @@ def run_silver(
     rows = clean(spec, landed, salt)
     root, label = f"{silver}/{spec.silver_name}", ingestion_date.isoformat()
     if spec.upsert_keys:
-        store.publish_upsert(spark, root, rows, spec.upsert_keys, label)
+        landed_keys = wanted_rows(spec, landed)
+        store.publish_upsert(spark, root, rows, spec.upsert_keys, label, landed_keys)
     else:
         store.write_run(rows.drop(landing.DAY), root, landing.DAY, label)
     return True

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from lendscape.operators.history import (
 from lendscape.operators.latest import latest_per_key
 from lendscape.operators.upsert import upsert
 from lendscape.plans import gold, silver, suites
+from lendscape.sources import landing, store
 from lendscape.sources.store import settle
 from lendscape.specs import (
     APPLICATION,
@@ -38,6 +40,7 @@ from lendscape.specs import (
     POS_CASH,
     PREVIOUS_APPLICATION,
     TRACKED_ATTRIBUTES,
+    TableSpec,
 )
 
 
@@ -99,6 +102,7 @@ def _exact_sum(amount: str) -> str:
 
 RUN_TS = "2026-05-12 00:00:00"
 RUN_TS_SQL = f"TIMESTAMP '{RUN_TS}'"
+_DAYS = (datetime(2026, 5, 12), datetime(2026, 5, 13))
 FIRST_SNAPSHOT, SECOND_SNAPSHOT = "1998-07-01 00:00:00", "2002-01-01 00:00:00"
 
 
@@ -159,8 +163,6 @@ def mask_salted(spark, sf):
     "'b1' AS batch_id, 'dev' AS env FROM orders"
 )
 def metadata_stamp(spark, sf):
-    from datetime import date
-
     orders = table(spark, sf, "orders").select("o_orderkey")
     return shape.stamp(orders, moment(RUN_TS), date(2026, 5, 12), "b1", "dev")
 
@@ -240,6 +242,120 @@ def quarantine_counts(spark, sf):
     )
 
 
+# --- Landing and storage --------------------------------------------------------------------
+
+
+_LANDED_CUSTOMER = TableSpec(
+    name="customer",
+    files=("customer_sample.csv", "customer.csv"),
+    columns={
+        "c_custkey": "long",
+        "c_name": "string",
+        "c_nationkey": "long",
+        "c_acctbal": "double",
+        "c_mktsegment": "string",
+    },
+    primary_key="c_custkey",
+    silver_name="customer",
+)
+
+
+def _land_customers(spark, sf) -> tuple[str, landing.IngestResult]:
+    """Export customers as CSV, without the key in nation 3 and with a broken balance in nation 5."""
+    folder = store.scratch(spark)
+    broken = F.when(F.col("c_nationkey") == 5, F.lit("n/a"))
+    exported = table(spark, sf, "customer").select(
+        F.when(F.col("c_nationkey") != 3, F.col("c_custkey")).alias("c_custkey"),
+        F.coalesce(broken, F.col("c_acctbal").cast("string")).alias("c_acctbal"),
+        "c_mktsegment",
+        "c_name",
+        "c_nationkey",
+    )
+    exported.write.option("header", True).csv(f"{folder}/in/customer.csv")
+    result = landing.ingest(
+        spark, _LANDED_CUSTOMER, f"{folder}/in", f"{folder}/bronze", _DAYS[0].date(), _DAYS[0]
+    )
+    return f"{folder}/bronze", result
+
+
+@query(
+    "SELECT c_custkey, c_name, cast(c_nationkey AS bigint) AS c_nationkey, c_acctbal, c_mktsegment, "
+    "DATE '2026-05-12' AS ingestion_date FROM customer WHERE c_nationkey NOT IN (3, 5)"
+)
+def landed_clean(spark, sf):
+    bronze, _ = _land_customers(spark, sf)
+    day = landing.read_day(spark, bronze, _LANDED_CUSTOMER, _DAYS[0].date())
+    return shape.select_existing(day, [*_LANDED_CUSTOMER.columns, "ingestion_date"])
+
+
+@query(
+    "SELECT c_name, CASE c_nationkey WHEN 3 THEN 'NULL_KEY:c_custkey' ELSE 'BAD_VALUE:c_acctbal' END "
+    "AS reasons, true AS has_text FROM customer WHERE c_nationkey IN (3, 5)"
+)
+def landed_quarantine(spark, sf):
+    bronze, _ = _land_customers(spark, sf)
+    bad = landing.read_day(
+        spark, bronze, _LANDED_CUSTOMER, _DAYS[0].date(), landing.QUARANTINE
+    )
+    return bad.select(
+        "c_name",
+        F.array_join("reasons", ",").alias("reasons"),
+        F.col("raw").contains(F.col("c_name")).alias("has_text"),
+    )
+
+
+@query(
+    "SELECT 'customer' AS table_name, count(*) FILTER (WHERE c_nationkey NOT IN (3, 5)) AS rows_written, "
+    "count(*) FILTER (WHERE c_nationkey IN (3, 5)) AS quarantine_rows, count(*) AS rows_read "
+    "FROM customer"
+)
+def landed_counts(spark, sf):
+    _, result = _land_customers(spark, sf)
+    return spark.createDataFrame(
+        [(result.table, result.rows_written, result.quarantine_rows, result.rows_read)],
+        "table_name string, rows_written long, quarantine_rows long, rows_read long",
+    )
+
+
+@query(
+    """
+    WITH first AS (SELECT * FROM orders WHERE o_orderstatus <> 'O'),
+         second AS (SELECT * REPLACE (o_totalprice + 100 AS o_totalprice) FROM orders
+                    WHERE o_orderstatus <> 'F')
+    SELECT * FROM first WHERE o_orderkey NOT IN (SELECT o_orderkey FROM second)
+    UNION ALL SELECT * FROM second
+    """
+)
+def stored_upsert(spark, sf):
+    """Two days published one after the other, the second one twice."""
+    root = f"{store.scratch(spark)}/orders"
+    orders = table(spark, sf, "orders")
+    first = orders.filter(F.col("o_orderstatus") != "O")
+    second = orders.filter(F.col("o_orderstatus") != "F").withColumn(
+        "o_totalprice", F.col("o_totalprice") + 100
+    )
+    store.publish_upsert(spark, root, first, ["o_orderkey"], "2026-05-12")
+    for _ in range(2):
+        store.publish_upsert(spark, root, second, ["o_orderkey"], "2026-05-13")
+    return store.read_latest(spark, root)
+
+
+@query(
+    "SELECT *, cast(o_orderdate AS date) AS ingestion_date FROM orders "
+    "WHERE o_orderdate >= TIMESTAMP '1998-01-01'"
+)
+def stored_day_replaced(spark, sf):
+    """A keyless table: each day is one directory, and landing a day again replaces it."""
+    root = f"{store.scratch(spark)}/orders"
+    orders = table(spark, sf, "orders").withColumn(
+        "ingestion_date", F.col("o_orderdate").cast("date")
+    )
+    store.write_run(orders, root, "load", "2026-05-12")
+    recent = orders.filter(F.col("o_orderdate") >= moment("1998-01-01 00:00:00"))
+    store.write_run(recent, root, "load", "2026-05-12")
+    return store.read_run(spark, root, "load", "2026-05-12")
+
+
 # --- Latest per key -------------------------------------------------------------------------
 
 
@@ -673,6 +789,28 @@ def scd2_two_snapshots(spark, sf):
     return _two_snapshots(spark, sf)
 
 
+@query(
+    _two_snapshots_sql(False)
+    .replace(f"'{FIRST_SNAPSHOT}' AS valid_from", "'2026-05-12 00:00:00' AS valid_from")
+    .replace(f"'{SECOND_SNAPSHOT}'", "'2026-05-13 00:00:00'")
+)
+def stored_history(spark, sf):
+    """The same two snapshots published as runs of a stored history, the second one twice."""
+    root = f"{store.scratch(spark)}/history"
+    for after, at in ((False, _DAYS[0]), (True, _DAYS[1]), (True, _DAYS[1])):
+        store.publish_history(
+            spark,
+            root,
+            _customer_state(spark, sf, after),
+            "applicant_id",
+            ["o_orderpriority", "o_orderstatus"],
+            at,
+        )
+    return store.read_history(spark, root).withColumns(
+        {c: F.col(c).cast("string").cast("timestamp_ntz") for c in ("valid_from", "valid_to")}
+    )
+
+
 @query(_two_snapshots_sql(True))
 def scd2_close_deleted(spark, sf):
     return _two_snapshots(spark, sf, close_deleted=True)

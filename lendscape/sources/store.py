@@ -7,6 +7,8 @@ counts once Spark has put its ``_SUCCESS`` marker there.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -79,18 +81,28 @@ def read_latest(spark: SparkSession, root: str, column: str = SNAPSHOT) -> DataF
 
 
 def publish_upsert(
-    spark: SparkSession, root: str, source: DataFrame, keys: Sequence[str], label: str
+    spark: SparkSession,
+    root: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    label: str,
+    measure: DataFrame | None = None,
 ) -> None:
     """Store the previous snapshot with the source merged in as this label's snapshot.
 
     Repeating a label starts from the snapshot before it, so it is idempotent even for rows
     with NULL keys. When the incoming keys are measured to be few, the stored table is filtered
-    where it lies instead of being shuffled.
+    where it lies instead of being shuffled. ``measure`` is a cheaper frame known to hold at
+    least the source's keys, such as the landed rows before deduplication.
     """
     base = latest_run(spark, root, SNAPSHOT, before=label)
-    target = None if base is None else read_run(spark, root, SNAPSHOT, base)
-    small = fits_broadcast(source.select(*keys), UPSERT_ROWS, UPSERT_BYTES)
-    write_run(upsert(target, source, keys, small), root, SNAPSHOT, label)
+    if base is None:
+        write_run(upsert(None, source, keys), root, SNAPSHOT, label)
+        return
+    incoming = (source if measure is None else measure).select(*keys)
+    few = fits_broadcast(incoming, UPSERT_ROWS, UPSERT_BYTES)
+    target = read_run(spark, root, SNAPSHOT, base)
+    write_run(upsert(target, source, keys, few), root, SNAPSHOT, label)
 
 
 def run_label(run_ts: datetime) -> str:
@@ -139,6 +151,19 @@ def read_history(spark: SparkSession, root: str, as_of: datetime | None = None)
     return stored.filter(wanted).drop(RUN, STATE)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the session's checkpoint folder, which is on shared storage.
+
+    Only a local session, as in tests, may do without one.
+    """
+    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if shared is not None:
+        return f"{shared}/scratch-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder on shared storage")
+    return tempfile.mkdtemp(prefix="scratch-")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Store a frame with several consumers once, where the session names a checkpoint folder.
 
@@ -192,6 +217,7 @@ __all__ = [
     "register",
     "run_label",
     "run_labels",
+    "scratch",
     "settle",
     "write_run",
 ]

@@ -41,3 +41,17 @@ def differences(df, con, sql):
     return (
         f"{len(got)} vs {len(want)} rows; only Spark {list(a - b)[:2]}; only SQL {list(b - a)[:2]}"
     )
+
+
+def loose_type(name):
+    """Engine-independent type family."""
+    name = name.lower()
+    for family, words in {
+        "int": ("bigint", "int", "integer", "smallint"),
+        "float": ("double", "float"),
+        "text": ("string", "varchar"),
+        "time": ("timestamp", "timestamp_ntz"),
+    }.items():
+        if name in words:
+            return family
+    return name

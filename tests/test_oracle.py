@@ -1,7 +1,7 @@
 """Every registered query against DuckDB, on whole tables."""
 
 import pytest
-from compare import differences, oracle
+from compare import differences, loose_type, oracle
 
 from lendscape.registry import QUERIES
 
@@ -20,3 +20,11 @@ def sf_dir():
 def test_same_rows_as_sql(spark, con, sf_dir, name):
     q = QUERIES[name]
     assert differences(q.run(spark, sf_dir), con, q.sql) is None
+
+
+@pytest.mark.parametrize("name", sorted(n for n, q in QUERIES.items() if q.sql))
+def test_same_types_as_sql(spark, con, sf_dir, name):
+    q = QUERIES[name]
+    got = {c: loose_type(t) for c, t in q.run(spark, sf_dir).dtypes}
+    expected = con.sql(q.sql)
+    assert got == {c: loose_type(str(t)) for c, t in zip(expected.columns, expected.types)}
