@@ -289,8 +289,8 @@ def landed_clean(spark, sf):
 
 
 @query(
-    "SELECT c_name, CASE c_nationkey WHEN 3 THEN 'NULL_KEY:c_custkey' ELSE 'BAD_VALUE:c_acctbal' END "
-    "AS reasons, true AS has_text FROM customer WHERE c_nationkey IN (3, 5)"
+    "SELECT c_name, CASE c_nationkey WHEN 3 THEN 'NULL_KEY:c_custkey' ELSE 'MALFORMED_ROW' END "
+    "AS reasons, c_nationkey = 5 AS has_text FROM customer WHERE c_nationkey IN (3, 5)"
 )
 def landed_quarantine(spark, sf):
     bronze, _ = _land_customers(spark, sf)
@@ -300,7 +300,7 @@ def landed_quarantine(spark, sf):
     return bad.select(
         "c_name",
         F.array_join("reasons", ",").alias("reasons"),
-        F.col("raw").contains(F.col("c_name")).alias("has_text"),
+        F.coalesce(F.col("raw").contains(F.col("c_name")), F.lit(False)).alias("has_text"),
     )
 
 

@@ -24,6 +24,8 @@ def tune(builder: SparkSession.Builder, input_bytes: int, cores: int) -> SparkSe
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": TARGET_PARTITION_BYTES,
+        # Writers kept open side by side, so that few output partitions need no sort.
+        "spark.sql.maxConcurrentOutputFileWriters": 16,
         "spark.sql.files.maxPartitionBytes": TARGET_PARTITION_BYTES,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "zstd",

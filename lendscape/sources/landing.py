@@ -7,12 +7,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date as Date
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscape.operators.shape import broken_rules, flag_broken, stamp
+from lendscape.operators.shape import broken_rules, stamp
 from lendscape.sources.store import exists, latest_run, write_run
 from lendscape.specs import TableSpec
 
@@ -21,8 +22,9 @@ log = logging.getLogger(__name__)
 DAY = "ingestion_date"
 ZONE = "zone"
 CLEAN, QUARANTINE = "clean", "quarantine"
-_CORRUPT = "_corrupt"
 _FILE = "source_file"
+_CORRUPT = "_corrupt"
+_WHOLE = T.DecimalType(28, 8)
 
 
 @dataclass(frozen=True)
@@ -48,15 +50,25 @@ def resolve_source(spark: SparkSession, landing: str, spec: TableSpec) -> str |
     return None
 
 
-def read_text_columns(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with every column as text, matched by header name, malformed lines kept aside."""
+def read_csv(
+    spark: SparkSession, spec: TableSpec, path: str, null_token: str = ""
+) -> DataFrame:
+    """CSV matched to the catalogue by header name; the parser types the catalogued columns.
+
+    Whole numbers are read as decimals, since some writers give them a decimal point. Other
+    columns are text. A line the parser cannot type is kept whole in ``_corrupt``.
+    """
     header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
+    known = {
+        f.name: _WHOLE if isinstance(f.dataType, T.LongType) else f.dataType for f in spec.schema
+    }
+    fields = [T.StructField(c, known.get(c, T.StringType())) for c in header]
     return (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())]))
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("nullValue", null_token)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
         .withColumn(_FILE, F.col("_metadata.file_path"))
@@ -68,41 +80,45 @@ def read_source(
     spec: TableSpec,
     path: str | None,
     rules: Mapping[str, Column] | None = None,
-    null_tokens: Sequence[str] = ("",),
+    null_token: str = "",
 ) -> DataFrame:
     """Typed rows of one source with the list of broken rules per row.
 
     Types come from the catalogue: no inference pass, and no change of type from one day to
-    the next. Columns beyond the catalogue are stored as text. A value that does not fit its
-    type, a malformed line or a NULL primary key is a broken rule; such rows keep their
-    original text in ``raw``.
+    the next. Columns beyond the catalogue are stored as text. A malformed line, a whole-number
+    column holding a fraction and a NULL primary key are broken rules; ``raw`` then keeps what
+    the typed columns cannot hold. ``null_token`` means NULL besides the empty field.
     """
     if path is None:
         lineage = ("source_file", "reasons", "raw")
         empty = [*spec.schema, *[f for f in spec.bronze_schema if f.name in lineage]]
         return spark.createDataFrame([], T.StructType(empty))
-    text = read_text_columns(spark, path)
-    data = [c for c in text.columns if c not in (_CORRUPT, _FILE)]
-    cleaned = {c: _blank_to_null(F.col(c), null_tokens) for c in data}
-    typed = {c: _typed(cleaned[c], spec.columns.get(c, "string")) for c in data}
-
-    checks = {"MALFORMED_ROW": F.col(_CORRUPT).isNotNull()}
-    for c in data:
-        if spec.columns.get(c, "string") != "string":
-            checks[f"BAD_VALUE:{c}"] = cleaned[c].isNotNull() & typed[c].isNull()
-    original = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*data)))
-    staged = text.select(
-        *[typed[c].alias(c) for c in data],
+    parsed = read_csv(spark, spec, path, null_token)
+    data = [c for c in parsed.columns if c not in (_CORRUPT, _FILE)]
+    whole = [c for c in data if parsed.schema[c].dataType == _WHOLE]
+    text = [c for c in data if isinstance(parsed.schema[c].dataType, T.StringType)]
+
+    def is_cut(c: str) -> Column:
+        back = F.col(c).try_cast("bigint").cast(_WHOLE)
+        return F.coalesce(back != F.col(c), F.col(c).isNotNull())
+
+    cut = _any([is_cut(c) for c in whole])
+    checks = {
+        "MALFORMED_ROW": F.col(_CORRUPT).isNotNull(),
+        **{f"BAD_VALUE:{c}": is_cut(c) for c in whole},
+        f"NULL_KEY:{spec.primary_key}": F.col(spec.primary_key).isNull(),
+        **(rules or {}),
+    }
+    typed = {
+        **{c: F.col(c).try_cast("bigint") for c in whole},
+        **{c: F.nullif(F.col(c), F.lit("")) for c in text},
+    }
+    none = F.array().cast("array<string>")
+    return parsed.select(
+        *[typed.get(c, F.col(c)).alias(c) for c in data],
         _FILE,
-        broken_rules(checks).alias("_parse"),
-        original.alias("_original"),
-    )
-    row_rules = {f"NULL_KEY:{spec.primary_key}": F.col(spec.primary_key).isNull(), **(rules or {})}
-    return (
-        flag_broken(staged, row_rules, "_rules")
-        .withColumn("reasons", F.concat("_parse", "_rules"))
-        .withColumn("raw", F.when(F.size("reasons") > 0, F.col("_original")))
-        .drop("_parse", "_rules", "_original")
+        F.when(_any(list(checks.values())), broken_rules(checks)).otherwise(none).alias("reasons"),
+        F.coalesce(F.col(_CORRUPT), F.when(cut, F.to_json(F.struct(*data)))).alias("raw"),
     )
 
 
@@ -116,7 +132,7 @@ def ingest(
     env: str = "dev",
     batch_id: str | None = None,
     rules: Mapping[str, Column] | None = None,
-    null_tokens: Sequence[str] = ("",),
+    null_token: str = "",
 ) -> IngestResult:
     """Land one table for one day, replacing that day.
 
@@ -129,7 +145,7 @@ def ingest(
         log.warning("no source file for %s below %s", spec.name, landing)
         return IngestResult(spec.name, 0, 0)
     rows = stamp(
-        read_source(spark, spec, path, rules, null_tokens),
+        read_source(spark, spec, path, rules, null_token),
         run_ts,
         ingestion_date,
         batch_id or f"{spec.name}-{run_ts:%Y%m%dT%H%M%S}",
@@ -141,10 +157,10 @@ def ingest(
         F.count_if(F.col(ZONE) == CLEAN).alias("clean"),
         F.count_if(F.col(ZONE) == QUARANTINE).alias("quarantine"),
     )
-    # Clustering inside each file makes row-group statistics selective for later filters; the
-    # partitioned write sorts by zone anyway.
-    clustered = observed.sortWithinPartitions(ZONE, *spec.cluster_by)
-    write_run(clustered, f"{bronze}/{spec.name}", DAY, ingestion_date.isoformat(), [ZONE])
+    if spec.cluster_by:
+        # Order inside each file makes its row-group statistics selective for later filters.
+        observed = observed.sortWithinPartitions(ZONE, *spec.cluster_by)
+    write_run(observed, f"{bronze}/{spec.name}", DAY, ingestion_date.isoformat(), [ZONE])
     counts = seen.get
     result = IngestResult(spec.name, counts["clean"] or 0, counts["quarantine"] or 0)
     if result.quarantine_rows:
@@ -175,18 +191,7 @@ def last_day(spark: SparkSession, bronze: str, spec: TableSpec) -> str | None:
     return latest_run(spark, f"{bronze}/{spec.name}", DAY)
 
 
-def _blank_to_null(c: Column, tokens: Sequence[str]) -> Column:
-    return F.when(~c.isin(list(tokens)), c)
-
-
-def _typed(c: Column, kind: str) -> Column:
-    if kind == "string":
-        return c
-    if kind == "long":
-        # A whole number may have been written with a decimal point.
-        exact = c.try_cast("decimal(28,8)")
-        return F.coalesce(
-            c.try_cast("bigint"),
-            F.when(exact == F.floor(exact), F.floor(exact).try_cast("bigint")),
-        )
-    return c.try_cast(kind)
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(
+        lambda x, y: x | y, [F.coalesce(c, F.lit(False)) for c in conditions], F.lit(False)
+    )
