@@ -103,6 +103,16 @@ def masked_differs(masked: str, original: str, severity: str = FAIL) -> Expectat
     )
 
 
+def is_digest(column: str, severity: str = FAIL) -> Expectation:
+    """Masked values have the form of a SHA-256 digest, which no number's text has.
+
+    Proves that masked values differ from the originals without joining the layer before.
+    """
+    return Expectation(
+        "is_digest", column, severity, bad_row=~F.col(column).rlike("^[0-9a-f]{64}$")
+    )
+
+
 def unique(*columns: str, severity: str = FAIL) -> Expectation:
     """Rows sharing their key with another row count as failed; NULL keys are ignored."""
     return Expectation("unique", ",".join(columns), severity, unique=columns)

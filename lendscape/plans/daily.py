@@ -91,25 +91,27 @@ def silver_gate(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def model(
-    spark: SparkSession, lake: Lake, run_ts: datetime, staging_gate: bool = True
+    spark: SparkSession, lake: Lake, run_ts: datetime, thorough: bool = False
 ) -> dict[str, DataFrame]:
-    """Rebuild the marts from the current Silver state and return them as stored."""
+    """Rebuild the marts from the current Silver state and return them as stored.
+
+    ``thorough`` also repeats on the staged rows what the Silver gate has checked.
+    """
     app = gold.stg_application(read_silver(spark, APPLICATION, lake.silver))
     bureau = gold.stg_bureau(read_silver(spark, BUREAU, lake.silver))
     balance = gold.stg_bureau_balance(read_silver(spark, BUREAU_BALANCE, lake.silver))
     installments = gold.stg_installments(read_silver(spark, INSTALLMENTS, lake.silver))
     attributes = gold.applicant_attributes(app)
-    if staging_gate:
-        staged = {
-            "stg_application": app,
-            "stg_bureau": bureau,
-            "stg_bureau_balance": balance,
-            "stg_installments": installments,
-            "applicant_attributes": attributes,
-            "bureau_with_balance": gold.bureau_with_balance(bureau, balance),
-            "installment_payments": gold.installment_payments(installments),
-        }
-        q.gate(q.evaluate(spark, staged, suites.staging_suites()))
+    staged = {
+        "stg_application": app,
+        "stg_bureau": bureau,
+        "stg_bureau_balance": balance,
+        "stg_installments": installments,
+        "applicant_attributes": attributes,
+        "bureau_with_balance": gold.bureau_with_balance(bureau, balance),
+        "installment_payments": gold.installment_payments(installments),
+    }
+    q.gate(q.evaluate(spark, staged, suites.staging_suites(thorough)))
 
     store.publish_history(
         spark, lake.history, attributes, "applicant_id", TRACKED_ATTRIBUTES, run_ts
@@ -164,6 +166,7 @@ def run_day(
     env: str = "dev",
     apply_business_rules: bool = False,
     require_all: bool = True,
+    thorough: bool = False,
 ) -> dict[str, DataFrame]:
     """The whole batch. Warnings are logged; failures stop it at the gate they occur in."""
     landed = land(spark, source, lake, day, run_ts, env, apply_business_rules)
@@ -173,7 +176,7 @@ def run_day(
     q.gate(bronze_gate(spark, lake, day))
     refine(spark, lake, day)
     q.gate(silver_gate(spark, lake), require=["silver_application", "silver_bureau"])
-    marts = model(spark, lake, run_ts)
-    q.gate(q.evaluate(spark, marts, suites.gold_suites(marts)))
+    marts = model(spark, lake, run_ts, thorough)
+    q.gate(q.evaluate(spark, marts, suites.gold_suites(marts, thorough)))
     marts["risk_summary"] = summarise(spark, lake, marts, run_ts)
     return marts

@@ -81,4 +81,5 @@ def read_silver(spark: SparkSession, spec: TableSpec, silver: str) -> DataFrame
     root = f"{silver}/{spec.silver_name}"
     if spec.upsert_keys:
         return store.read_latest(spark, root)
-    return spark.read.parquet(root) if store.run_labels(spark, root, landing.DAY) else None
+    days = store.run_labels(spark, root, landing.DAY)
+    return store.read_runs(spark, root, landing.DAY, days) if days else None

@@ -1506,6 +1506,11 @@ def dq_suite(spark, sf):
                 "masked_differs", "c_nationkey_masked", "FAIL",
                 "c_nationkey_masked = cast(c_nationkey AS varchar)", _MASKED_CUSTOMER, "customer",
             ),
+            _row_check(
+                "is_digest", "c_nationkey_masked", "FAIL",
+                "NOT regexp_full_match(c_nationkey_masked, '[0-9a-f]{64}')", _MASKED_CUSTOMER,
+                "customer",
+            ),
             _check_sql(
                 "null_rate_below", "clean_balance", "WARN",
                 "count(*) FILTER (WHERE c_acctbal < 0)", "count(*)",
@@ -1527,6 +1532,7 @@ def dq_masking(spark, sf):
         [
             q.not_digest_of("c_nationkey_masked", "7"),
             q.masked_differs("c_nationkey_masked", "c_nationkey"),
+            q.is_digest("c_nationkey_masked"),
             q.null_rate_below("clean_balance", 0.05),
         ],
     )
@@ -1595,7 +1601,7 @@ def dq_relationships(spark, sf):
                 "fact_loan_application",
             ),
             _check_sql(
-                "loan_applicant_resolves", "applicant_sk", "FAIL", "0", "0", "false",
+                "applicant_resolves", "applicant_sk", "FAIL", "0", "0", "false",
                 "(SELECT 1)", "fact_loan_application",
             ),
         ]
@@ -1612,7 +1618,7 @@ def dq_loan_fact(spark, sf):
         "dim_loan_type": gold.dim_loan_type(stg_application(spark, sf), moment(RUN_TS)),
         "dim_credit_status": gold.dim_credit_status(spark, moment(RUN_TS)),
     }
-    suite = suites.gold_suites(marts)["fact_loan_application"]
+    suite = suites.gold_suites(marts, thorough=True)["fact_loan_application"]
     return q.check(loans, "fact_loan_application", suite)
 
 

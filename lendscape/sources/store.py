@@ -75,6 +75,14 @@ def read_run(
     return reader.parquet(f"{root}/{column}={label}")
 
 
+def read_runs(
+    spark: SparkSession, root: str, column: str, labels: Sequence[str]
+) -> DataFrame:
+    """Several runs' rows with the run column; other runs' files are not even listed."""
+    paths = [f"{root}/{column}={x}" for x in labels]
+    return spark.read.option("basePath", root).parquet(*paths)
+
+
 def read_latest(spark: SparkSession, root: str, column: str = SNAPSHOT) -> DataFrame | None:
     label = latest_run(spark, root, column)
     return None if label is None else read_run(spark, root, column, label)
@@ -132,7 +140,9 @@ def publish_history(
     if base is None:
         rows = open_versions(source, run_ts)
     else:
-        current = read_run(spark, root, RUN, base).filter(F.col(STATE) == OPEN).drop(STATE)
+        schema = open_versions(source, run_ts).schema.add(STATE, T.StringType())
+        stored = read_run(spark, root, RUN, base, schema)
+        current = stored.filter(F.col(STATE) == OPEN).drop(STATE)
         rows = scd2_step(current, source, key, check_cols, run_ts, close_deleted)
     state = F.when(F.col(VALID_TO).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
     write_run(rows.withColumn(STATE, state), root, RUN, label, [STATE])
@@ -145,10 +155,8 @@ def read_history(spark: SparkSession, root: str, as_of: datetime | None = None)
     ]
     if not labels:
         return None
-    paths = [f"{root}/{RUN}={x}" for x in labels]
-    stored = spark.read.option("basePath", root).parquet(*paths)
     wanted = (F.col(STATE) == CLOSED) | (F.col(RUN) == labels[-1])
-    return stored.filter(wanted).drop(RUN, STATE)
+    return read_runs(spark, root, RUN, labels).filter(wanted).drop(RUN, STATE)
 
 
 def scratch(spark: SparkSession) -> str:
@@ -214,6 +222,7 @@ __all__ = [
     "read_history",
     "read_latest",
     "read_run",
+    "read_runs",
     "register",
     "run_label",
     "run_labels",

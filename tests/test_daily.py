@@ -37,7 +37,7 @@ def two_days(spark, tmp_path_factory):
     kept = app.filter("SK_ID_CURR > 100020")
     day2 = dict(tables, application_train=moved.unionByName(kept))
     land_csv(day2, folder / "day2")
-    second = daily.run_day(spark, str(folder / "day2"), lake, DAY2, TS2)
+    second = daily.run_day(spark, str(folder / "day2"), lake, DAY2, TS2, thorough=True)
     return lake, counts1, second, str(folder / "day2")
 
 

@@ -230,6 +230,13 @@ def test_published_history_equals_pure_folding(spark, tmp_path):
     assert versions(store.read_history(spark, root, T[1])) == versions(fold(spark, snapshots[:2]))
 
 
+def test_published_history_may_start_empty(spark, tmp_path):
+    root = str(tmp_path / "h")
+    store.publish_history(spark, root, snap(spark, []), "id", ["job", "kids"], T[0])
+    store.publish_history(spark, root, snap(spark, [(1, "a", 0, "x")]), "id", ["job", "kids"], T[1])
+    assert versions(store.read_history(spark, root)) == [(1, "a", 0, "x", T[1], None)]
+
+
 def test_history_step_avoids_interpreted_expressions(spark):
     history = fold(spark, [[(1, "a", 0, "x")], [(1, "b", 0, "x")]])
     text = history._jdf.queryExecution().optimizedPlan().toString()

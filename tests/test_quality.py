@@ -48,6 +48,8 @@ def test_masking_expectations(spark):
     )
     assert result(df, q.not_digest_of("m", "365243")).failed_rows == 1
     assert result(df, q.masked_differs("m", "d")).failed_rows == 0
+    assert result(df, q.is_digest("m")).failed_rows == 0
+    assert result(df, q.is_digest("d")).failed_rows == 2
     raw = df.withColumn("m", F.col("d").cast("string"))
     assert result(raw, q.masked_differs("m", "d")).failed_rows == 2
 
