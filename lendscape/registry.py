@@ -1032,14 +1032,15 @@ _FACT_LOAN = """
     FROM app LEFT JOIN dim ON sk_id_curr = applicant_id AND is_current"""
 
 
-def _loan_fact(spark, sf, applicants):
-    app = stg_application(spark, sf)
-    return gold.fact_loan_application(app, applicants, gold.dim_loan_type(app, moment(RUN_TS)))
+def _loan_types(spark, sf):
+    return settle(gold.dim_loan_type(stg_application(spark, sf), moment(RUN_TS)))
 
 
 @query(_WITH_APPLICANTS + _FACT_LOAN)
 def fact_loan_application(spark, sf):
-    return _loan_fact(spark, sf, dim_applicant(spark, sf))
+    return gold.fact_loan_application(
+        stg_application(spark, sf), dim_applicant(spark, sf), _loan_types(spark, sf)
+    )
 
 
 _STATUS_VALUES = ", ".join(f"('{code}', '{text}')" for code, text in CREDIT_STATUSES)
@@ -1300,12 +1301,9 @@ def credit_histogram(spark, sf):
     """
 )
 def kpi_summary(spark, sf):
-    dim = settle(dim_applicant(spark, sf))
-    loans = gold.loan_star(
-        _loan_fact(spark, sf, dim),
-        dim,
-        gold.dim_loan_type(stg_application(spark, sf), moment(RUN_TS)),
-    )
+    dim, types = settle(dim_applicant(spark, sf)), _loan_types(spark, sf)
+    fact = gold.fact_loan_application(stg_application(spark, sf), dim, types)
+    loans = gold.loan_star(fact, dim, types)
     summary = kpi.risk_summary(
         loans, _bureau_fact(spark, sf, dim), fact_installment_payment(spark, sf)
     )
@@ -1333,7 +1331,7 @@ def kpi_summary(spark, sf):
 def kpi_by_applicant_segment(spark, sf):
     dim = settle(dim_applicant(spark, sf))
     loans = lookup.lookup_current(
-        _loan_fact(spark, sf, dim),
+        gold.fact_loan_application(stg_application(spark, sf), dim, _loan_types(spark, sf)),
         dim,
         "applicant_sk",
         "applicant_sk",
@@ -1609,13 +1607,13 @@ def dq_relationships(spark, sf):
 )
 def dq_loan_fact(spark, sf):
     """The loan fact's own suite; applications without a contract type fail it."""
-    dim = settle(dim_applicant(spark, sf))
-    loans = settle(_loan_fact(spark, sf, dim))
+    dim, types = settle(dim_applicant(spark, sf)), _loan_types(spark, sf)
+    loans = settle(gold.fact_loan_application(stg_application(spark, sf), dim, types))
     marts = {
         "fact_loan_application": loans,
         "fact_bureau_credit": _bureau_fact(spark, sf, dim),
         "dim_applicant": dim,
-        "dim_loan_type": gold.dim_loan_type(stg_application(spark, sf), moment(RUN_TS)),
+        "dim_loan_type": types,
         "dim_credit_status": gold.dim_credit_status(spark, moment(RUN_TS)),
     }
     suite = suites.gold_suites(marts, thorough=True)["fact_loan_application"]
