@@ -179,8 +179,14 @@ def fact_bureau_credit(
     )
     rows = bureau_with_balance(rows, balance)
     rows = lookup_current(rows, applicants, "sk_id_curr", "applicant_id", ["applicant_sk"])
+    # The status dimension is the fixed list of codes, hence bounded.
     rows = lookup_small(
-        rows, statuses, "credit_active", "status_code", {"status_id": "credit_status_id"}
+        rows,
+        statuses,
+        "credit_active",
+        "status_code",
+        {"status_id": "credit_status_id"},
+        bounded=True,
     )
     return rows.select(
         surrogate_key("sk_id_bureau").alias("bureau_credit_sk"),
