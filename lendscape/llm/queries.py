@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscape.llm import language_id, licenses, pieces_codec, quality_rules, secrets, token_counts
+from lendscape.llm import (
+    language_id,
+    licenses,
+    ngram_join,
+    pieces_codec,
+    quality_rules,
+    secrets,
+    token_counts,
+    token_files,
+)
+from lendscape.sources.store import scratch
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,10 +28,18 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs))
 
 
+def op3_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.similar_sets(documents(spark, sf))
+
+
 def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf))
 
 
+def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.token_files(documents(spark, sf), f"{scratch(spark)}/token_files")
+
+
 def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf))
 
@@ -42,7 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op3_ngram_join,
         op4_license_scan,
+        op5_token_files,
         op7_secret_scan,
         op8_piece_codec,
         op9_quality_rules,
