@@ -1,18 +1,25 @@
-"""A corpus from documents in stages; each stage's rows are written and read by the next.
+"""A training corpus from documents in five stages; each stage's rows are written and reread.
+
+1. language identification: documents without a determined language go;
+2. n-gram Jaccard join: of each group of near duplicates the smallest id stays;
+3. secret scan: secrets are replaced by a mark, the documents stay;
+4. mixing: documents are repeated or left out to meet the weights of domains, languages, sources;
+5. piece encoding: the last stage returns ids and counts of the pieces of what is left.
 
 ``run`` writes every stage below the shared checkpoint folder, so a lost executor never costs
-more than the stage at hand.
+more than the stage at hand. Stages keep further columns as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscape.llm import arrow as A
-from lendscape.llm import language_id
+from lendscape.llm import language_id, mixing, ngram_join, pieces_codec, secrets
 
 # A text whose average word is no likelier under one language than under the others together.
 LEAST_SCORE = 0.5
@@ -25,11 +32,50 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return told.filter(F.col("_lang_score") >= LEAST_SCORE).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group: a row of its smallest id. NULL ids are in no group."""
+    groups = ngram_join.similar_sets(docs)
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(A.staged(first, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the text and count its characters anew."""
+
+    def run(table: pa.Table) -> pa.Table:
+        at, null = table.column_names.index("text"), table["text"].combine_chunks().is_null()
+        masked = [
+            None if gone else x
+            for gone, x in zip(null.to_pylist(), secrets.redact(A.texts(table["text"])))
+        ]
+        return table.set_column(at, table.schema.field(at), pa.array(masked, table.schema.field(at).type))
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    masked = A.map_tables(docs, run, kinds)
+    length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return masked.withColumn("n_chars", length).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the copies that the target weights give them."""
+    return mixing.resample(docs, mixing.domain_of(F.col("source")))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of every row, and whether they decode to its text."""
+    return pieces_codec.digest(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", identify_language),
+    ("ngram_join", drop_near_duplicates),
+    ("secret_scan", mask_secrets),
+    ("mixing", mix_sources),
+    ("piece_codec", encode),
 ]
 
-# The first and last stages are beyond SQL; tests hold the pipeline against brute force.
+# SQL cannot express the first and last stages; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lendscape.llm import (
+    graph_index,
     language_id,
     licenses,
+    mixing,
     ngram_join,
     pieces_codec,
     quality_rules,
@@ -28,6 +31,10 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs))
 
 
+def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf), mixing.domain_of(F.col("source")))
+
+
 def op3_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similar_sets(documents(spark, sf))
 
@@ -40,6 +47,11 @@ def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.token_files(documents(spark, sf), f"{scratch(spark)}/token_files")
 
 
+def op6_graph_index(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return graph_index.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf))
 
@@ -60,9 +72,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_mixing,
         op3_ngram_join,
         op4_license_scan,
         op5_token_files,
+        op6_graph_index,
         op7_secret_scan,
         op8_piece_codec,
         op9_quality_rules,
@@ -70,4 +84,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_mixing": mixing.oracle_sql()}
