@@ -28,8 +28,8 @@ LEAST_SCORE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is determined; learned from the labelled documents."""
     model = language_id.learn(docs)
-    told = language_id.annotate(docs, model)
-    return told.filter(F.col("_lang_score") >= LEAST_SCORE).select(*docs.columns)
+    told = language_id.with_language(docs, model)
+    return told.filter(F.col("score") >= LEAST_SCORE).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         ]
         return table.set_column(at, table.schema.field(at), pa.array(masked, table.schema.field(at).type))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    masked = A.map_tables(docs, run, kinds)
+    masked = A.map_tables(docs, run, docs.schema)
     length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return masked.withColumn("n_chars", length).select(*docs.columns)
 

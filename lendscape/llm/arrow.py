@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from lendscape.sources.store import scratch
 
@@ -44,7 +45,9 @@ def reachable(df: DataFrame) -> DataFrame:
     return df
 
 
-def map_tables(df: DataFrame, fn: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
+def map_tables(
+    df: DataFrame, fn: Callable[[pa.Table], pa.Table | None], schema: str | T.StructType
+) -> DataFrame:
     """Apply a function of Arrow tables to every batch; a returned None adds no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendscape.llm import arrow as A
 
@@ -317,15 +318,19 @@ def identify(
     return A.map_tables(needed, run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
 
 
-def annotate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of the documents, with ``_lang_pred`` and ``_lang_score`` added."""
+def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The documents' own columns, whatever their names, as struct ``doc``, then ``lang_pred``
+    and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(text).cast("string").alias("_text"),
+    )
 
     def run(table: pa.Table) -> pa.Table:
-        names, scores = shared.value.predict(A.texts(table[text].cast(pa.string())))
-        return table.append_column("_lang_pred", pa.array(names, pa.string())).append_column(
-            "_lang_score", pa.array(scores)
-        )
+        names, scores = shared.value.predict(A.texts(table["_text"]))
+        out = table.select(["doc"]).append_column("lang_pred", pa.array(names, pa.string()))
+        return out.append_column("score", pa.array(scores, pa.float64()))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return A.map_tables(docs, run, f"{kinds}, _lang_pred string, _lang_score double")
+    schema = T.StructType([whole.schema["doc"]]).add("lang_pred", "string").add("score", "double")
+    return A.map_tables(whole, run, schema)
