@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from lendscape.operators import quality as q
 from lendscape.plans import daily
 from lendscape.plans.silver import business_rules, run_silver
+from lendscape.session import tune
 from lendscape.sources import landing
 from lendscape.specs import SOURCES
 
@@ -24,7 +25,10 @@ log = logging.getLogger("lendscape")
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="lendscape")
     parser.add_argument(
-        "stage", choices=["land", "bronze-gate", "refine", "silver-gate", "model", "day"]
+        "stage",
+        choices=[
+            "land", "bronze-gate", "refine", "silver-gate", "model", "gold-gate", "summary", "day"
+        ],
     )
     parser.add_argument("--table", choices=sorted(SOURCES), help="default: all tables")
     parser.add_argument("--landing", help="folder of the source files")
@@ -37,7 +41,15 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         default=datetime.now(timezone.utc).replace(tzinfo=None),
         help="pass the same value to repeat a run",
     )
-    parser.add_argument("--business-rules", action="store_true")
+    parser.add_argument(
+        "--no-business-rules",
+        dest="business_rules",
+        action="store_false",
+        help="land applications without outcome or credit as clean rows",
+    )
+    parser.add_argument("--salt", help="text mixed into masked values")
+    parser.add_argument("--input-bytes", type=int, default=0, help="sizes the shuffles")
+    parser.add_argument("--cores", type=int, default=8, help="cores of the cluster")
     args = parser.parse_args(argv)
     if args.stage in ("land", "day") and not args.landing:
         parser.error(f"{args.stage} needs --landing")
@@ -73,21 +85,37 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         return q.gate(daily.bronze_gate(spark, lake, args.date))
     if args.stage == "refine":
         if args.table is None:
-            return daily.refine(spark, lake, args.date)
-        return run_silver(spark, SOURCES[args.table], lake.bronze, lake.silver, args.date)
+            return daily.refine(spark, lake, args.date, args.salt)
+        return run_silver(
+            spark, SOURCES[args.table], lake.bronze, lake.silver, args.date, args.salt
+        )
     if args.stage == "silver-gate":
         return q.gate(daily.silver_gate(spark, lake))
     if args.stage == "model":
         return daily.model(spark, lake, args.run_ts)
+    if args.stage == "gold-gate":
+        return q.gate(daily.gold_gate(spark, daily.stored_marts(spark, lake, args.run_ts)))
+    if args.stage == "summary":
+        return daily.summarise(
+            spark, lake, daily.stored_marts(spark, lake, args.run_ts), args.run_ts
+        )
     return daily.run_day(
-        spark, args.landing, lake, args.date, args.run_ts, args.env, args.business_rules
+        spark,
+        args.landing,
+        lake,
+        args.date,
+        args.run_ts,
+        args.env,
+        args.business_rules,
+        salt=args.salt,
     )
 
 
 def main() -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     args = parse()
-    spark = SparkSession.builder.appName(f"lendscape {args.stage}").getOrCreate()
+    builder = SparkSession.builder.appName(f"lendscape {args.stage}")
+    spark = tune(builder, args.input_bytes, args.cores).getOrCreate()
     run(spark, args)
     spark.stop()
 

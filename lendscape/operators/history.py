@@ -17,16 +17,26 @@ from lendscape.functions import surrogate_key
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 
-# A log is cut along its order column into stretches of about this many rows; the cut points
-# are found on a grid of at most this many slots.
-ROWS_PER_CHUNK = 1_000_000
-CHUNK_SLOTS = 100_000
+# A log is cut along its order column into stretches of this calendar unit, or of this many
+# units of a number. Choose it so that the most frequent key has some million rows in a stretch.
+STRETCH = "MONTH"
+NUMBERS_PER_STRETCH = 1_000_000
 
 
-def open_versions(source: DataFrame, run_ts: datetime | Column) -> DataFrame:
+def open_versions(
+    source: DataFrame, run_ts: datetime | Column, key: str | None = None
+) -> DataFrame:
     """First load: every source row opens a version."""
     start = _timestamp(run_ts)
-    return source.withColumns({VALID_FROM: start, VALID_TO: F.nullif(start, start)})
+    return with_keys(source, key).withColumns({VALID_FROM: start, VALID_TO: F.nullif(start, start)})
+
+
+def with_keys(source: DataFrame, key: str | None) -> DataFrame:
+    """The same rows; a NULL key raises when they are read."""
+    if key is None:
+        return source
+    missing = F.raise_error(F.lit(f"history source has a NULL {key}")).cast(source.schema[key].dataType)
+    return source.withColumn(key, F.coalesce(F.col(key), missing)).select(*source.columns)
 
 
 def scd2_step(
@@ -44,14 +54,15 @@ def scd2_step(
     * a compared column differs (NULL-safe): the open version is closed at ``run_ts`` and a
       new one opened;
     * new key: a version is opened;
-    * ``close_deleted`` closes versions whose key is absent.
+    * ``close_deleted`` closes versions whose key is absent;
+    * a NULL key in the snapshot raises: it could never be found again.
 
     One full outer join; keys are unique on both sides, so no key is large.
     """
     start = _timestamp(run_ts)
     attributes = [c for c in source.columns if c != key]
     held = current.select(key, F.struct(*attributes, VALID_FROM, VALID_TO).alias("_held"))
-    seen = source.select(key, F.struct(*attributes).alias("_seen"))
+    seen = with_keys(source, key).select(key, F.struct(*attributes).alias("_seen"))
     both = held.join(seen, key, "full_outer")
 
     is_held, is_seen = F.col("_held").isNotNull(), F.col("_seen").isNotNull()
@@ -109,24 +120,24 @@ def scd2_from_log(
     check_cols: Sequence[str],
     tiebreak: Sequence[str] = (),
     carry: Sequence[str] = (),
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    stretch: str | int | None = None,
 ) -> DataFrame:
     """History from a change log in one pass over each key's rows in order.
 
     Rows repeating the state before them are dropped, the others become versions ending where
     the next one begins.
 
-    No key is handled as a whole: the log is cut along ``order`` into chunks of even size, rows
-    are windowed per (key, chunk), and only one summary row per chunk is windowed per key to
-    carry state across the cuts. A key with a third of the log is thereby spread over a third
-    of all rows' worth of chunks.
+    No key is handled as a whole: the log is cut along ``order`` into stretches, rows are
+    windowed per (key, stretch), and only one summary row per stretch is windowed per key to
+    carry state across the cuts. Cuts follow the calendar (or round numbers), so they need no
+    look at the data, do not move with outliers, and are the same at every size.
     """
     state = F.struct(*check_cols)
     within = Window.partitionBy(key, "_chunk").orderBy(order, *tiebreak)
 
     needed = log.select(key, order, *_fresh([*tiebreak, *check_cols, *carry], (key, order)))
     staged = (
-        even_chunks(needed, order, rows_per_chunk)
+        needed.withColumn("_chunk", stretch_of(needed, order, stretch))
         .withColumn("_before", F.lag(state).over(within))
         .withColumn("_place", F.row_number().over(within))
     )
@@ -171,72 +182,42 @@ def scd2_from_log(
     )
 
 
-def even_chunks(
-    df: DataFrame, order: str, rows_per_chunk: int = ROWS_PER_CHUNK, alias: str = "_chunk"
-) -> DataFrame:
-    """Number the rows by stretches of about equal size along ``order``.
-
-    Numbers do not decrease as ``order`` grows; NULLs come first. Rows are counted on a grid
-    over the value range and neighbouring slots joined up to the wanted size. The grid is
-    bounded by ``CHUNK_SLOTS`` rows, hence may be numbered in one task and broadcast. One row
-    of statistics comes to the driver; a small log stays a single chunk.
-    """
-    place = _position(df, order)
-    stats = df.agg(
-        F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("n")
-    ).first()
-    pieces = min(stats["n"] // rows_per_chunk, CHUNK_SLOTS)
-    if pieces <= 1 or stats["lo"] == stats["hi"]:
-        return df.withColumn(alias, F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    density = CHUNK_SLOTS / (stats["hi"] - stats["lo"] + 1.0)
-    slot = F.floor((place - F.lit(stats["lo"])) * F.lit(density))
-    ahead = Window.partitionBy(F.lit(0)).orderBy("_slot").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    grid = (
-        df.filter(F.col(order).isNotNull())
-        .groupBy(slot.alias("_slot"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_slot",
-            F.floor(F.coalesce(F.sum("_n").over(ahead), F.lit(0)) * pieces / stats["n"]).alias(
-                alias
-            ),
-        )
-    )
-    return (
-        df.withColumn("_slot", slot)
-        .join(F.broadcast(grid), "_slot", "left")
-        .withColumn(alias, F.coalesce(alias, F.lit(-1)))
-        .drop("_slot")
-    )
+def stretch_of(df: DataFrame, order: str, stretch: str | int | None = None) -> Column:
+    """The stretch a row lies in; it does not decrease as ``order`` grows, NULLs come first."""
+    kind = df.schema[order].dataType.typeName()
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        first = F.lit("0001-01-01").cast("timestamp_ntz")
+        return F.coalesce(F.date_trunc(stretch or STRETCH, utc_time(order, kind)), first)
+    number = F.floor(F.col(order) / F.lit(float(stretch or NUMBERS_PER_STRETCH)))
+    return F.coalesce(number, F.lit(-(1 << 62)))
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    """Order column as a number; coarser is fine as long as it never decreases."""
-    c, kind = F.col(order), df.schema[order].dataType.typeName()
-    if kind == "date":
-        number = F.unix_date(c)
-    elif kind == "timestamp":
-        number = F.unix_seconds(c)
-    elif kind == "timestamp_ntz":
-        # Taken apart rather than converted: local times may not exist in the session's zone.
-        clock = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-        number = F.unix_date(c.cast("date")).cast("long") * 86_400 + clock
-    else:
-        number = c
-    return number.cast("double")
+def utc_time(column: str, kind: str) -> Column:
+    """A moment without zone that no session setting changes: instants are read in UTC."""
+    if kind != "timestamp":
+        return F.col(column).cast("timestamp_ntz")
+    micros, day = F.unix_micros(column), 86_400_000_000
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(micros / day).cast("int"))
+    clock = (F.pmod(micros, F.lit(day)) / 1_000_000).cast("decimal(18,6)")
+    return date.cast("timestamp_ntz") + F.make_dt_interval(secs=clock)
 
 
 def scd2_present(history: DataFrame, key: str, sk: str) -> DataFrame:
-    """Dimension view of a history: surrogate key, start and end dates, current flag."""
+    """Dimension view of a history: surrogate key, start and end dates, current flag.
+
+    Key and dates follow UTC, whatever the session's time zone, so facts built under one setting
+    join dimensions read under another.
+    """
     attributes = [c for c in history.columns if c not in (key, VALID_FROM, VALID_TO)]
+    start, end = (
+        utc_time(c, history.schema[c].dataType.typeName()) for c in (VALID_FROM, VALID_TO)
+    )
     return history.select(
-        surrogate_key(key, VALID_FROM).alias(sk),
+        surrogate_key(key, start).alias(sk),
         key,
         *attributes,
-        F.col(VALID_FROM).cast("date").alias("start_date"),
-        F.col(VALID_TO).cast("date").alias("end_date"),
+        start.cast("date").alias("start_date"),
+        end.cast("date").alias("end_date"),
         F.col(VALID_TO).isNull().alias("is_current"),
     )
 

@@ -16,19 +16,24 @@ from lendscape.functions import bracket, percent, safe_ratio
 
 ALL = "ALL"
 
-# Amounts are added up in whole ten-thousandths: a sum of doubles depends on the order in which
-# tasks deliver, so a repeated run would not give the same total.
-UNITS = 10_000
+# Amounts are added up as decimals: a sum of doubles depends on the order in which tasks deliver,
+# so a repeated run would not give the same total. Digits beyond this scale are not dropped,
+# they raise; a column with finer amounts declares its own scale.
+AMOUNT_SCALE = 12
 
 
-def in_units(amount: Column | str) -> Column:
-    """An amount as an exact number of units."""
+def exact(amount: Column | str, scale: int = AMOUNT_SCALE) -> Column:
+    """An amount as a decimal of the same value; one that does not fit raises."""
     value = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(value * F.lit(float(UNITS))).cast("long").cast("decimal(19,0)")
+    kind = f"decimal({16 + scale},{scale})"
+    kept = value.try_cast(kind)
+    return F.when(value.isNull() | (kept.cast("double") == value), kept).otherwise(
+        F.raise_error(F.concat(F.lit(f"amount beyond {scale} decimals: "), value.cast("string"))).cast(kind)
+    )
 
 
-def from_units(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(UNITS))
+def exact_sum(amount: Column | str, scale: int = AMOUNT_SCALE) -> Column:
+    return F.sum(exact(amount, scale))
 
 
 def _sum_back(names: Sequence[str]) -> list[Column]:
@@ -73,7 +78,7 @@ def segment_default_rates(
 
 
 def average_credit(fact: DataFrame, by: Sequence[str], amount: str = "amt_credit") -> DataFrame:
-    total = from_units(F.sum(in_units(amount)))
+    total = exact_sum(amount).cast("double")
     return fact.groupBy(*by).agg(safe_ratio(total, F.count(amount)).alias("avg_credit_amount"))
 
 
@@ -81,7 +86,7 @@ def exposure(
     fact: DataFrame, by: Sequence[str] = ("sk_id_curr",), amount: str = "amt_credit_sum"
 ) -> DataFrame:
     """Total bureau credit per applicant."""
-    return fact.groupBy(*by).agg(from_units(F.sum(in_units(amount))).alias("bureau_exposure"))
+    return fact.groupBy(*by).agg(exact_sum(amount).cast("double").alias("bureau_exposure"))
 
 
 def overdue_rate(
@@ -144,41 +149,62 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], width: float) -> Dat
     )
 
 
+# Slots per group when running totals over slots are taken; groups are added up first.
+SLOTS_PER_GROUP = 1024
+
+
 def exact_quantiles(
     df: DataFrame, value: str, by: Sequence[str], probabilities: Sequence[float], width: float
 ) -> DataFrame:
     """Exact interpolated quantiles without sorting a segment in one task.
 
-    Values are counted per fixed-width slot; running totals over the slots locate the one
-    holding each rank, and only the distinct values of those slots are ranked. ``width``
-    bounds both the slots per segment and the distinct values per slot.
+    First pass: rows are counted per fixed-width slot, and running totals over the slots locate
+    those holding the wanted ranks. Second pass: only rows of these slots are grouped by value
+    and ranked. ``width`` bounds the distinct values per slot; running totals go over groups of
+    slots and then within a group, so without segments no task sees all slots either.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(
-            *by, F.floor(F.col(value) / F.lit(float(width))).alias("_slot"), F.col(value).alias("_v")
-        )
-        .agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *by, F.col(value).alias("_v"), F.floor(F.col(value) / F.lit(float(width))).alias("_slot")
+    )
+    segment = [F.col(c) for c in by] or [F.lit(0)]
+    group = F.floor(F.col("_slot") / F.lit(SLOTS_PER_GROUP))
+    ahead = (Window.unboundedPreceding, -1)
+    slots = rows.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_n")).withColumn("_group", group)
+    groups = slots.groupBy(*by, "_group").agg(F.sum("_n").alias("_group_n"))
+    over = Window.partitionBy(*segment)
+    groups = groups.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by],
+        F.col("_group").alias("_g"),
+        F.coalesce(F.sum("_group_n").over(over.orderBy("_group").rowsBetween(*ahead)), F.lit(0)).alias("_ahead"),
+        F.sum("_group_n").over(over).alias("_total"),
     )
-    segment = Window.partitionBy(*(by or [F.lit(0)]))
-    before = segment.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    within = Window.partitionBy(*segment, "_group").orderBy("_slot").rowsBetween(*ahead)
     position = F.col("quantile") * (F.col("_total") - 1)
-    slots = (
-        counts.groupBy(*by, "_slot")
-        .agg(F.sum("_n").alias("_slot_n"))
-        .withColumn("_before", F.coalesce(F.sum("_slot_n").over(before), F.lit(0)))
-        .withColumn("_total", F.sum("_slot_n").over(segment))
+    wanted = (
+        slots.withColumn("_inner", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+        .join(groups, reduce(lambda a, b: a & b, same, F.col("_group") == F.col("_g")))
+        .withColumn("_before", F.col("_ahead") + F.col("_inner"))
         .withColumn("quantile", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("_lo", F.floor(position))
-        .withColumn("_hi", F.ceil(position))
-        .withColumn("_share", position - F.floor(position))
-        .filter(
-            (F.col("_lo") < F.col("_before") + F.col("_slot_n")) & (F.col("_hi") >= F.col("_before"))
+        .withColumns({"_lo": F.floor(position), "_hi": F.ceil(position)})
+        .withColumn("_share", position - F.col("_lo"))
+        .filter((F.col("_lo") < F.col("_before") + F.col("_n")) & (F.col("_hi") >= F.col("_before")))
+        .select(
+            *[F.col(c).alias(f"_by_{c}") for c in by],
+            F.col("_slot").alias("_s"),
+            *("quantile", "_before", "_lo", "_hi", "_share"),
         )
     )
+    same_slot = reduce(lambda a, b: a & b, same, F.col("_slot") == F.col("_s"))
+    chosen = wanted.select(*[f"_by_{c}" for c in by], "_s").distinct()
+    counts = (
+        rows.join(chosen, same_slot, "left_semi")
+        .groupBy(*by, "_slot", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     running = Window.partitionBy(*by, "_slot", "quantile").orderBy("_v")
     ranked = (
-        counts.join(slots, [*by, "_slot"])
+        counts.join(wanted, same_slot)
         .withColumn("_end", F.col("_before") + F.sum("_n").over(running))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
@@ -248,7 +274,7 @@ def risk_summary(
     fine = loans.groupBy(loan_type).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("target_flag") == 1).alias("bad"),
-        F.sum(in_units("amt_credit")).alias("credit"),
+        exact_sum("amt_credit").alias("credit"),
         F.count("amt_credit").alias("credit_n"),
         F.sum("income_to_credit_ratio").alias("ratio"),
         F.count("income_to_credit_ratio").alias("ratio_n"),
@@ -262,19 +288,19 @@ def risk_summary(
         F.when(F.col("_level") == 1, F.lit(ALL)).otherwise(F.col(loan_type)),
         {
             "default_rate_pct": percent(F.col("bad"), F.col("n")),
-            "avg_credit_amount": safe_ratio(from_units(F.col("credit")), "credit_n"),
+            "avg_credit_amount": safe_ratio(F.col("credit").cast("double"), "credit_n"),
             "income_to_credit_ratio": safe_ratio("ratio", "ratio_n"),
         },
     )
     bureau_rows = long_form(
         bureau.groupBy(applicant)
         .agg(
-            F.sum(in_units("amt_credit_sum")).alias("exposure"),
+            exact_sum("amt_credit_sum").alias("exposure"),
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("credit_day_overdue") > 0).alias("overdue"),
         )
         .agg(
-            safe_ratio(from_units(F.sum("exposure")), F.count("exposure")).alias("exposure"),
+            safe_ratio(F.sum("exposure").cast("double"), F.count("exposure")).alias("exposure"),
             F.sum("n").alias("n"),
             F.sum("overdue").alias("overdue"),
         ),

@@ -8,26 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bounds under which a dimension may be broadcast.
-BROADCAST_ROWS = 10_000
-BROADCAST_BYTES = 8 * 1024 * 1024
-
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure whether a frame is small enough to broadcast.
-
-    Counts rows and bytes of the columns concerned on the executors; one row comes back.
-    """
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns],
-    )
-    measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
-
-
 def left_lookup(
     left: DataFrame, right: DataFrame, on: Sequence[str], take: Sequence[str]
 ) -> DataFrame:
@@ -66,14 +46,15 @@ def lookup_small(
 ) -> DataFrame:
     """Attach columns of a dimension that is expected to be small.
 
-    It is broadcast when it is ``bounded`` by construction or measured to be small. A larger
-    one has many distinct keys, so the ordinary shuffled join spreads well.
+    It is always broadcast when it is ``bounded`` by construction, such as a fixed list of codes.
+    Otherwise the join is left to adaptive execution, which broadcasts what it has measured to be
+    small and splits the fact side of a shuffled join where a key is hot.
     """
     names = take if isinstance(take, Mapping) else {c: c for c in take}
     right = dim.select(
         F.col(dim_col).alias("_dim_key"), *[F.col(c).alias(a) for c, a in names.items()]
     )
-    if bounded or fits_broadcast(right):
+    if bounded:
         right = F.broadcast(right)
     return fact.join(right, F.col(fact_col) == F.col("_dim_key"), "left").drop("_dim_key")
 

@@ -8,6 +8,7 @@ from datetime import date as Date
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lendscape.operators import quality as q
 from lendscape.operators.kpi import risk_summary
@@ -19,11 +20,21 @@ from lendscape.specs import (
     BUREAU,
     BUREAU_BALANCE,
     INSTALLMENTS,
+    PREVIOUS_APPLICATION,
     SOURCES,
     TRACKED_ATTRIBUTES,
 )
 
 BUILD = "build"
+MARTS = (
+    "dim_applicant",
+    "dim_loan_type",
+    "dim_credit_status",
+    "fact_loan_application",
+    "fact_bureau_credit",
+    "fact_installment_payment",
+    "applicant_features",
+)
 
 
 @dataclass(frozen=True)
@@ -55,10 +66,14 @@ def land(
     day: Date,
     run_ts: datetime,
     env: str = "dev",
-    apply_business_rules: bool = False,
+    apply_business_rules: bool = True,
     parallel: int = 4,
 ) -> dict[str, landing.IngestResult]:
-    """Land all tables; independent Spark jobs are submitted side by side."""
+    """Land all tables; independent Spark jobs are submitted side by side.
+
+    Applications without outcome or with non-positive credit are quarantined unless
+    ``apply_business_rules`` is switched off.
+    """
 
     def one(spec):
         rules = business_rules(spec) if apply_business_rules else {}
@@ -91,12 +106,9 @@ def silver_gate(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def model(
-    spark: SparkSession, lake: Lake, run_ts: datetime, thorough: bool = False
+    spark: SparkSession, lake: Lake, run_ts: datetime
 ) -> dict[str, DataFrame]:
-    """Rebuild the marts from the current Silver state and return them as stored.
-
-    ``thorough`` also repeats on the staged rows what the Silver gate has checked.
-    """
+    """Gate the staged rows, rebuild the marts from them and return the marts as stored."""
     app = gold.stg_application(read_silver(spark, APPLICATION, lake.silver))
     bureau = gold.stg_bureau(read_silver(spark, BUREAU, lake.silver))
     balance = gold.stg_bureau_balance(read_silver(spark, BUREAU_BALANCE, lake.silver))
@@ -111,7 +123,7 @@ def model(
         "bureau_with_balance": gold.bureau_with_balance(bureau, balance),
         "installment_payments": gold.installment_payments(installments),
     }
-    q.gate(q.evaluate(spark, staged, suites.staging_suites(thorough)))
+    q.gate(q.evaluate(spark, staged, suites.staging_suites()))
 
     store.publish_history(
         spark, lake.history, attributes, "applicant_id", TRACKED_ATTRIBUTES, run_ts
@@ -141,16 +153,34 @@ def model(
     marts["fact_installment_payment"] = build(
         "fact_installment_payment", gold.fact_installment_payment(installments)
     )
+    previous = read_silver(spark, PREVIOUS_APPLICATION, lake.silver)
+    marts["applicant_features"] = build(
+        "applicant_features",
+        gold.applicant_features(
+            app.select("sk_id_curr"),
+            marts["fact_bureau_credit"],
+            previous.select(F.col("SK_ID_CURR").alias("sk_id_curr")),
+            marts["fact_installment_payment"],
+        ),
+    )
     return marts
 
 
+def stored_marts(spark: SparkSession, lake: Lake, run_ts: datetime) -> dict[str, DataFrame]:
+    """The marts as a run has stored them."""
+    label = store.run_label(run_ts)
+    return {name: store.read_run(spark, lake.gold(name), BUILD, label) for name in MARTS}
+
+
+def gold_gate(spark: SparkSession, marts: dict[str, DataFrame]) -> DataFrame:
+    return q.evaluate(spark, marts, suites.gold_suites(marts))
+
+
 def summarise(
     spark: SparkSession, lake: Lake, marts: dict[str, DataFrame], run_ts: datetime
 ) -> DataFrame:
     """Store and return the KPI summary."""
-    loans = gold.loan_star(
-        marts["fact_loan_application"], marts["dim_applicant"], marts["dim_loan_type"]
-    )
+    loans = gold.with_loan_type(marts["fact_loan_application"], marts["dim_loan_type"])
     summary = risk_summary(loans, marts["fact_bureau_credit"], marts["fact_installment_payment"])
     label = store.run_label(run_ts)
     store.write_run(summary, lake.gold("risk_summary"), BUILD, label)
@@ -164,9 +194,9 @@ def run_day(
     day: Date,
     run_ts: datetime,
     env: str = "dev",
-    apply_business_rules: bool = False,
+    apply_business_rules: bool = True,
     require_all: bool = True,
-    thorough: bool = False,
+    salt: str | None = None,
 ) -> dict[str, DataFrame]:
     """The whole batch. Warnings are logged; failures stop it at the gate they occur in."""
     landed = land(spark, source, lake, day, run_ts, env, apply_business_rules)
@@ -174,9 +204,9 @@ def run_day(
         for result in landed.values():
             landing.require_rows(result)
     q.gate(bronze_gate(spark, lake, day))
-    refine(spark, lake, day)
+    refine(spark, lake, day, salt)
     q.gate(silver_gate(spark, lake), require=["silver_application", "silver_bureau"])
-    marts = model(spark, lake, run_ts, thorough)
-    q.gate(q.evaluate(spark, marts, suites.gold_suites(marts, thorough)))
+    marts = model(spark, lake, run_ts)
+    q.gate(gold_gate(spark, marts))
     marts["risk_summary"] = summarise(spark, lake, marts, run_ts)
     return marts

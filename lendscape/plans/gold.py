@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lendscape.functions import day_gap, safe_ratio, surrogate_key
 from lendscape.operators.dims import dim_from_distinct, dim_static
 from lendscape.operators.history import scd2_present
+from lendscape.operators.kpi import applicant_features as join_features
+from lendscape.operators.kpi import count_per, exact_sum
 from lendscape.operators.lookup import left_lookup, lookup_current, lookup_small
 from lendscape.operators.shape import conform
 from lendscape.specs import CARRIED_ATTRIBUTES, CREDIT_STATUSES, TRACKED_ATTRIBUTES
@@ -230,4 +232,35 @@ def loan_star(fact: DataFrame, applicants: DataFrame, loan_types: DataFrame) ->
         "applicant_sk",
         ["name_income_type", "name_education_type", "name_family_status", "days_employed_masked"],
     )
-    return lookup_small(rows, loan_types, "loan_type_id", "loan_type_id", ["loan_type_name"])
+    return with_loan_type(rows, loan_types)
+
+
+def with_loan_type(fact: DataFrame, loan_types: DataFrame) -> DataFrame:
+    """Loan fact with the loan type's name, all that the headline summary needs."""
+    return lookup_small(fact, loan_types, "loan_type_id", "loan_type_id", ["loan_type_name"])
+
+
+def with_employment(loans: DataFrame, stg_app: DataFrame) -> DataFrame:
+    """Loans with what the applicant does and for whom, for employment segments."""
+    employment = ["occupation_type", "organization_type"]
+    return left_lookup(loans, stg_app.select("sk_id_curr", *employment), ["sk_id_curr"], employment)
+
+
+def applicant_features(
+    applicants: DataFrame, bureau: DataFrame, previous: DataFrame, payments: DataFrame
+) -> DataFrame:
+    """One row per applicant: bureau records, previous applications, punctuality.
+
+    Every part is reduced to the applicant before it is joined.
+    """
+    records = bureau.groupBy("sk_id_curr").agg(
+        F.count(F.lit(1)).alias("bureau_records"),
+        exact_sum("amt_credit_sum").cast("double").alias("bureau_exposure"),
+        F.count_if(F.col("credit_day_overdue") > 0).alias("overdue_records"),
+    )
+    paid = payments.groupBy("sk_id_curr").agg(
+        F.count(F.lit(1)).alias("payments"),
+        F.avg("days_payment_diff").alias("avg_days_payment_diff"),
+    )
+    counted = count_per(previous, "sk_id_curr", "previous_applications")
+    return join_features(applicants, "sk_id_curr", [records, counted, paid])

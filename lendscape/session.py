@@ -14,7 +14,7 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     while erring low makes every partition spill.
     """
     by_size = -(-input_bytes // TARGET_PARTITION_BYTES)
-    return int(min(max(by_size, 2 * cores), 200_000))
+    return int(max(by_size, 2 * cores))
 
 
 def tune(builder: SparkSession.Builder, input_bytes: int, cores: int) -> SparkSession.Builder:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscape.operators.shape import broken_rules, stamp
-from lendscape.sources.store import exists, latest_run, write_run
+from lendscape.sources.store import exists, latest_run, read_runs, run_path, write_run
 from lendscape.specs import TableSpec
 
 log = logging.getLogger(__name__)
@@ -51,7 +51,7 @@ def resolve_source(spark: SparkSession, landing: str, spec: TableSpec) -> str |
 
 
 def read_csv(
-    spark: SparkSession, spec: TableSpec, path: str, null_token: str = ""
+    spark: SparkSession, spec: TableSpec, path: str, null_token: str | None = None
 ) -> DataFrame:
     """CSV matched to the catalogue by header name; the parser types the catalogued columns.
 
@@ -68,7 +68,8 @@ def read_csv(
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
-        .option("nullValue", null_token)
+        .option("nullValue", spec.null_token if null_token is None else null_token)
+        .option("multiLine", spec.multi_line)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
         .withColumn(_FILE, F.col("_metadata.file_path"))
@@ -80,14 +81,15 @@ def read_source(
     spec: TableSpec,
     path: str | None,
     rules: Mapping[str, Column] | None = None,
-    null_token: str = "",
+    null_token: str | None = None,
 ) -> DataFrame:
     """Typed rows of one source with the list of broken rules per row.
 
     Types come from the catalogue: no inference pass, and no change of type from one day to
     the next. Columns beyond the catalogue are stored as text. A malformed line, a whole-number
     column holding a fraction and a NULL primary key are broken rules; ``raw`` then keeps what
-    the typed columns cannot hold. ``null_token`` means NULL besides the empty field.
+    the typed columns cannot hold. ``null_token`` means NULL besides the empty
+    field; the default is the table's.
     """
     if path is None:
         lineage = ("source_file", "reasons", "raw")
@@ -132,7 +134,7 @@ def ingest(
     env: str = "dev",
     batch_id: str | None = None,
     rules: Mapping[str, Column] | None = None,
-    null_token: str = "",
+    null_token: str | None = None,
 ) -> IngestResult:
     """Land one table for one day, replacing that day.
 
@@ -180,10 +182,10 @@ def read_day(
 ) -> DataFrame | None:
     """One landed day with its date column; ``None`` when that day is not there."""
     root, label = f"{bronze}/{spec.name}", ingestion_date.isoformat()
-    if not exists(spark, f"{root}/{DAY}={label}/_SUCCESS"):
+    if run_path(spark, root, DAY, label) is None:
         return None
     schema = spec.bronze_schema.add(DAY, T.DateType()).add(ZONE, T.StringType())
-    stored = spark.read.schema(schema).option("basePath", root).parquet(f"{root}/{DAY}={label}")
+    stored = read_runs(spark, root, DAY, [label], schema)
     return stored.filter((F.col(DAY) == F.lit(ingestion_date)) & (F.col(ZONE) == zone)).drop(ZONE)
 
 

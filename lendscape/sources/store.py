@@ -1,12 +1,19 @@
 """Layer storage as parquet.
 
-Each run writes one directory ``<root>/<column>=<label>`` and touches no other, so a lost
-driver leaves earlier runs whole and repeating a run replaces exactly its own output. A run
-counts once Spark has put its ``_SUCCESS`` marker there.
+A run is written to a new numbered attempt, ``<root>/<column>=<label>/try=<n>``, and counts once
+Spark has put its ``_SUCCESS`` marker there; the newest complete attempt is the run. A lost
+driver, also one repeating an earlier run, therefore leaves the previous attempt in force.
+Attempts older than the one before it are removed afterwards.
+
+Keyed tables are kept in a fixed number of buckets by key hash. A day's rows are stored as a
+delta, the buckets they touch are merged and written anew, other buckets' files stay as they
+are. One commit file, put in place last, says which files make up each day's state.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -17,34 +24,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscape.operators.history import VALID_FROM, VALID_TO, open_versions, scd2_step
-from lendscape.operators.lookup import fits_broadcast
-from lendscape.operators.upsert import upsert
+from lendscape.operators.upsert import any_null, upsert
 
-SNAPSHOT = "snapshot"
+LABEL = "label"
 RUN = "run"
 STATE = "state"
+DELTA = "delta"
 OPEN, CLOSED = "open", "closed"
+TRY = "try"
+BUCKET = "_bucket"
+# Buckets of a keyed table, fixed when it is first written. Choose them so that a bucket is
+# about a gigabyte when the table has its expected size.
+BUCKETS = 64
 
-# Most incoming keys an upsert may broadcast.
-UPSERT_ROWS = 500_000
-UPSERT_BYTES = 32 * 1024 * 1024
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, on whatever file system its scheme names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def _glob(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Paths below a root that match, in one call."""
+    literal = re.sub(r"([{}\[\]*?\\])", r"\\\1", root)
+    fs, target = _file_system(spark, f"{literal}/{pattern}")
+    return [str(status.getPath()) for status in fs.globStatus(target) or []]
+
+
+def _attempts(spark: SparkSession, root: str, column: str) -> dict[str, list[int]]:
+    """Complete attempts of every label, ascending."""
+    out: dict[str, list[int]] = {}
+    for path in _glob(spark, root, f"{column}=*/{TRY}=*/_SUCCESS"):
+        *_, label, attempt, _ = path.split("/")
+        out.setdefault(label.split("=", 1)[1], []).append(int(attempt.split("=")[1]))
+    return {label: sorted(numbers) for label, numbers in sorted(out.items())}
 
 
 def run_labels(spark: SparkSession, root: str, column: str) -> list[str]:
-    """Labels of complete runs, ascending. Lists directory names only."""
-    if not exists(spark, root):
-        return []
-    target = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in fs.listStatus(target)]
-    labels = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
-    return sorted(x for x in labels if exists(spark, f"{root}/{column}={x}/_SUCCESS"))
+    """Labels of complete runs, ascending. Lists names only."""
+    return list(_attempts(spark, root, column))
 
 
 def latest_run(
@@ -55,16 +78,29 @@ def latest_run(
     return labels[-1] if labels else None
 
 
+def run_path(spark: SparkSession, root: str, column: str, label: str) -> str | None:
+    """Folder of a run's newest complete attempt."""
+    numbers = _attempts(spark, root, column).get(label)
+    return f"{root}/{column}={label}/{TRY}={numbers[-1]}" if numbers else None
+
+
 def write_run(
     df: DataFrame, root: str, column: str, label: str, partition_by: Sequence[str] = ()
-) -> None:
-    """Replace one run's directory."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partition_by)
-        .parquet(f"{root}/{column}={label}")
-    )
+) -> int:
+    """Write a run, replacing an earlier one of the label only once it is complete.
+
+    Returns the attempt's number.
+    """
+    spark = df.sparkSession
+    begun = [int(p.rsplit("=", 1)[1]) for p in _glob(spark, f"{root}/{column}={label}", f"{TRY}=*")]
+    number = max(begun, default=0) + 1
+    df.write.partitionBy(*partition_by).parquet(f"{root}/{column}={label}/{TRY}={number}")
+    complete = _attempts(spark, root, column)[label]
+    for old in begun:
+        if len(complete) > 1 and old < complete[-2]:
+            fs, target = _file_system(spark, f"{root}/{column}={label}/{TRY}={old}")
+            fs.delete(target, True)
+    return number
 
 
 def read_run(
@@ -72,20 +108,79 @@ def read_run(
 ) -> DataFrame:
     """One run's rows, without the run column."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{root}/{column}={label}")
+    return reader.parquet(run_path(spark, root, column, label))
 
 
 def read_runs(
-    spark: SparkSession, root: str, column: str, labels: Sequence[str]
+    spark: SparkSession,
+    root: str,
+    column: str,
+    labels: Sequence[str],
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Several runs' rows with the run column; other runs' files are not even listed."""
-    paths = [f"{root}/{column}={x}" for x in labels]
-    return spark.read.option("basePath", root).parquet(*paths)
-
-
-def read_latest(spark: SparkSession, root: str, column: str = SNAPSHOT) -> DataFrame | None:
-    label = latest_run(spark, root, column)
-    return None if label is None else read_run(spark, root, column, label)
+    numbers = _attempts(spark, root, column)
+    paths = [f"{root}/{column}={x}/{TRY}={numbers[x][-1]}" for x in labels]
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", root).parquet(*paths).drop(TRY)
+
+
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(p.rsplit("/", 1)[1]) for p in _glob(spark, f"{root}/commits", "[0-9]*"))
+
+
+def _last_commit(spark: SparkSession, root: str) -> dict:
+    """The state of a keyed table: bucket count and, per label, attempts and touched buckets."""
+    numbers = _commits(spark, root)
+    if not numbers:
+        return {"number": 0, "buckets": None, "labels": {}}
+    return json.loads(_read_text(spark, f"{root}/commits/{numbers[-1]}"))
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, root: str, state: dict) -> None:
+    """Put the next commit file in place: written aside, then renamed, which fails when another
+    writer was first."""
+    number = state["number"] + 1
+    aside = f"{root}/commits/.{uuid.uuid4().hex}"
+    fs, target = _file_system(spark, aside)
+    stream = fs.create(target, False)
+    stream.write(bytearray(json.dumps(state | {"number": number}).encode()))
+    stream.close()
+    _, final = _file_system(spark, f"{root}/commits/{number}")
+    if fs.exists(final) or not fs.rename(target, final):
+        raise ValueError(f"{root} was changed by another writer")
+
+
+def _bucket_paths(
+    root: str, state: dict, upto: str, only: Sequence[int] | None = None
+) -> list[str]:
+    """Folders that hold the buckets' newest state as of a label."""
+    place: dict[int, str] = {}
+    for label in sorted(x for x in state["labels"] if x <= upto):
+        kind, number = state["labels"][label]["state"]
+        folder = f"{root}/{kind}/{LABEL}={label}/{TRY}={number}"
+        place.update((b, f"{folder}/{BUCKET}={b}") for b in state["labels"][label]["touched"])
+    return [path for b, path in sorted(place.items()) if only is None or b in only]
+
+
+def read_keyed(spark: SparkSession, root: str, as_of: str | None = None) -> DataFrame | None:
+    """State of a keyed table, by default the newest; ``None`` when there is none."""
+    state = _last_commit(spark, root)
+    known = [x for x in sorted(state["labels"]) if as_of is None or x <= as_of]
+    if not known:
+        return None
+    schema = T.StructType.fromJson(state["schema"])
+    paths = _bucket_paths(root, state, known[-1])
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def publish_upsert(
@@ -94,23 +189,53 @@ def publish_upsert(
     source: DataFrame,
     keys: Sequence[str],
     label: str,
-    measure: DataFrame | None = None,
+    buckets: int = BUCKETS,
 ) -> None:
-    """Store the previous snapshot with the source merged in as this label's snapshot.
+    """Merge a day's rows into a keyed table.
 
-    Repeating a label starts from the snapshot before it, so it is idempotent even for rows
-    with NULL keys. When the incoming keys are measured to be few, the stored table is filtered
-    where it lies instead of being shuffled. ``measure`` is a cheaper frame known to hold at
-    least the source's keys, such as the landed rows before deduplication.
+    The source is evaluated once, into the label's delta, where its keys are checked. Buckets it
+    touches are merged with their state before the label. Labels after it, if any, are merged
+    again from their stored deltas in order, so a back-dated day ends up as if it had come in
+    time; and repeating a label starts from the state before it. Nothing is visible until the
+    commit at the end.
     """
-    base = latest_run(spark, root, SNAPSHOT, before=label)
-    if base is None:
-        write_run(upsert(None, source, keys), root, SNAPSHOT, label)
-        return
-    incoming = (source if measure is None else measure).select(*keys)
-    few = fits_broadcast(incoming, UPSERT_ROWS, UPSERT_BYTES)
-    target = read_run(spark, root, SNAPSHOT, base)
-    write_run(upsert(target, source, keys, few), root, SNAPSHOT, label)
+    state = _last_commit(spark, root)
+    n = state["buckets"] or buckets
+    placed = _placed(source, keys, n).repartition(n, BUCKET)
+    checked = upsert(None, placed, keys, [BUCKET])
+    delta = write_run(checked, f"{root}/{DELTA}", LABEL, label, [BUCKET])
+    state["labels"][label] = {"delta": delta}
+    state |= {"buckets": n, "schema": source.schema.jsonValue()}
+    for later in sorted(x for x in state["labels"] if x >= label):
+        _merge_label(spark, root, state, later, keys)
+    _commit(spark, root, state)
+
+
+def _placed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Add the bucket: of the key, or of the whole row where the key is NULL."""
+    place = F.when(any_null(keys), F.xxhash64(*df.columns)).otherwise(F.xxhash64(*keys))
+    return df.withColumn(BUCKET, F.pmod(place, F.lit(buckets)).cast("int"))
+
+
+def _merge_label(
+    spark: SparkSession, root: str, state: dict, label: str, keys: Sequence[str]
+) -> None:
+    """Write the state of the buckets that a label's delta touches.
+
+    Buckets touched for the first time need no merge if all are: the delta is their state.
+    """
+    entry, schema = state["labels"][label], T.StructType.fromJson(state["schema"])
+    folder = f"{root}/{DELTA}/{LABEL}={label}/{TRY}={entry['delta']}"
+    touched = sorted(int(p.rsplit("=", 1)[1]) for p in _glob(spark, folder, f"{BUCKET}=*"))
+    before = max((x for x in state["labels"] if x < label), default=None)
+    paths = [] if before is None else _bucket_paths(root, state, before, touched)
+    entry |= {"touched": touched, "state": (DELTA, entry["delta"])}
+    if paths:
+        read = lambda *x: _placed(spark.read.schema(schema).parquet(*x), keys, state["buckets"])
+        target, source = read(*paths), read(*[f"{folder}/{BUCKET}={b}" for b in touched])
+        # One exchange by bucket serves the merge and the write.
+        merged = upsert(target, source, keys, [BUCKET], state["buckets"])
+        entry["state"] = (STATE, write_run(merged, f"{root}/{STATE}", LABEL, label, [BUCKET]))
 
 
 def run_label(run_ts: datetime) -> str:
@@ -138,7 +263,7 @@ def publish_history(
         raise ValueError(f"history already holds a later run ({newest}) than {label}")
     base = latest_run(spark, root, RUN, before=label)
     if base is None:
-        rows = open_versions(source, run_ts)
+        rows = open_versions(source, run_ts, key)
     else:
         schema = open_versions(source, run_ts).schema.add(STATE, T.StringType())
         stored = read_run(spark, root, RUN, base, schema)
@@ -173,14 +298,14 @@ def scratch(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Store a frame with several consumers once, where the session names a checkpoint folder.
+    """Store a frame with several consumers once, as parquet below the scratch folder.
 
-    That folder is on shared storage, so the rows outlive any executor. Without one the frame
-    stays lazy and is computed per consumer.
+    That folder is on shared storage, so the rows outlive any executor; consumers read only the
+    columns they need.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        return df
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialise(
@@ -205,12 +330,6 @@ def materialise(
     return spark.table(name)
 
 
-def register(tables: dict[str, DataFrame]) -> None:
-    """Make frames available to SQL by name."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
 __all__ = [
     "VALID_FROM",
     "VALID_TO",
@@ -220,12 +339,12 @@ __all__ = [
     "publish_history",
     "publish_upsert",
     "read_history",
-    "read_latest",
+    "read_keyed",
     "read_run",
     "read_runs",
-    "register",
     "run_label",
     "run_labels",
+    "run_path",
     "scratch",
     "settle",
     "write_run",

@@ -36,6 +36,10 @@ class TableSpec:
     masked: tuple[str, ...] = ()
     only: Mapping[str, Any] = field(default_factory=dict)
     cluster_by: tuple[str, ...] = ()
+    # Text that means NULL in the file, and whether quoted fields may span lines (then a file is
+    # read by one task).
+    null_token: str = ""
+    multi_line: bool = False
 
     @property
     def schema(self) -> T.StructType:

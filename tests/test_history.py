@@ -2,15 +2,16 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lendscape.operators.history import (
-    even_chunks,
     not_exactly_one_current,
     open_versions,
     scd2_apply,
     scd2_from_log,
     scd2_present,
+    stretch_of,
 )
 from lendscape.sources import store
 
@@ -99,8 +100,8 @@ def brute(events):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("seed,rows_per_chunk", [(1, 10**6), (2, 10), (3, 40), (4, 1)])
-def test_log_folding_equals_brute_force(spark, seed, rows_per_chunk):
+@pytest.mark.parametrize("seed,stretch", [(1, None), (2, "DAY"), (3, "HOUR"), (4, "YEAR")])
+def test_log_folding_equals_brute_force(spark, seed, stretch):
     """Random logs with repeats across days, ties, NULL states and one hot key."""
     rng = random.Random(seed)
     events = []
@@ -109,7 +110,7 @@ def test_log_folding_equals_brute_force(spark, seed, rows_per_chunk):
         at = T[0] + timedelta(hours=rng.randint(0, 240))
         events.append((key, at, i, rng.choice(["a", "a", "b", None]), rng.random()))
     log = spark.createDataFrame(events, "k long, ts timestamp, seq long, state string, extra double")
-    out = scd2_from_log(log, "k", "ts", ["state"], ["seq"], ["extra"], rows_per_chunk)
+    out = scd2_from_log(log, "k", "ts", ["state"], ["seq"], ["extra"], stretch)
     got = sorted(
         [(r.k, r.state, r.extra, r.valid_from, r.valid_to) for r in out.collect()], key=str
     )
@@ -127,31 +128,45 @@ def test_log_folding_does_not_depend_on_the_chunk(spark, kind):
     log = log.withColumn("ts", F.unix_seconds("ts") if kind == "long" else F.col("ts").cast(kind))
     results = [
         sorted(map(str, scd2_from_log(log, "k", "ts", ["state"], ["seq"], (), n).collect()))
-        for n in (10**6, 100, 7)
+        for n in ((10**9, 10**5, 3600) if kind == "long" else ("YEAR", "DAY", "HOUR"))
     ]
     assert results[0] == results[1] == results[2]
 
 
-def test_chunks_are_even_monotone_and_split_a_hot_key(spark):
-    log = spark.range(10_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
-        # Nine tenths of the rows fall into the last tenth of the time range.
-        F.when(F.col("id") < 1_000, F.col("id") * 90).otherwise(90_000 + F.col("id")).alias("ts"),
-    )
-    cut = even_chunks(log, "ts", 500)
-    sizes = {r._chunk: r["count"] for r in cut.groupBy("_chunk").count().collect()}
-    assert len(sizes) >= 18 and max(sizes.values()) <= 600
-    hot = cut.filter("k = 0").groupBy("_chunk").count().agg(F.max("count")).first()[0]
-    assert hot <= 200
-    spans = cut.groupBy("_chunk").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    spans = sorted(map(tuple, spans.collect()))
-    assert all(x[2] < y[1] for x, y in zip(spans, spans[1:]))
+def test_stretches_do_not_move_with_outliers(spark):
+    times = [datetime(2020, 1, 1) + timedelta(hours=h) for h in range(1000)]
+    odd = [datetime(1, 1, 2), datetime(9999, 12, 31)]
+    log = spark.createDataFrame([(t,) for t in times + odd], "ts timestamp_ntz")
+    sizes = log.groupBy(stretch_of(log, "ts", "DAY").alias("s")).count().agg(F.max("count")).first()[0]
+    assert sizes == 24
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "long"])
+def test_null_order_comes_first(spark, kind):
+    log = spark.createDataFrame([(1, "a", None), (1, "b", 5), (1, "a", 10**9)], "k long, s string, n long")
+    log = log.withColumn("ts", F.timestamp_seconds("n") if kind == "timestamp" else F.col("n"))
+    assert [r.s for r in scd2_from_log(log, "k", "ts", ["s"]).orderBy("valid_from").collect()] == ["a", "b", "a"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Singapore", "America/New_York"])
+def test_presentation_does_not_depend_on_the_time_zone(spark, zone):
+    history = fold(spark, [[(1, "a", 0, "x")], [(1, "b", 0, "x")]])
+    def shown():
+        return sorted(map(str, scd2_present(history, "id", "person_sk").collect()))
+    before = shown()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert shown() == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_null_order_comes_first_and_in_its_own_chunk(spark):
-    log = spark.createDataFrame([(1, None), (1, 5), (1, 9)], "k long, ts long")
-    chunks = {r.ts: r._chunk for r in even_chunks(log, "ts", 1).collect()}
-    assert chunks[None] == -1 and chunks[5] <= chunks[9]
+def test_null_key_is_refused(spark):
+    bad = snap(spark, [(None, "a", 0, "x")])
+    with pytest.raises(PySparkException, match="NULL id"):
+        open_versions(bad, T[0], "id").collect()
+    with pytest.raises(PySparkException, match="NULL id"):
+        scd2_apply(open_versions(snap(spark, [(1, "a", 0, "x")]), T[0]), bad, "id", ["job"], T[1]).collect()
 
 
 def test_log_folding_equals_folding_snapshots(spark):
@@ -174,7 +189,7 @@ def test_log_folding_equals_folding_snapshots(spark):
 
 def test_raw_log_is_never_windowed_by_key_alone(spark):
     log = spark.createDataFrame([(1, T[0], "a"), (2, T[1], "a")], "k long, ts timestamp, s string")
-    text = scd2_from_log(log, "k", "ts", ["s"], rows_per_chunk=1)._jdf.queryExecution().optimizedPlan().toString()
+    text = scd2_from_log(log, "k", "ts", ["s"])._jdf.queryExecution().optimizedPlan().toString()
     for line in text.splitlines():
         if "Window" in line and "_chunk" not in line.split("],")[-2]:
             assert any(summary in line for summary in ("_last_state", "_opens_at", "_slot"))

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -45,7 +46,7 @@ def test_null_key_is_quarantined(spark, folders):
 def test_writes_day_directory(spark, folders):
     put(folders[0], "application_train.csv", HEADER + "1,5,a\n")
     run(spark, folders)
-    root = f"{folders[1]}/application_train/ingestion_date=2026-05-12"
+    root = f"{folders[1]}/application_train/ingestion_date=2026-05-12/try=1"
     assert store.exists(spark, f"{root}/zone=clean") and store.exists(spark, f"{root}/_SUCCESS")
     assert not store.exists(spark, f"{root}/zone=quarantine")
 
@@ -155,3 +156,16 @@ def test_observed_counts_cover_every_row(spark, folders):
     result = run(spark, folders)
     assert result.rows_read == 5_000
     assert result.quarantine_rows == len(range(0, 5_000, 7))
+
+
+def test_null_token_of_the_table(spark, folders):
+    put(folders[0], "application_train.csv", HEADER + "1,NA,a\n")
+    result = run(spark, folders, replace(APPLICATION, null_token="NA"))
+    assert (result.rows_written, result.quarantine_rows) == (1, 0)
+    assert landing.read_day(spark, folders[1], APPLICATION, DAY).first().AMT_CREDIT is None
+
+
+def test_quoted_line_break(spark, folders):
+    put(folders[0], "application_train.csv", HEADER + '1,5,"a\nb"\n2,6,c\n')
+    result = run(spark, folders, replace(APPLICATION, multi_line=True))
+    assert (result.rows_written, result.quarantine_rows) == (2, 0)

@@ -30,13 +30,14 @@ def test_optional_lookup(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "a", 9), (2, "b", None)]
 
 
-def test_small_lookup_broadcasts_only_what_is_measured_small(spark):
+def test_small_lookup_forces_a_broadcast_of_bounded_sides_only(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         fact = spark.range(100).select((F.col("id") % 3).alias("c"))
         small = spark.range(3).select("id", F.lit("n").alias("name"))
         large = spark.range(20_000).select("id", F.lit("n").alias("name"))
-        assert "BroadcastHashJoin" in plan(lookup.lookup_small(fact, small, "c", "id", ["name"]))
+        bounded = lookup.lookup_small(fact, small, "c", "id", ["name"], bounded=True)
+        assert "BroadcastHashJoin" in plan(bounded)
         out = lookup.lookup_small(fact, large, "c", "id", ["name"])
         assert "Broadcast" not in plan(out)
         assert out.count() == 100 and out.filter("name is null").count() == 0
@@ -44,14 +45,6 @@ def test_small_lookup_broadcasts_only_what_is_measured_small(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_size_check_counts_rows_and_bytes(spark):
-    df = spark.range(50).select(F.repeat(F.lit("x"), 1000).alias("wide"))
-    assert lookup.fits_broadcast(df, max_rows=50, max_bytes=100_000)
-    assert not lookup.fits_broadcast(df, max_rows=49, max_bytes=100_000)
-    assert not lookup.fits_broadcast(df, max_rows=50, max_bytes=10_000)
-    assert lookup.fits_broadcast(df.limit(0))
-
-
 def test_orphans_ignore_null_keys(spark):
     child = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "id long, fk long")
     parent = spark.createDataFrame([(10,), (10,)], "pk long")

@@ -54,4 +54,4 @@ def test_contract(spark):
 def test_shuffle_partitions_follow_input_size():
     assert shuffle_partitions(0, 8) == 16
     assert shuffle_partitions(10 * TARGET_PARTITION_BYTES, 2) == 10
-    assert shuffle_partitions(100 * 10**12, 8000) == 200_000
+    assert shuffle_partitions(100 * 10**12, 8000) == 745_059

@@ -14,11 +14,6 @@ def test_view_and_table(spark):
         spark.sql("DROP TABLE some_table")
 
 
-def test_register(spark):
-    store.register({"named_rows": spark.range(3)})
-    assert spark.sql("SELECT count(*) AS n FROM named_rows").first().n == 3
-
-
 def test_runs_are_independent_and_ordered(spark, tmp_path):
     root = str(tmp_path / "r")
     assert store.latest_run(spark, root, "build") is None

@@ -39,12 +39,13 @@ def test_repeated_source_key_fails(spark):
         upsert(frame(spark, [(9, "x")]), frame(spark, [(1, "a"), (1, "b")]), ["k"]).collect()
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_repeated_source_key_fails_in_both_join_forms(spark, few):
-    target = spark.range(1000).select(F.col("id").alias("k"), F.lit("t").alias("v"))
-    source = frame(spark, [(5, "a"), (5, "b")])
+def test_repeated_source_key_fails_on_the_first_day_too(spark, tmp_path):
+    twice = frame(spark, [(5, "a"), (5, "b")])
     with pytest.raises(PySparkException, match="repeats a key"):
-        upsert(target, source, ["k"], few).count()
+        upsert(None, twice, ["k"]).count()
+    with pytest.raises(PySparkException, match="repeats a key"):
+        store.publish_upsert(spark, str(tmp_path / "t"), twice, ["k"], "2026-05-12")
+    assert store.read_keyed(spark, str(tmp_path / "t")) is None
 
 
 def test_null_keys_match_nothing(spark):
@@ -74,43 +75,78 @@ def test_applying_twice_changes_nothing(spark):
         assert rows(upsert(once, source, ["k"])) == rows(once)
 
 
-def test_few_keys_leave_the_target_unshuffled(spark):
+def test_each_side_is_shuffled_once(spark):
     target = spark.range(10_000).select(F.col("id").alias("k"), F.lit("t").alias("v"))
-    source = frame(spark, [(5, "s")])
-    text = upsert(target, source, ["k"], few_keys=True)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in text and text.count("Exchange hashpartitioning") == 1
+    text = upsert(target, frame(spark, [(5, "s")]), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
 
 
-def test_bucketed_target_is_not_shuffled(spark):
-    """A table stored in buckets of the key needs an exchange on the source side only."""
-    target = spark.range(10_000).select(F.col("id").alias("k"), F.lit("t").alias("v"))
-    stored = store.materialise(target, "bucketed_target", "table", ["k"], 4)
-    source = spark.range(5_000, 15_000).select(F.col("id").alias("k"), F.lit("s").alias("v"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = upsert(stored, source, ["k"])
-        text = out._jdf.queryExecution().executedPlan().toString()
-        assert text.count("Exchange hashpartitioning") == 1
-        assert out.count() == 15_000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.sql("DROP TABLE bucketed_target")
-
-
-def test_published_snapshots(spark, tmp_path):
+DAYS = ("2026-05-10", "2026-05-11", "2026-05-12")
+
+
+def publish(spark, root, label, *pairs, buckets=4):
+    store.publish_upsert(spark, root, frame(spark, list(pairs)), ["k"], label, buckets)
+
+
+def test_published_days(spark, tmp_path):
     root = str(tmp_path / "t")
-    store.publish_upsert(spark, root, frame(spark, [(1, "a"), (2, "a")]), ["k"], "2026-05-12")
-    store.publish_upsert(spark, root, frame(spark, [(2, "b"), (3, "b")]), ["k"], "2026-05-13")
-    expected = [(1, "a"), (2, "b"), (3, "b")]
-    assert rows(store.read_latest(spark, root)) == expected
-    store.publish_upsert(spark, root, frame(spark, [(2, "b"), (3, "b")]), ["k"], "2026-05-13")
-    assert rows(store.read_latest(spark, root)) == expected
-    assert rows(store.read_run(spark, root, "snapshot", "2026-05-12")) == [(1, "a"), (2, "a")]
+    publish(spark, root, DAYS[0], (1, "a"), (2, "a"))
+    publish(spark, root, DAYS[1], (2, "b"), (3, "b"), (None, "n"))
+    expected = [(1, "a"), (2, "b"), (3, "b"), (None, "n")]
+    assert rows(store.read_keyed(spark, root)) == expected
+    publish(spark, root, DAYS[1], (2, "b"), (3, "b"), (None, "n"))
+    assert rows(store.read_keyed(spark, root)) == expected
+    assert rows(store.read_keyed(spark, root, DAYS[0])) == [(1, "a"), (2, "a")]
+    assert store.read_keyed(spark, root, "2026-05-09") is None
+
+
+def test_random_order_of_days_gives_the_state_of_the_right_order(spark, tmp_path):
+    rng = random.Random(3)
+    for turn in range(2):
+        root, days = str(tmp_path / f"t{turn}"), {}
+        for label in rng.sample([*DAYS, *DAYS[:1]], 4):
+            days[label] = [(k, f"{label}/{rng.random():.3f}") for k in rng.sample(range(12), 5)]
+            publish(spark, root, label, *days[label])
+            want = {k: v for day in sorted(days) for k, v in days[day]}
+            assert dict(rows(store.read_keyed(spark, root))) == want
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    publish(spark, root, DAYS[0], *[(k, "a") for k in range(40)], buckets=8)
+    before = set(store.read_keyed(spark, root).inputFiles())
+    publish(spark, root, DAYS[1], (7, "b"), buckets=8)
+    after = set(store.read_keyed(spark, root).inputFiles())
+    assert len(before - after) == 1 and len(before & after) == 7
 
 
-def test_incomplete_snapshot_is_ignored(spark, tmp_path):
+def test_failed_repetition_leaves_the_state(spark, tmp_path):
+    root = str(tmp_path / "t")
+    publish(spark, root, DAYS[0], (1, "a"))
+    publish(spark, root, DAYS[1], (1, "b"))
+    broken = frame(spark, [(1, "x")]).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    for label in DAYS[:2]:
+        with pytest.raises(PySparkException, match="lost"):
+            store.publish_upsert(spark, root, broken, ["k"], label)
+        assert rows(store.read_keyed(spark, root)) == [(1, "b")]
+        assert rows(store.read_keyed(spark, root, DAYS[0])) == [(1, "a")]
+
+
+def test_incomplete_attempt_is_ignored(spark, tmp_path):
+    root = str(tmp_path / "r")
+    store.write_run(frame(spark, [(1, "a")]), root, "day", DAYS[0])
+    (tmp_path / "r" / f"day={DAYS[0]}" / "try=2").mkdir()
+    (tmp_path / "r" / f"day={DAYS[1]}" / "try=1").mkdir(parents=True)
+    assert store.run_labels(spark, root, "day") == [DAYS[0]]
+    assert rows(store.read_run(spark, root, "day", DAYS[0])) == [(1, "a")]
+    store.write_run(frame(spark, [(2, "b")]), root, "day", DAYS[0])
+    assert rows(store.read_run(spark, root, "day", DAYS[0])) == [(2, "b")]
+
+
+def test_another_writer_is_noticed(spark, tmp_path):
     root = str(tmp_path / "t")
-    store.publish_upsert(spark, root, frame(spark, [(1, "a")]), ["k"], "2026-05-12")
-    (tmp_path / "t" / "snapshot=2026-05-13").mkdir()
-    assert store.run_labels(spark, root, "snapshot") == ["2026-05-12"]
-    assert rows(store.read_latest(spark, root)) == [(1, "a")]
+    publish(spark, root, DAYS[0], (1, "a"))
+    stale = store._last_commit(spark, root)
+    publish(spark, root, DAYS[1], (1, "b"))
+    with pytest.raises(ValueError, match="another writer"):
+        store._commit(spark, root, stale)
