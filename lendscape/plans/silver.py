@@ -69,7 +69,7 @@ def run_silver(
     rows = clean(spec, landed, salt)
     root, label = f"{silver}/{spec.silver_name}", ingestion_date.isoformat()
     if spec.upsert_keys:
-        store.publish_upsert(spark, root, rows, spec.upsert_keys, label)
+        store.publish_upsert(spark, root, rows, spec.upsert_keys, label, spec.buckets)
     else:
         store.write_run(rows.drop(landing.DAY), root, landing.DAY, label)
     return True

@@ -35,7 +35,7 @@ TRY = "try"
 BUCKET = "_bucket"
 # Buckets of a keyed table, fixed when it is first written. Choose them so that a bucket is
 # about a gigabyte when the table has its expected size.
-BUCKETS = 64
+BUCKETS = 16
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -9,9 +9,10 @@ from lendscape.operators import quality as q
 from lendscape.plans import daily
 from lendscape.plans.silver import read_silver
 from lendscape.sources import store
-from lendscape.sources.synth import all_sources
+from lendscape.sources.synth import PROFILE, all_sources
 from lendscape.specs import APPLICATION, POS_CASH, SOURCES
 
+FIRST = PROFILE.applicant_base
 DAY1, DAY2 = date(2026, 5, 12), date(2026, 5, 13)
 TS1, TS2 = datetime(2026, 5, 12, 1), datetime(2026, 5, 13, 1)
 
@@ -33,8 +34,8 @@ def two_days(spark, tmp_path_factory):
     counts1 = {n: df.count() for n, df in first.items()}
 
     app = tables["application_train"]
-    moved = app.filter("SK_ID_CURR <= 100010").withColumn("NAME_FAMILY_STATUS", F.lit("Changed"))
-    kept = app.filter("SK_ID_CURR > 100020")
+    moved = app.filter(F.col("SK_ID_CURR") < FIRST + 10).withColumn("NAME_FAMILY_STATUS", F.lit("Changed"))
+    kept = app.filter(F.col("SK_ID_CURR") >= FIRST + 20)
     day2 = dict(tables, application_train=moved.unionByName(kept))
     land_csv(day2, folder / "day2")
     second = daily.run_day(spark, str(folder / "day2"), lake, DAY2, TS2)
@@ -44,7 +45,7 @@ def two_days(spark, tmp_path_factory):
 def test_first_day_counts(two_days):
     _, counts, _, _ = two_days
     assert counts["fact_loan_application"] == counts["dim_applicant"] == 300
-    assert counts["fact_bureau_credit"] == 450
+    assert counts["fact_bureau_credit"] == PROFILE.bureau_rows * 0.3
     assert counts["dim_loan_type"] == 2
     assert counts["dim_credit_status"] == 4
 
@@ -54,7 +55,7 @@ def test_history_after_second_day(two_days):
     dim = marts["dim_applicant"]
     assert dim.count() == 310
     assert dim.filter("is_current").count() == 300
-    changed = dim.filter("applicant_id <= 100010")
+    changed = dim.filter(F.col("applicant_id") < FIRST + 10)
     assert changed.filter("is_current").select("name_family_status").distinct().collect()[0][
         0
     ] == "Changed"
