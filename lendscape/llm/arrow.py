@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 
 from lendscape.sources.store import scratch
 
-# Bytes of text handled at once inside a task, and bytes hashed at once.
-SLICE_BYTES = 8 << 20
+# Bytes of text handled at once inside a task (more where only distinct words are kept), and
+# bytes hashed at once. Byte and word arrays take about twenty times a slice.
+SLICE_BYTES = 2 << 20
+WORD_BYTES = 16 << 20
 HASH_BYTES = 1 << 20
 
 # Fixed multipliers of the word hash (odd 64-bit numbers) and of the mixing function.

@@ -13,7 +13,7 @@ the short ones.
    the rest are the L lists left out. Equal sets are put there once.
 3. Short lists have fewer than ``LONG`` entries. Each document's short lists are merged by a heap
    and partners occurring at least T - L times are kept.
-4. Long lists are not expanded into pairs. First each entry meets the smallest one of its list;
+4. Long lists are not expanded into pairs. First each entry meets the one with most long lists;
    after linked documents have been joined, a list whose entries all lie in one component needs
    nothing more, and of any other list only entries outside its largest component meet those
    of other components.
@@ -37,7 +37,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscape.llm import arrow as A
@@ -153,16 +153,14 @@ def long_lists(texts: DataFrame, parts: int, long: int, most: int) -> np.ndarray
         if size:
             yield flush()
 
+    def classes(blob: bytes) -> np.ndarray:
+        first = np.frombuffer(blob[1:5], "<u4")
+        rest = np.frombuffer(blob[5:], f"<u{blob[:1].decode()}").astype(np.uint32)
+        return np.cumsum(np.concatenate([first, rest]), dtype=np.uint32)
+
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            for blob in batch.column("blob").to_pylist():
-                if len(blob) > 1:
-                    first = np.frombuffer(blob[1:5], "<u4")
-                    rest = np.frombuffer(blob[5:], f"<u{blob[:1].decode()}").astype(np.uint32)
-                    held.append(np.cumsum(np.concatenate([first, rest]), dtype=np.uint32))
-        if held:
-            values, counts = _counted(np.sort(np.concatenate(held)))
+        for blobs in _by_part(batches):
+            values, counts = _counted(np.sort(np.concatenate(list(map(classes, blobs)))))
             keep = counts >= long
             if keep.any():
                 yield pa.RecordBatch.from_pydict(
@@ -175,12 +173,26 @@ def long_lists(texts: DataFrame, parts: int, long: int, most: int) -> np.ndarray
     return np.sort(top.toArrow()["class"].to_numpy().astype(np.uint32))
 
 
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """Blobs of one part after the other, of the parts that came to this task."""
+    held: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist()):
+            if len(blob) > 1:
+                held.setdefault(part, []).append(blob)
+    while held:
+        yield held.popitem()[1]
+
+
 def _counted(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
     return sorted_[at], np.diff(np.append(at, len(sorted_)))
 
 
-_INVERTED = "kind int, part int, blob binary, doc_id long, n long, k1 long, k2 long, token long"
+_INVERTED = (
+    "kind int, part int, blob binary, doc_id long, n long, k1 long, k2 long, token long, "
+    "n_long long, place long"
+)
 DOCUMENT, SHORT, LONG_ENTRY = 0, 1, 2
 _TOKEN_BITS = 48  # of a shingle in the short lists; verification uses all 64
 
@@ -198,7 +210,7 @@ def inverted(texts: DataFrame, frequent: np.ndarray, parts: int) -> DataFrame:
             ("kind", pa.int32()),
             ("part", pa.int32()),
             ("blob", pa.binary()),
-            *[(c, pa.int64()) for c in ("doc_id", "n", "k1", "k2", "token")],
+            *[(c, pa.int64()) for c in ("doc_id", "n", "k1", "k2", "token", "n_long", "place")],
         ]
     )
 
@@ -259,6 +271,8 @@ def inverted(texts: DataFrame, frequent: np.ndarray, parts: int) -> DataFrame:
                 doc_id=pa.array(number[who]),
                 n=pa.array(n[who]),
                 k1=pa.array(k1[who]),
+                n_long=pa.array(np.repeat(n_long[n_long > 0], n_long[n_long > 0])),
+                place=pa.array(np.concatenate([np.arange(len(x)) for x in long_tokens])),
             )
         token = np.concatenate(tokens) >> np.uint64(64 - _TOKEN_BITS)
         owner = np.concatenate(owners)
@@ -286,15 +300,29 @@ def _blob(token, owner, ids, n, k1, n_long) -> bytes | None:
     return head + table + steps[:1].astype("<u8").tobytes() + steps[1:].astype(wide).tobytes() + owner.astype(narrow).tobytes()
 
 
-def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens, and per token its document's (id, size, key, long lists)."""
+def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, the document of each, and the documents' (id, size, key, long lists)."""
     docs, n, wide, narrow = np.frombuffer(blob[:32], "<i8").tolist()
     at = 32 + 32 * docs
     table = np.frombuffer(blob[32:at], "<i8").reshape(4, docs)
     steps = np.frombuffer(blob[at : at + 8], "<u8")
     rest = np.frombuffer(blob[at + 8 : at + 8 + wide * (n - 1)], f"<u{wide}").astype(np.uint64)
     owner = np.frombuffer(blob[at + 8 + wide * (n - 1) :], f"<u{narrow}")
-    return np.cumsum(np.concatenate([steps, rest]), dtype=np.uint64), table[:, owner]
+    return np.cumsum(np.concatenate([steps, rest]), dtype=np.uint64), owner, table
+
+
+def _shared(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens with more than one entry, and each entry's document columns."""
+    tokens, owners, tables = zip(*map(_unblob, blobs))
+    shift = np.cumsum([0, *[t.shape[1] for t in tables]])
+    token = np.concatenate(tokens)
+    owner = np.concatenate([o + at for o, at in zip(owners, shift)])
+    order = np.argsort(token)
+    token, owner = token[order], owner[order]
+    same = np.zeros(len(token) + 1, bool)
+    same[1:-1] = token[1:] == token[:-1]
+    keep = same[1:] | same[:-1]
+    return token[keep], np.concatenate(tables, axis=1)[:, owner[keep]]
 
 
 def _pairs_of_lists(token: np.ndarray, entry: np.ndarray) -> Iterator[np.ndarray]:
@@ -306,12 +334,12 @@ def _pairs_of_lists(token: np.ndarray, entry: np.ndarray) -> Iterator[np.ndarray
     token, entry = token[keep], entry[:, keep]
     order = np.lexsort((entry[0], entry[1], token))
     token, entry = token[order], entry[:, order]
-    at = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    at = np.flatnonzero(np.append(len(token) > 0, token[1:] != token[:-1]))
     sizes = np.diff(np.append(at, len(token)))
     for k in np.unique(sizes[sizes > 1]):
         starts = at[sizes == k]
         small, large = np.triu_indices(k, 1)  # entries of a list ascend by size
-        step = max(1, 1_000_000 // len(small))
+        step = max(1, 250_000 // len(small))
         for i in range(0, len(starts), step):
             s = (starts[i : i + step, None] + small).ravel()
             r = (starts[i : i + step, None] + large).ravel()
@@ -335,16 +363,17 @@ def partner_lists(short: DataFrame, parts: int) -> DataFrame:
     """Per range of shingles and document: its partners on short lists, sorted, with counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [b for batch in batches for b in batch.column("blob").to_pylist()]
-        if not blobs:
-            return
-        tokens, entries = zip(*map(_unblob, blobs))
+        for blobs in _by_part(batches):
+            yield from lists(blobs)
+
+    def lists(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        token, entry = _shared(blobs)
         pairs, counts, held = [], [], 0
-        for pair in _pairs_of_lists(np.concatenate(tokens), np.concatenate(entries, axis=1)):
+        for pair in _pairs_of_lists(token, entry):
             pairs.append(pair)
             counts.append(np.ones(pair.shape[1], np.int64))
             held += pair.shape[1]
-            if held > 2_000_000:
+            if held > 500_000:
                 pair, count = _summed(pairs, counts)
                 pairs, counts, held = [pair], [count], 0
         if not pairs:
@@ -446,6 +475,19 @@ def _unlike(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def enough_left(n: str, left_n: Column, m: str, left_m: Column) -> Column:
+    """Whether sets of sizes n and m that first meet on a long list can still be linked.
+
+    A linked pair that shares no short list shares at least T - L long ones of both prefixes.
+    If this list is their first, so many must stand from here on in either.
+    """
+    both = F.col(n) + F.col(m)
+    least = F.ceil(both * SIMILAR / (100 + SIMILAR))
+    left_out = F.ceil(F.greatest(n, m) * SIMILAR / 100) - 1
+    sizes = 100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)
+    return sizes & (F.least(left_n, left_m) >= least - left_out)
+
+
 def _oriented(pairs: DataFrame) -> DataFrame:
     """Distinct pairs of different documents whose sizes allow a link, the smaller id first."""
     return (
@@ -472,13 +514,16 @@ def similar_sets(
     entry = A.staged(
         index.filter(F.col("kind") == LONG_ENTRY)
         .groupBy("token", "k1", "n")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select("token", "doc_id", "n"),
+        .agg(F.min("doc_id").alias("doc_id"), F.min("n_long").alias("h"), F.min("place").alias("place"))
+        .select("token", "doc_id", "n", "h", "place"),
         "long_entries",
     )
 
     # First round: everyone's likeliest partner.
-    leader = entry.groupBy("token").agg(F.min(F.struct("n", "doc_id")).alias("_lead"))
+    # On a long list, whoever has most long lists is most like the others.
+    leader = entry.groupBy("token").agg(
+        F.max_by(F.struct("n", "doc_id"), F.struct("h", -F.col("doc_id"))).alias("_lead")
+    )
     led = (
         entry.join(leader, "token")
         .groupBy(F.col("doc_id").alias("r"), F.col("n").alias("n_r"), "_lead")
@@ -520,11 +565,15 @@ def _across(entry: DataFrame, labels: DataFrame) -> DataFrame:
         "mixed_lists",
     )
     few = mixed.filter("component != _top").select(
-        "token", F.col("doc_id").alias("r"), F.col("n").alias("n_r"), F.col("component").alias("_c")
+        "token", *[F.col(c).alias(f"{c}_r") for c in ("n", "h", "place")], F.col("doc_id").alias("r"),
+        F.col("component").alias("_c"),
+    )
+    all_ = mixed.select(
+        "token", *[F.col(c).alias(f"{c}_s") for c in ("n", "h", "place")], F.col("doc_id").alias("s"),
+        "component",
     )
-    all_ = mixed.select("token", F.col("doc_id").alias("s"), F.col("n").alias("n_s"), F.col("component"))
-    sizes = 100 * F.least("n_r", "n_s") >= SIMILAR * F.greatest("n_r", "n_s")
-    return _oriented(few.join(all_, "token").filter((F.col("_c") != F.col("component")) & sizes))
+    able = enough_left("n_r", F.col("h_r") - F.col("place_r"), "n_s", F.col("h_s") - F.col("place_s"))
+    return _oriented(few.join(all_, "token").filter((F.col("_c") != F.col("component")) & able))
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:

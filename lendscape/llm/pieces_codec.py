@@ -133,7 +133,7 @@ class PieceCodec:
             out[i] = self.encode_one(array[int(i)].as_py())
         plain = np.flatnonzero(~odd)
         chosen = array if len(plain) == len(array) else array.take(pa.array(plain))
-        for a, b in A.slices(chosen, 2 * A.SLICE_BYTES):
+        for a, b in A.slices(chosen, A.WORD_BYTES):
             for i, ids in zip(plain[a:b], self._encode_plain(chosen.slice(a, b - a))):
                 out[i] = ids
         return out

@@ -111,7 +111,7 @@ class CountTransducer:
         out = np.zeros(len(array), np.int64)
         short = np.flatnonzero(sizes <= block)
         short_texts = array if len(short) == len(array) else array.take(pa.array(short))
-        for a, b in A.slices(short_texts, 2 * A.SLICE_BYTES):
+        for a, b in A.slices(short_texts, A.WORD_BYTES):
             out[short[a:b]] = self.emitted(short_texts.slice(a, b - a))
         for i in np.flatnonzero(sizes > block):
             out[i] = self.count_long(array[int(i)].as_py(), block)
