@@ -585,6 +585,8 @@ def _labelled(rows: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
         .join(labels.withColumnRenamed("node", "_rep"), "_rep", "left")
         .select("n", "k1", "k2", F.coalesce("component", "_rep").alias("_component"))
     )
+    # Stored, so that a class with many copies is split in the join and not dealt out with them.
+    classes = A.staged(classes, "classes")
     return rows.join(classes, ["n", "k1", "k2"], "left").select(
         F.col("doc_id").alias(id_col),
         F.col("n").alias("n_shingles"),
