@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from lendscape.llm import arrow as A
 from lendscape.llm import language_id, mixing, ngram_join, pieces_codec, secrets
 
-# A text whose average word is no likelier under one language than under the others together.
-LEAST_SCORE = 0.5
+# Under four languages chance gives a quarter; a single short word of a language gives about half.
+LEAST_SCORE = 0.35
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
