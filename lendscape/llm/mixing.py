@@ -142,7 +142,9 @@ def plan(rows: DataFrame, seed: int = SEED, bins: int = BINS, **options) -> Data
         .filter((F.col("_before") < F.col("rest")) & (F.col("rest") <= F.col("_before") + F.col("_n")))
         .select(*leaf, "_bin", "_before")
     )
-    within = Window.partitionBy(*leaf).orderBy("_hash", "_key", "n_tokens")
+    # Stored, for else the documents would be dealt out by leaf to meet this window's rows.
+    binned = A.staged(binned, "bins")
+    within = Window.partitionBy(*leaf, "_bin").orderBy("_hash", "_key", "n_tokens")
     ended = (
         hashed.withColumn("_bin", bin_of)
         .join(binned, [*leaf, "_bin"])
