@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lendscape.operators import kpi
@@ -127,3 +128,28 @@ def test_features_have_one_row_per_applicant(spark):
     parts = [kpi.count_per(facts, "id", "n"), facts.groupBy("id").agg(F.sum("v").alias("total"))]
     out = sorted(map(tuple, kpi.applicant_features(base, "id", parts).collect()))
     assert out == [(1, 2, 11), (2, None, None)]
+
+
+def test_small_amounts_keep_their_digits(spark):
+    fact = spark.createDataFrame([(1, 0.00004), (1, 0.00004), (2, None)], "k long, a double")
+    got = {r.k: r.bureau_exposure for r in kpi.exposure(fact, ["k"], "a").collect()}
+    assert got == {1: 0.00008, 2: None}
+
+
+@pytest.mark.parametrize("amount", [1e-13, 1e17])
+def test_amounts_that_do_not_fit_raise(spark, amount):
+    fact = spark.createDataFrame([(1, amount)], "k long, a double")
+    with pytest.raises(PySparkException, match="decimals"):
+        kpi.exposure(fact, ["k"], "a").collect()
+
+
+def test_quantiles_without_segments(spark):
+    values = [(float(v % 997) + v / 3,) for v in range(3000)] + [(None,)]
+    df = spark.createDataFrame(values, "v double")
+    got = {r.quantile: r.v for r in kpi.exact_quantiles(df, "v", [], [0.0, 0.3, 1.0], 0.5).collect()}
+    ranked = sorted(v for (v,) in values if v is not None)
+    for q, value in got.items():
+        at = q * (len(ranked) - 1)
+        low, high = ranked[int(at)], ranked[min(int(at) + 1, len(ranked) - 1)]
+        assert value == pytest.approx(low + (high - low) * (at - int(at)))
+    assert len(got) == 3
