@@ -37,7 +37,7 @@ UNDETERMINED = "und"
 SAMPLE_DOCS = 2_000
 SMOOTHING = 0.5
 WORD_BYTES = 32
-MEMORY = 600_000
+MEMORY = 400_000
 FOLDS = 5
 MARK = "▁"
 
@@ -208,7 +208,7 @@ class Model:
         if not self.languages:
             return [UNDETERMINED] * len(array), np.zeros(len(array))
         names, scores = [], []
-        for a, b in A.slices(array, A.WORD_BYTES):
+        for a, b in A.slices(array):
             part = array.slice(a, b - a)
             codes, first, words = letter_words(part)
             per_word = self.word_scores(words)[codes]
@@ -322,14 +322,11 @@ def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     """The documents' own columns, whatever their names, as struct ``doc``, then ``lang_pred``
     and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.col(text).cast("string").alias("_text"),
-    )
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
 
     def run(table: pa.Table) -> pa.Table:
-        names, scores = shared.value.predict(A.texts(table["_text"]))
-        out = table.select(["doc"]).append_column("lang_pred", pa.array(names, pa.string()))
+        names, scores = shared.value.predict(A.texts(pc.struct_field(table["doc"], text)))
+        out = table.append_column("lang_pred", pa.array(names, pa.string()))
         return out.append_column("score", pa.array(scores, pa.float64()))
 
     schema = T.StructType([whole.schema["doc"]]).add("lang_pred", "string").add("score", "double")
