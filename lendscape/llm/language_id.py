@@ -7,8 +7,9 @@ bytes above 127, lower-cased; digits and signs say nothing about the language.
 
 Learning counts the pieces of all segmentations, too: a first model gives each piece the same
 probability, a forward-backward pass turns it into expected counts, and smoothing gives the
-model. Counts cover a documented sample: per language the ``SAMPLE_DOCS`` documents whose ids
-have the smallest hashes. The model has (languages x pieces) numbers.
+model. Counts cover a documented sample: per language about ``SAMPLE_DOCS`` documents (all, if
+there are fewer), whose ids' hashes fall into the share of the hash range that gives as many. The
+model has (languages x pieces) numbers.
 
 * NULL text or no letter: language ``und``, score 0.
 * NULL id: not held out, but not learned from either. NULL language: not learned from.
@@ -26,7 +27,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -253,19 +254,17 @@ def learn(
     labelled = docs.filter(
         F.col(lang).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)
     )
-    ranked = labelled.select(id_col, lang, key.alias("_key")).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(lang).orderBy("_key", id_col))
-    )
-    # The sample is bounded by (languages x sample) ids; its largest hash per language selects
-    # it from the texts without shuffling them.
-    upto = ranked.filter(F.col("_rank") <= sample).groupBy(lang).agg(F.max("_key").alias("_upto"))
-    limits = {r[lang]: r["_upto"] for r in upto.collect()}
+    # A share of the hash range per language: a count per language is all that is gathered, and
+    # no language's documents meet in one task.
+    sizes = {r[lang]: r["count"] for r in labelled.groupBy(lang).count().collect()}
+    last = (1 << 63) - 1
+    limits = {k: min((sample << 64) // n - (1 << 63), last) for k, n in sizes.items()}
     languages = sorted(limits)
     if not languages:
         return Model([], np.zeros((0, 0)), vocabulary)
     chosen = F.lit(False)
     for name, most in limits.items():
-        chosen = chosen | ((F.col(lang) == name) & (F.col("_key") <= most))
+        chosen = chosen | ((F.col(lang) == name) & (F.col("_key") <= F.lit(most)))
     needed = (
         labelled.withColumn("_key", key)
         .filter(chosen)
