@@ -1,9 +1,10 @@
 """Token counts by a finite-state transducer compiled from the tokenizer.
 
-The machine reads a text once. It is either between words or inside a word, and white space
-always leads back to the first state; the transition that closes a word is annotated with the
-number of tokens the word emits. Annotations are compiled from the tokenizer's merges when a
-word is first met and kept per worker.
+The machine reads a text once. It is between words or inside a piece of one (letters, a digit,
+signs, or a word with odd characters), and white space always leads back to the first state; the
+transition that closes a piece is annotated with the number of tokens the piece emits.
+Annotations are compiled from the tokenizer's merges when a piece is first met and kept per
+worker.
 
 A long text is cut into blocks of fixed size, wherever the cuts fall. A block's state map tells
 what it does from any state: the characters that still belong to the word open at its start, the
@@ -26,12 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscape.llm import arrow as A
-from lendscape.llm.wordbpe import encoder
+from lendscape.llm.wordbpe import CUT_BYTES, cut_pieces, encoder
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 BLOCK_BYTES = 1 << 16
-MEMORY = 1_000_000
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -48,25 +48,15 @@ class StateMap(NamedTuple):
 class CountTransducer:
     def __init__(self, tokenizer: str):
         self.tokenizer = tokenizer
-        self.closing: dict[str, int] = {}
-
-    def emits(self, words: list[str]) -> np.ndarray:
-        """Tokens that closing each of the words emits."""
-        closing, out = self.closing, np.empty(len(words), np.int64)
-        if len(closing) + len(words) > MEMORY:
-            closing.clear()
-        missing = encoder(self.tokenizer).ids
-        for i, word in enumerate(words):
-            n = closing.get(word)
-            if n is None:
-                n = closing[word] = len(missing(word)) if word else 0
-            out[i] = n
-        return out
+
+    def emits(self, pieces: list[str]) -> np.ndarray:
+        """Tokens that closing each of the pieces emits."""
+        return np.fromiter(map(len, encoder(self.tokenizer).encode(pieces)), np.int64, len(pieces)) // 4
 
     def emitted(self, array: pa.Array) -> np.ndarray:
         """Tokens of texts that each begin and end between words."""
-        codes, first, words = A.coded_words(array)
-        return A.per_text(self.emits(words)[codes], first)
+        codes, first, pieces = cut_pieces(array)
+        return A.per_text(self.emits(pieces)[codes], first)
 
     def state_maps(self, blocks: list[bytes]) -> list[StateMap]:
         cuts = []
@@ -86,7 +76,7 @@ class CountTransducer:
             return StateMap(a.head + b.head, b.emitted, b.tail)
         if b.tail is None:
             return StateMap(a.head, a.emitted, a.tail + b.head)
-        closed = int(self.emits([(a.tail + b.head).decode()])[0])
+        closed = self.count_words([a.tail + b.head])
         return StateMap(a.head, a.emitted + closed + b.emitted, b.tail)
 
     def prefix_scan(self, maps: list[StateMap]) -> list[StateMap]:
@@ -103,7 +93,11 @@ class CountTransducer:
         raw = text.encode()
         last = self.prefix_scan(self.state_maps([raw[i : i + block] for i in range(0, len(raw), block)]))[-1]
         edges = [last.head] if last.tail is None else [last.head, last.tail]
-        return last.emitted + int(self.emits([x.decode() for x in edges]).sum())
+        return last.emitted + self.count_words(edges)
+
+    def count_words(self, words: list[bytes]) -> int:
+        """Tokens of words that cuts have left in parts."""
+        return int(self.emitted(pa.array([x.decode() for x in words], pa.large_string())).sum())
 
     def counts(self, array: pa.Array, block: int = BLOCK_BYTES) -> np.ndarray:
         """Tokens of every text."""
@@ -111,7 +105,7 @@ class CountTransducer:
         out = np.zeros(len(array), np.int64)
         short = np.flatnonzero(sizes <= block)
         short_texts = array if len(short) == len(array) else array.take(pa.array(short))
-        for a, b in A.slices(short_texts, A.WORD_BYTES):
+        for a, b in A.slices(short_texts, CUT_BYTES):
             out[short[a:b]] = self.emitted(short_texts.slice(a, b - a))
         for i in np.flatnonzero(sizes > block):
             out[i] = self.count_long(array[int(i)].as_py(), block)

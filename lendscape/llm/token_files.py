@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendscape.llm import arrow as A
-from lendscape.llm.wordbpe import encoder
+from lendscape.llm.wordbpe import CUT_BYTES, cut_pieces, encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -33,7 +33,6 @@ BLOCK_TOKENS = 1 << 20
 LANES = 2048
 CHECKPOINT_STEPS = 256
 SCALE_BITS = 18
-MEMORY = 400_000
 
 # States stay in [2**31, 2**63) and give off 32 bits at a time.
 _LOW = np.uint64(1 << 31)
@@ -157,34 +156,15 @@ def unpack(segment: dict) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
-class Tokens:
-    """Ids of texts, each distinct word encoded once per worker."""
-
-    def __init__(self, tokenizer: str):
-        self.tokenizer = tokenizer
-        self.memory: dict[str, bytes] = {}
-
-    def ids(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and their number in each text."""
-        codes, first, words = A.coded_words(array)
-        memory = self.memory
-        if len(memory) + len(words) > MEMORY:
-            memory.clear()
-        encode = encoder(self.tokenizer).ids
-        parts = []
-        for word in words:
-            raw = memory.get(word)
-            if raw is None:
-                raw = memory[word] = np.array(encode(word) if word else (), "<u4").tobytes()
-            parts.append(raw)
-        lengths = np.fromiter((len(x) // 4 for x in parts), np.int64, len(parts))
-        starts = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        per_word = lengths[codes]
-        return A.gather(per_word, starts[codes], flat), A.per_text(per_word, first)
-
-
-_TOKENS: dict[str, Tokens] = {}
+def token_ids(array: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts one after the other, and their number in each text."""
+    codes, first, pieces = cut_pieces(array)
+    parts = encoder(tokenizer).encode(pieces)
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    starts = np.cumsum(lengths) - lengths
+    per_piece = lengths[codes]
+    flat = np.frombuffer(b"".join(parts), "<u4")
+    return A.gather(per_piece, starts[codes], flat), A.per_text(per_piece, first)
 
 
 def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +194,6 @@ def write_token_files(
     schema = SEGMENT.format(kind=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = _TOKENS.setdefault(tokenizer, Tokens(tokenizer))
         part, number = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         size = 0
@@ -237,8 +216,8 @@ def write_token_files(
                 target = _arrow_schema(batch.schema.field("_id").type)
             array = A.texts(batch.column("_text"))
             doc_ids = batch.column("_id").to_pylist()
-            for a, b in A.slices(array):
-                ids, lengths = with_end(*stream.ids(array.slice(a, b - a)), end_id)
+            for a, b in A.slices(array, CUT_BYTES):
+                ids, lengths = with_end(*token_ids(array.slice(a, b - a), tokenizer), end_id)
                 held.append((doc_ids[a:b], ids, lengths))
                 size += len(ids)
                 if size >= SEGMENT_TOKENS:

@@ -1,18 +1,24 @@
-"""Exact token ids of white-space words under a word-level byte-pair tokenizer file.
+"""Exact token ids of texts under a word-level byte-pair tokenizer file.
 
 White space never joins words of such a tokenizer, so a text's tokens are its words' tokens one
-after the other, and each distinct word needs encoding only once per worker. Words of printable
-ASCII and Latin letters are split by the tokenizer's own pattern and merged piece by piece;
-any other word, and any that may hold a special token, goes through the library whole.
+after the other. Words of printable ASCII and Latin letters are cut into the tokenizer's pieces
+(runs of letters, single digits, runs of signs) in arrays over the whole batch, and each distinct
+piece is merged once per worker. A word holding an apostrophe, a possible special token or any
+other character stays whole and goes through the tokenizer's own pattern or the library.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from lendscape.llm import arrow as A
+
 # Fixed by the tokenizer file: its split pattern, here for the characters of _PLAIN only.
 _SPLIT = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+"
@@ -20,8 +26,60 @@ _SPLIT = re.compile(
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PATTERN_IN_FILE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-# Distinct words and pieces kept per worker; beyond it the memory is emptied and refilled.
-MEMORY = 400_000
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+# Distinct pieces kept per worker; beyond it the memory is emptied and refilled.
+MEMORY = 600_000
+# Bytes of text cut at once.
+CUT_BYTES = 4 << 20
+
+_SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
+
+
+def _kind(b: int) -> int:
+    c = chr(b)
+    if b == 0x20 or 0x09 <= b <= 0x0D:
+        return _SPACE
+    if b >= 0x7F or b < 0x20 or c in "'<":
+        return _OTHER
+    return _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _SIGN
+
+
+_KIND = np.array([_kind(b) for b in range(256)], np.uint8)
+
+
+def cut_pieces(array: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Pieces of all texts: a code for each, where each text begins, and the distinct ones."""
+    data, offsets = A.buffer_of(array)
+    kind, low = _KIND[data], A.LOWER[data]
+    # Two-byte letters from U+00C0 to U+00FF; capitals stand 32 before their small letters.
+    lead = np.flatnonzero(data == 0xC3)
+    after = data[lead + 1]
+    letter = (after != 0x97) & (after != 0xB7)
+    kind[lead[letter]] = kind[lead[letter] + 1] = _LETTER
+    capital = letter & (after <= 0x9E)
+    low[lead[capital] + 1] += 0x20
+
+    full = kind != _SPACE
+    starts, ends, _ = A.spans(data, offsets, A.NOT_SPACE)
+    others = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(kind == _OTHER, out=others[1:])
+    odd = others[ends] > others[starts]
+    for a, b in zip(starts[odd].tolist(), ends[odd].tolist()):
+        kind[a:b], low[a:b] = _OTHER, data[a:b]
+    begins = np.zeros(len(data), bool)
+    begins[1:] = kind[1:] != kind[:-1]
+    begins |= kind == _DIGIT
+    begins[starts] = True
+    begins &= full
+    at = np.flatnonzero(begins)
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(full, out=before[1:])
+    bounds = np.append(before[at], before[-1])
+    pieces = pa.Array.from_buffers(
+        pa.large_string(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(low[full])]
+    ).dictionary_encode()
+    return np.asarray(pieces.indices), np.searchsorted(at, offsets), pieces.dictionary.to_pylist()
 
 
 def byte_letters() -> dict[int, str]:
@@ -32,7 +90,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Ids of a word, remembered per worker."""
+    """Ids of words and pieces; pieces are remembered per worker."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -43,24 +101,35 @@ class WordEncoder:
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _merged(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else "".join(map(self.letters.get, piece.encode()))
+        return _packed([t.id for t in self.model.tokenize(text)])
 
-    def ids(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         if not _PLAIN.fullmatch(word) or any(s in word for s in self.special):
-            return tuple(self.library.encode(word, add_special_tokens=False).ids)
-        out: tuple[int, ...] = ()
-        pieces = self.pieces
-        for piece in _SPLIT.findall(word.lower()):
-            found = pieces.get(piece)
-            if found is None:
-                if len(pieces) >= MEMORY:
-                    pieces.clear()
-                text = piece if piece.isascii() else "".join(map(self.letters.get, piece.encode()))
-                found = pieces[piece] = tuple(t.id for t in self.model.tokenize(text))
-            out += found
+            return _packed(self.library.encode(word, add_special_tokens=False).ids)
+        return b"".join(map(self._merged, _SPLIT.findall(word.lower())))
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of every piece or odd word as little-endian unsigned 32-bit numbers."""
+        memory = self.pieces
+        if len(memory) + len(pieces) > MEMORY:
+            memory.clear()
+        out = list(map(memory.get, pieces))
+        for i, ids in enumerate(out):
+            if ids is None:
+                piece = pieces[i]
+                ids = self._merged(piece) if _PIECE.fullmatch(piece) else self._word(piece)
+                out[i] = memory[piece] = ids
         return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
