@@ -166,25 +166,12 @@ def exact_quantiles(
     rows = df.filter(F.col(value).isNotNull()).select(
         *by, F.col(value).alias("_v"), F.floor(F.col(value) / F.lit(float(width))).alias("_slot")
     )
-    segment = [F.col(c) for c in by] or [F.lit(0)]
-    group = F.floor(F.col("_slot") / F.lit(SLOTS_PER_GROUP))
-    ahead = (Window.unboundedPreceding, -1)
-    slots = rows.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_n")).withColumn("_group", group)
-    groups = slots.groupBy(*by, "_group").agg(F.sum("_n").alias("_group_n"))
-    over = Window.partitionBy(*segment)
-    groups = groups.select(
-        *[F.col(c).alias(f"_by_{c}") for c in by],
-        F.col("_group").alias("_g"),
-        F.coalesce(F.sum("_group_n").over(over.orderBy("_group").rowsBetween(*ahead)), F.lit(0)).alias("_ahead"),
-        F.sum("_group_n").over(over).alias("_total"),
-    )
+    slots = rows.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_n"))
     same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
-    within = Window.partitionBy(*segment, "_group").orderBy("_slot").rowsBetween(*ahead)
+    located = _located(slots, by) if by else _located_overall(slots)
     position = F.col("quantile") * (F.col("_total") - 1)
     wanted = (
-        slots.withColumn("_inner", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-        .join(groups, reduce(lambda a, b: a & b, same, F.col("_group") == F.col("_g")))
-        .withColumn("_before", F.col("_ahead") + F.col("_inner"))
+        located
         .withColumn("quantile", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumns({"_lo": F.floor(position), "_hi": F.ceil(position)})
         .withColumn("_share", position - F.col("_lo"))
@@ -224,6 +211,33 @@ def exact_quantiles(
     )
 
 
+_AHEAD = (Window.unboundedPreceding, -1)
+
+
+def _located(slots: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows before each slot of its segment, and rows of the segment."""
+    segment = Window.partitionBy(*by)
+    before = F.sum("_n").over(segment.orderBy("_slot").rowsBetween(*_AHEAD))
+    return slots.withColumns(
+        {"_before": F.coalesce(before, F.lit(0)), "_total": F.sum("_n").over(segment)}
+    )
+
+
+def _located_overall(slots: DataFrame) -> DataFrame:
+    """The same without segments: totals go over groups of slots, then within a group."""
+    grouped = slots.withColumn("_group", F.floor(F.col("_slot") / F.lit(SLOTS_PER_GROUP)))
+    sizes = grouped.groupBy("_group").agg(F.sum("_n").alias("_group_n"))
+    over = Window.partitionBy(F.lit(0))
+    sizes = sizes.select(
+        "_group",
+        F.coalesce(F.sum("_group_n").over(over.orderBy("_group").rowsBetween(*_AHEAD)), F.lit(0)).alias("_ahead"),
+        F.sum("_group_n").over(over).alias("_total"),
+    )
+    inner = F.sum("_n").over(Window.partitionBy("_group").orderBy("_slot").rowsBetween(*_AHEAD))
+    placed = grouped.withColumn("_inner", F.coalesce(inner, F.lit(0))).join(sizes, "_group")
+    return placed.withColumn("_before", F.col("_ahead") + F.col("_inner"))
+
+
 def trend(
     df: DataFrame, period: str, measures: Mapping[str, Column], by: Sequence[str] = ()
 ) -> DataFrame:
