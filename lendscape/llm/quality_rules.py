@@ -3,8 +3,11 @@
 Each text is measured once, in vectorised passes over the Arrow buffer. The measures of every
 (language, source) group enter sketches of relative error ``ACCURACY``: counts of logarithmic
 bins, which merge by addition, so the result does not depend on how rows are dealt out. A
-document is dropped when a measure lies beyond its group's outer fence, the upper quartile plus
-``REACH`` times the distance from the median to the upper quartile, or the mirrored lower one.
+document is dropped when a measure lies beyond its group's fence, the upper quartile plus ``REACH``
+times the spread, or the mirrored lower one. The spread is the distance between the quartiles, but
+at least a tenth of the median and at least ``LEAST_SPREAD``, which decides where most documents
+have a rate of zero. Above the upper fence a document has ``SLACK`` more symbols, lines or words
+free, so that a few of them in a short text are no outlier.
 
 * NULL or empty text: no words, hence below the base rule, not kept.
 * NULL language or source: a group of its own.
@@ -30,6 +33,10 @@ REPEAT_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
 ACCURACY = 0.01
 REACH = 8.0
+# Spread of a rate that counts at least, and the count in a document that decides nothing. One
+# repeated passage of WINDOW words covers 2 * WINDOW words.
+LEAST_SPREAD = {"symbol_rate": 0.01, "dup_line_rate": 0.001, "repeat_rate": 0.005}
+SLACK = {"symbol_rate": 3, "dup_line_rate": 2, "repeat_rate": 2 * WINDOW}
 # Documents a group needs before its quartiles decide anything.
 MIN_GROUP = 30
 
@@ -153,14 +160,16 @@ def quantiles(bins: DataFrame, at: Mapping[str, float], groups: tuple[str, ...])
 def fences(bins: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     """One row per group: lowest and highest accepted value of every measure."""
     q = quantiles(bins, {"q1": 0.25, "q2": 0.5, "q3": 0.75}, groups)
-    spread = F.greatest(F.col("q3") - F.col("q1"), 0.1 * F.col("q2"))
+    least = F.lit(0.0)
+    for name, value in LEAST_SPREAD.items():
+        least = F.when(F.col("measure") == name, value).otherwise(least)
+    spread = F.greatest(F.col("q3") - F.col("q1"), 0.1 * F.col("q2"), least)
     known = F.col("n_docs") >= MIN_GROUP
-    # Rates that are zero for most documents get a floor, so that a single symbol is no outlier.
     q = q.select(
         *groups,
         "measure",
         F.when(known, F.col("q1") - REACH * spread).alias("lo"),
-        F.when(known, F.greatest(F.col("q3") + REACH * spread, F.lit(1.0))).alias("hi"),
+        F.when(known, F.col("q3") + REACH * spread).alias("hi"),
     )
     return q.groupBy(*groups).agg(
         F.map_from_entries(F.collect_list(F.struct("measure", F.struct("lo", "hi")))).alias("_fences")
@@ -189,7 +198,8 @@ def judge(
     outlier = F.lit(False)
     for name, value in rates.items():
         lo, hi = F.col("_fences")[name]["lo"], F.col("_fences")[name]["hi"]
-        outlier = outlier | F.coalesce((value < lo) | (value > hi), F.lit(False))
+        free = SLACK.get(name, 0) / F.greatest(F.col("n_words"), F.lit(1))
+        outlier = outlier | F.coalesce((value < lo) | (value > hi + free), F.lit(False))
     return joined.withColumns({"base_failed": base, "kept": ~base & ~outlier}).select(
         *stats.columns, "base_failed", "kept"
     )
