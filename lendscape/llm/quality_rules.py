@@ -9,6 +9,10 @@ at least a tenth of the median and at least ``LEAST_SPREAD``, which decides wher
 have a rate of zero. Above the upper fence a document has ``SLACK`` more symbols, lines or words
 free, so that a few of them in a short text are no outlier.
 
+A group of fewer than ``MIN_GROUP`` documents is judged by the next larger one: the sketches of a
+language's sources are added, then those of all languages. The sketch of all documents decides
+whatever their number, so that every document is judged.
+
 * NULL or empty text: no words, hence below the base rule, not kept.
 * NULL language or source: a group of its own.
 * Repeated rows and ids: each row is judged by itself.
@@ -37,7 +41,7 @@ REACH = 8.0
 # repeated passage of WINDOW words covers 2 * WINDOW words.
 LEAST_SPREAD = {"symbol_rate": 0.01, "dup_line_rate": 0.001, "repeat_rate": 0.005}
 SLACK = {"symbol_rate": 3, "dup_line_rate": 2, "repeat_rate": 2 * WINDOW}
-# Documents a group needs before its quartiles decide anything.
+# Documents a group needs before its own quartiles decide.
 MIN_GROUP = 30
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -157,25 +161,49 @@ def quantiles(bins: DataFrame, at: Mapping[str, float], groups: tuple[str, ...])
     )
 
 
-def fences(bins: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """One row per group: lowest and highest accepted value of every measure."""
+def fences(bins: DataFrame, groups: tuple[str, ...], level: int | None = None) -> DataFrame:
+    """One row per group: documents, lowest and highest accepted value of every measure.
+
+    With a level, the sketches are added up over all but the first ``level`` columns of the group.
+    """
+    if level is not None and level < len(groups):
+        groups = groups[:level]
+        bins = bins.groupBy(*groups, "measure", "bin").agg(F.sum("n").alias("n"))
     q = quantiles(bins, {"q1": 0.25, "q2": 0.5, "q3": 0.75}, groups)
     least = F.lit(0.0)
     for name, value in LEAST_SPREAD.items():
         least = F.when(F.col("measure") == name, value).otherwise(least)
     spread = F.greatest(F.col("q3") - F.col("q1"), 0.1 * F.col("q2"), least)
-    known = F.col("n_docs") >= MIN_GROUP
     q = q.select(
         *groups,
         "measure",
-        F.when(known, F.col("q1") - REACH * spread).alias("lo"),
-        F.when(known, F.col("q3") + REACH * spread).alias("hi"),
+        "n_docs",
+        (F.col("q1") - REACH * spread).alias("lo"),
+        (F.col("q3") + REACH * spread).alias("hi"),
     )
     return q.groupBy(*groups).agg(
-        F.map_from_entries(F.collect_list(F.struct("measure", F.struct("lo", "hi")))).alias("_fences")
+        F.max("n_docs").alias("_n_docs"),
+        F.map_from_entries(F.collect_list(F.struct("measure", F.struct("lo", "hi")))).alias("_fences"),
     )
 
 
+def nearest_fences(bins: DataFrame, groups: tuple[str, ...]) -> DataFrame:
+    """One row per group: fences of the smallest level that has ``MIN_GROUP`` documents."""
+    out = fences(bins, groups)
+    chosen = F.when(F.col("_n_docs") >= MIN_GROUP, F.col("_fences"))
+    for level in range(len(groups) - 1, -1, -1):
+        wider = fences(bins, groups, level).select(
+            *[F.col(g).alias(f"_w_{g}") for g in groups[:level]],
+            F.col("_n_docs").alias(f"_n_{level}"),
+            F.col("_fences").alias(f"_fences_{level}"),
+        )
+        same = [F.col(g).eqNullSafe(F.col(f"_w_{g}")) for g in groups[:level]]
+        out = out.join(wider, same, "left") if same else out.crossJoin(wider)
+        usable = F.lit(True) if level == 0 else F.col(f"_n_{level}") >= MIN_GROUP
+        chosen = F.coalesce(chosen, F.when(usable, F.col(f"_fences_{level}")))
+    return out.select(*groups, chosen.alias("_fences"))
+
+
 def judge(
     stats: DataFrame,
     groups: tuple[str, ...] = ("lang", "source"),
@@ -187,7 +215,7 @@ def judge(
     larger side adaptive execution can split.
     """
     rates = rates or default_rates()
-    limits = fences(sketch(stats, rates, groups), groups)
+    limits = nearest_fences(A.staged(sketch(stats, rates, groups), "bins"), groups)
     marked = limits.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_fences")
     same = [F.coalesce(F.col(g), F.lit("")) == F.coalesce(F.col(f"_g_{g}"), F.lit("")) for g in groups]
     same += [F.col(g).isNull() == F.col(f"_g_{g}").isNull() for g in groups]

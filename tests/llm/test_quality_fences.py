@@ -32,3 +32,19 @@ def plain(n, lang="en", source="s", first=0):
 )
 def test_each_rule_rejects_its_outlier(spark, counts, out):
     assert dropped(spark, [*plain(60), (99, "en", "s", *counts)]) == ({99} if out else set())
+
+
+def test_small_groups_are_judged_by_the_next_larger(spark):
+    loud = (100, 500, 40, 0, 0)
+    few = plain(5, "fr", "t", 100)
+    # Own group too small: its language decides, and for a rare or unknown language all documents.
+    language = [*plain(60, "en", "s"), *plain(3, "en", "u", 200), (99, "en", "u", *loud)]
+    assert dropped(spark, [*language, *few]) == {99}
+    everything = [*plain(60), *few, (98, "fr", "t", *loud), (99, None, None, *loud)]
+    assert dropped(spark, everything) == {98, 99}
+    # A language with enough loud documents of its own keeps them.
+    at_home = [(300 + i, "xx", f"s{i % 4}", *loud) for i in range(40)]
+    assert dropped(spark, [*plain(100), *at_home, (99, "yy", "s", *loud)]) == set()
+    assert dropped(spark, [*plain(300), *at_home, (99, "yy", "s", *loud)]) == {99}
+    # Fewer documents than a group needs in all.
+    assert dropped(spark, [*plain(20), (99, "en", "s", *loud)]) == {99}
