@@ -7,7 +7,9 @@ Method: runs of at least ``WINDOW`` token characters are candidates. A window of
 characters slides over each; the counts of its characters change by one in and one out, and the
 Shannon entropy follows from them incrementally. A candidate is a secret (kind ``entropy``) when
 a window reaches the threshold of the candidate's character class, unless it is on the allow
-list: plain words and numbers, UUIDs, paths and web addresses, runs that say they are examples.
+list: plain words and numbers, UUIDs, runs that say they are examples, and names, paths and web
+addresses of which every segment between signs is a word, a word with a number behind it (``v2``)
+or a number.
 Candidates inside a fixed match are not reported again.
 
 * NULL or empty text: zero counts, empty digest and spans.
@@ -34,14 +36,14 @@ VALUE_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 WINDOW = 20
 # Bits per character that a window of a class must reach.
 THRESHOLDS = {"hex": 3.0, "alphanumeric": 3.6, "base64": 3.8}
+# What may stand between the signs of a name, a path or an address.
+SEGMENT = "(?:[A-Za-z]{1,24}[0-9]{0,4}|[0-9]{1,20})"
 ALLOWED = (
     r"[A-Za-z]+",
     r"[0-9+/_.=-]+",
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"(?:[A-Za-z0-9]+[/_.=+-]+)*[A-Za-z]+",
-    r"(?:[A-Za-z]+[/_.=+-]+)*[A-Za-z0-9]{0,11}",
-    r"(?i:.*(?:example|sample|placeholder|your[_-]?key|changeme|xxxx|0000|1234567).*)",
-    r"www\..*|.*//.*",
+    rf"[/_.=+-]*(?:{SEGMENT}[/_.=+-]+)*{SEGMENT}?",
+    r"(?i:.*(?:example|sample|placeholder|your[_-]?key|changeme|x{8}|0{8}|1234567).*)",
 )
 
 
