@@ -10,7 +10,8 @@ a window reaches the threshold of the candidate's character class, unless it is
 list: plain words and numbers, UUIDs, runs that say they are examples, and names, paths and web
 addresses of which every segment between signs is a word, a word with a number behind it (``v2``)
 or a number.
-Candidates inside a fixed match are not reported again.
+Candidates inside a fixed match are not reported again. One that reaches beyond fixed matches is
+reported whole when it or a part left outside them is a secret.
 
 * NULL or empty text: zero counts, empty digest and spans.
 * Offsets are code points, ends exclusive; whole texts of any length are scanned.
@@ -34,6 +35,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 NAMES = "password|passwd|secret|token|api_?key"
 VALUE_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 WINDOW = 20
+SIGNS = "+/_-="
 # Bits per character that a window of a class must reach.
 THRESHOLDS = {"hex": 3.0, "alphanumeric": 3.6, "base64": 3.8}
 # What may stand between the signs of a name, a path or an address.
@@ -58,7 +60,7 @@ _NAMES = [re.compile(n.encode()) for n in NAMES.replace("api_?key", "apikey|api_
 _KEY_ID = re.compile(b"AKIA")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = A.byte_class(lambda b: chr(b) in "0123456789abcdef")
-_CANDIDATE = A.byte_class(lambda b: b < 128 and (chr(b).isalnum() or chr(b) in "+/_-="))
+_CANDIDATE = A.byte_class(lambda b: b < 128 and (chr(b).isalnum() or chr(b) in SIGNS))
 _ALLOWED = re.compile("|".join(f"(?:{p})" for p in ALLOWED))
 _TERM = [0.0] + [n / WINDOW * math.log2(n / WINDOW) for n in range(1, WINDOW + 1)]
 
@@ -93,6 +95,16 @@ def is_secret(text: str) -> bool:
     return window_entropy(text) >= THRESHOLDS[character_class(text)]
 
 
+def outside(start: int, end: int, fixed: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the fixed matches leave of a range."""
+    out = []
+    for s, e in sorted(fixed):
+        if start < s:
+            out.append((start, s))
+        start = max(start, e)
+    return [*out, (start, end)] if start < end else out
+
+
 def find(array: pa.Array) -> list[list[tuple[int, str, int]]]:
     """Per text: (start, kind, end) in code points, sorted by start and kind."""
     out: list[list[tuple[int, str, int]]] = []
@@ -125,7 +137,13 @@ def _find(array: pa.Array) -> list[list[tuple[int, str, int]]]:
             if m.end() - m.start() >= ACCESS_MIN:
                 found[i].append((m.start(), "access", m.end()))
     for i, start, end in _long_runs(data, offsets, _CANDIDATE, WINDOW):
-        if is_secret(raw[start:end].decode()) and not any(s < end and start < e for s, _, e in found[i]):
+        fixed = [(s, e) for s, k, e in found[i] if k != "entropy" and s < end and start < e]
+        if any(s <= start and end <= e for s, e in fixed):
+            continue
+        parts = outside(start, end, fixed) if fixed else []
+        if is_secret(raw[start:end].decode()) or any(
+            is_secret(raw[a:b].decode().strip(SIGNS)) for a, b in parts
+        ):
             found[i].append((start, "entropy", end))
     return [_in_code_points(raw, int(offsets[i]), x) if x else x for i, x in enumerate(found)]
 
