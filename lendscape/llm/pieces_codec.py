@@ -1,9 +1,17 @@
-"""Piece encoding and decoding: an Aho-Corasick automaton drives a single-pass Viterbi.
+"""Piece encoding and decoding: an Aho-Corasick automaton drives a single pass.
 
 The automaton over all pieces of a public vocabulary reads a chunk once. At each position its
-output links name every piece that ends there, and each relaxes the best score of the position:
-``best[end] = max(best[end - len] + score)``. Characters no piece covers fall back to one byte
-piece per byte at a fixed low score. Of equal scores the longer last piece wins.
+output links name every piece that ends there. The queries encode as the vocabulary's model does
+(``MergeCodec``): its scores are ranks of merges, and of the pieces that end at a position exactly
+one is compatible with the piece before it, that is, no merge across their border would have come
+before their own merges. As every part of such a chain is the encoding of its own characters, one
+pass with a link back per position suffices.
+
+``PieceCodec`` is the single-pass Viterbi for vocabularies whose scores are log-probabilities:
+``best[end] = max(best[end - len] + score)``, bytes at a fixed low score, of equal scores the longer
+last piece. Over ranks of merges its sums are not the model's encoding.
+
+Characters no piece covers become one byte piece per byte.
 
 A blank is written as the mark ``▁`` and one more stands before the text. No piece holds a mark
 after another character, nor a line feed, so chunks beginning with their marks or at a line feed
@@ -37,6 +45,8 @@ SCORE_FLOOR = -1e5
 BYTE_PENALTY = -1e6
 UNREACHED = float("-inf")
 MEMORY = 500_000
+# Rank of a character, which no merge makes, and the bound behind all merges.
+UNMERGED, LAST = float("-inf"), float("inf")
 # Stands for a line feed that ends a chunk; texts holding it are cut one by one.
 _FEED = "\x01"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*|[^{MARK}\n]+")
@@ -103,13 +113,15 @@ class PieceCodec:
             back.append(choices[scores.index(best[-1])])
         return back
 
+    segment = viterbi
+
     def chunk_ids(self, chunk: str) -> bytes:
         """Ids of a chunk as little-endian 32-bit numbers, remembered."""
         found = self.memory.get(chunk)
         if found is None:
             if len(self.memory) >= MEMORY:
                 self.memory.clear()
-            found = self.memory[chunk] = _packed(self.viterbi(chunk))
+            found = self.memory[chunk] = _packed(self.segment(chunk))
         return found
 
     def encode_one(self, text: str) -> bytes:
@@ -165,14 +177,104 @@ class PieceCodec:
         return raw[1:].decode()
 
 
-_CODECS: dict[str, PieceCodec] = {}
+class MergeCodec(PieceCodec):
+    """The encoding of a model whose scores are ranks of merges, the earliest the highest."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.ids: dict[str, int] = {}
+        self.ranks: dict[str, float] = {}
+        for i in range(model.get_piece_size()):
+            if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+                piece = model.id_to_piece(i)
+                self.ids[piece], self.ranks[piece] = i, -model.get_score(i)
+                self.surface[i] = piece.replace(MARK, " ").encode()
+        self.lengths = np.array([len(x) for x in self.surface], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.halves: dict[str, tuple[str, str, float] | None] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pieces = ahocorasick.Automaton()
+        for piece in self.ids:
+            # Characters are tried in any case, whether the vocabulary has them or not.
+            if len(piece) > 1 and self.made_of(piece):
+                self.pieces.add_word(piece, piece)
+        self.pieces.make_automaton()
+
+    def made_of(self, piece: str) -> tuple[str, str, float] | None:
+        """The two parts whose merge makes a piece, and its rank; None if merges do not make it."""
+        if piece not in self.halves:
+            parts, last = list(piece), None
+            while len(parts) > 1:
+                rank, at = min((self.ranks.get(a + b, LAST), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if rank == LAST:
+                    last = None
+                    break
+                last = (parts[at], parts[at + 1], rank)
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            self.halves[piece] = last
+        return self.halves[piece]
+
+    def compatible(self, left: str, right: str) -> bool:
+        """Whether no merge across the border comes before those that make the two pieces.
+
+        The merges are undone from the latest; of equal ranks the left one was made first.
+        """
+        limit, strict = LAST, True
+        while True:
+            across = self.ranks.get(left + right, LAST)
+            if across < limit or (not strict and across == limit):
+                return False
+            a = self.made_of(left) if len(left) > 1 else None
+            b = self.made_of(right) if len(right) > 1 else None
+            if a is None and b is None:
+                return True
+            if b is None or (a is not None and a[2] > b[2]):
+                left, limit, strict = a[1], a[2], True
+            else:
+                right, limit, strict = b[0], b[2], False
+
+    def segment(self, chunk: str) -> list[int]:
+        """Ids of the model's segmentation of a chunk, its blanks already written as marks."""
+        pairs, compatible = self.pairs, self.compatible
+        if len(pairs) >= MEMORY:
+            pairs.clear()
+        # The last piece of every prefix. The longest pieces come first from the output links.
+        ends: list[str] = [""] + list(chunk)
+        done = 1
+        for last, piece in self.pieces.iter(chunk):
+            end = last + 1
+            if end < done:
+                continue
+            before = ends[end - len(piece)]
+            if before:
+                key = (before, piece)
+                fits = pairs.get(key)
+                if fits is None:
+                    fits = pairs[key] = compatible(before, piece)
+                if not fits:
+                    continue
+            ends[end], done = piece, end + 1
+        out: list[int] = []
+        at = len(chunk)
+        while at:
+            piece = ends[at]
+            i = self.ids.get(piece)
+            out += [i] if i is not None else [self.bytes_id[b] for b in reversed(piece.encode())]
+            at -= len(piece)
+        out.reverse()
+        return out
+
+
+_CODECS: dict[tuple[type, str], PieceCodec] = {}
 
 
-def codec(name: str = MODEL) -> PieceCodec:
+def codec(name: str = MODEL, kind: type[PieceCodec] = PieceCodec) -> PieceCodec:
     """The worker's codec of a vocabulary, by public name or path; loaded once per worker."""
-    if name not in _CODECS:
-        _CODECS[name] = PieceCodec(name if "/" in name else public_tokenizers.path(name))
-    return _CODECS[name]
+    if (kind, name) not in _CODECS:
+        _CODECS[kind, name] = kind(name if "/" in name else public_tokenizers.path(name))
+    return _CODECS[kind, name]
 
 
 def encode_pieces(
@@ -182,7 +284,7 @@ def encode_pieces(
 
     def run(table: pa.Table) -> pa.Table:
         array = A.texts(table["_text"])
-        ids = pa.array(codec(model).encode(array), pa.binary())
+        ids = pa.array(codec(model, MergeCodec).encode(array), pa.binary())
         null = table["_text"].combine_chunks().is_null() if len(array) else None
         return pa.table({id_col: table[id_col], "ids": pc.if_else(null, None, ids) if len(array) else ids})
 
@@ -195,7 +297,7 @@ def decode_pieces(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id"
     """Id and text of every document's piece ids."""
 
     def run(table: pa.Table) -> pa.Table:
-        out = [None if x is None else codec(model).decode(x) for x in table["ids"].to_pylist()]
+        out = [None if x is None else codec(model, MergeCodec).decode(x) for x in table["ids"].to_pylist()]
         return pa.table({id_col: table[id_col], "text": pa.array(out, pa.string())})
 
     kind = encoded.schema[id_col].dataType.simpleString()
@@ -208,7 +310,7 @@ def digest(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text: st
     def run(table: pa.Table) -> pa.Table:
         from zlib import crc32
 
-        c = codec(model)
+        c = codec(model, MergeCodec)
         array = A.texts(table["_text"])
         low = np.zeros(len(c.surface), bool)
         low[list(c.bytes_id.values())] = True
