@@ -4,7 +4,8 @@ Texts are brought to lower-case words joined by single blanks. Phrases are looke
 stand. For the notices, pigeonhole: a notice allowed k edits is split into k + 1 pieces, one of
 which must occur unchanged; an Aho-Corasick automaton over all pieces reads each text once and
 gives candidate places, and the regex library's bounded-error matching verifies a window around
-each, reporting span and edits.
+each, reporting span and edits. What lies left and right of a match is searched again, so that a
+worse copy beside a better one is found as well.
 
 * NULL or empty text: no words, no labels, score 0, first and last word NULL.
 * Overlapping phrase places all count. Texts are scanned whole, whatever their length.
@@ -13,7 +14,7 @@ each, reporting span and edits.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import cache
 from typing import NamedTuple
 
@@ -107,13 +108,25 @@ class Scanner:
                 windows.append((a, b))
         return out
 
+    def matches(self, i: int, text: str, a: int, b: int) -> Iterator[regex.Match]:
+        """Matches of a notice in a window: the best ones, then those of what is left of them."""
+        least = len(self.notices[i][0]) - edits_allowed(self.notices[i][0])
+        ranges = [(a, b)]
+        while ranges:
+            a, b = ranges.pop()
+            for m in self.verify[i].finditer(text, a, b):
+                if m.start() - a >= least:
+                    ranges.append((a, m.start()))
+                a = m.end()
+                yield m
+
     def find(self, text: str) -> list[Notice]:
         """Verified notices of a normalised text, as spans of it."""
         found = []
         for i, windows in self.candidates(text).items():
             notice, label = self.notices[i]
             for a, b in windows:
-                for m in self.verify[i].finditer(text, a, b):
+                for m in self.matches(i, text, a, b):
                     edits = sum(m.fuzzy_counts)
                     found.append(Notice(m.start(), m.end(), label, edits, 1 - edits / len(notice)))
         return sorted(found)
