@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscape.llm import (
+    block_naming,
     graph_index,
     language_id,
     licenses,
@@ -68,6 +69,10 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf))
 
 
+def op11_block_naming(spark: SparkSession, sf: str) -> DataFrame:
+    return block_naming.same_texts(documents(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,7 +86,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_piece_codec,
         op9_quality_rules,
         op10_token_counts,
+        op11_block_naming,
     )
 }
 
-SQL: dict[str, str] = {"op2_mixing": mixing.oracle_sql()}
+SQL: dict[str, str] = {
+    "op2_mixing": mixing.oracle_sql(),
+    "op11_block_naming": block_naming.oracle_sql(),
+}
