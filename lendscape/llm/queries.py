@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendscape.llm import (
     block_naming,
+    collocations,
     graph_index,
     language_id,
     licenses,
@@ -19,6 +20,7 @@ from lendscape.llm import (
     secrets,
     token_counts,
     token_files,
+    whitening,
 )
 from lendscape.sources.store import scratch
 
@@ -73,6 +75,14 @@ def op11_block_naming(spark: SparkSession, sf: str) -> DataFrame:
     return block_naming.same_texts(documents(spark, sf))
 
 
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,10 +97,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_token_counts,
         op11_block_naming,
+        op12_whitening,
+        op13_collocations,
     )
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.oracle_sql(),
     "op11_block_naming": block_naming.oracle_sql(),
+    "op13_collocations": collocations.oracle_sql(),
 }
