@@ -10,9 +10,9 @@ counts what the larger proposal covers and the smaller one did not, until no fai
 Every frequent phrase has then been counted, each in one pass and over all documents. Sample size
 and lowered count decide how much is counted in which pass, never the result.
 
-* Tasks hold the proposal as a Bloom filter of ``FILTER_BITS``, a fixed size whatever the
-  vocabulary. A false positive adds a phrase to those counted. Nothing is missed, and as the bits
-  of a proposal only grow, no phrase is counted in two passes.
+* Tasks hold the proposal as Bloom filters of at most ``FILTER_BITS``, whatever the vocabulary. A
+  false positive adds a phrase to those counted. Nothing is missed, and as the bits of a proposal
+  only grow, no phrase is counted in two passes.
 * Phrases are added up within a slice of text before they leave Python, then within the task,
   then shuffled as strings, so that equal hashes cannot merge them. Only frequent ones are stored.
 * Texts beyond a slice are cut at separators of pieces: a task holds a slice, or a piece.
@@ -49,8 +49,10 @@ NO_LANG = "und"
 # One document in so many is in the sample; phrases with so many occurrences there are proposed.
 SAMPLE_SHARE = 8
 SAMPLE_COUNT = 2
-# Bits of a filter; two are set per phrase. A multiple of 2**15, the bits of a bitmap row.
-FILTER_BITS = 1 << 27
+# A filter has a power of two of bits, at least so many per phrase the sample proposed, and at most
+# ``FILTER_BITS``. Two are set per phrase.
+BITS_PER_PHRASE = 16
+FILTER_BITS = 1 << 28
 # Text handled at once: arrays of it and of its words take about thirty times as much.
 SLICE = 8 << 20
 # Shares of a language ranked on their own before its first ranks are taken.
@@ -227,6 +229,11 @@ def phrase_hashes(table: pa.Table, n: int) -> np.ndarray:
     return pair_hashes(word_hashes(langs, hashes[::2]), word_hashes(langs, hashes[1::2]))
 
 
+def filter_bits(phrases: int, most: int) -> int:
+    """Size of a filter: a whole number of bitmaps, in the end ``most``."""
+    return max(_BITMAP, min(most, 1 << (BITS_PER_PHRASE * phrases).bit_length()))
+
+
 def filter_of(phrases: DataFrame, n: int, bits: int) -> np.ndarray:
     """Bits of the phrases of n words; set in tasks, brought together as bitmaps."""
 
@@ -279,7 +286,9 @@ def frequent_phrases(
     sampled = texts.filter(F.pmod(F.xxhash64("lang", "text"), F.lit(share)) == 0)
     proposed = count_phrases(sampled, None, longest=2).filter((F.col("n") > 0) & (F.col("count") >= sample_count))
     proposed = A.staged(proposed, "proposed")
-    now = sc.broadcast(Proposal(filter_of(proposed, 1, bits), filter_of(proposed, 2, bits)))
+    sizes = {n: filter_bits(m, bits) for n, m in proposed.groupBy("n").count().collect()}
+    sizes = {n: sizes.get(n, _BITMAP) for n in (1, 2)}
+    now = sc.broadcast(Proposal(*(filter_of(proposed, n, sizes[n]) for n in (1, 2))))
     before, frequent = None, None
     while True:
         found = count_phrases(texts, now, before, longest)
@@ -288,10 +297,8 @@ def frequent_phrases(
         missed = A.staged(failures(frequent, now, longest), "failures")
         if missed.isEmpty():
             return frequent
-        more = Proposal(
-            now.value.words | filter_of(missed, 1, bits), now.value.pairs | filter_of(missed, 2, bits)
-        )
-        before, now = now, sc.broadcast(more)
+        words, pairs = (filter_of(missed, n, sizes[n]) for n in (1, 2))
+        before, now = now, sc.broadcast(Proposal(now.value.words | words, now.value.pairs | pairs))
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:

@@ -68,7 +68,7 @@ def frame(spark, rows):
         {"min_count": 3, "sample_count": 1},
         # Nothing proposed: all frequent phrases are failures of the sample, level by level.
         {"min_count": 3, "sample_count": 1000},
-        # Filters so full that nearly everything seems proposed.
+        # The smallest filters.
         {"min_count": 3, "bits": 1 << 15, "share": 1, "sample_count": 1},
     ],
 )
@@ -113,6 +113,19 @@ def test_filters_hold_every_member(spark):
     assert 0.9 < np.unpackbits(bits).sum() / 1000 <= 1
 
 
+def test_full_filters_take_nothing_away(spark, prose, monkeypatch):
+    """With all bits set, everything is counted in the first pass."""
+    full = lambda phrases, n, bits: np.full(bits // 8, 255, np.uint8)
+    monkeypatch.setattr(C, "filter_of", full)
+    assert rows_of(C.collocations(frame(spark, prose), shares=2, min_count=4)) == plain(prose, 4)
+
+
+def test_filter_sizes():
+    assert C.filter_bits(0, 1 << 28) == C.filter_bits(100, 1 << 28) == 1 << 15
+    assert 16 * 10**6 <= C.filter_bits(10**6, 1 << 28) <= 32 * 10**6
+    assert C.filter_bits(10**12, 1 << 28) == 1 << 28
+
+
 def test_products_beyond_64_bits(spark):
     big = spark.createDataFrame([(3 * 10**12, 4 * 10**12, 5 * 10**12), (7, 7, 7)], "a long, l long, r long")
     got = [r[0] for r in big.select(C._score(big.a, big.l, big.r)).collect()]
