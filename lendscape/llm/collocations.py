@@ -54,11 +54,12 @@ SAMPLE_COUNT = 2
 BITS_PER_PHRASE = 16
 FILTER_BITS = 1 << 28
 # Text handled at once: arrays of it and of its words take about thirty times as much.
-SLICE = 8 << 20
+SLICE = 4 << 20
 # Shares of a language ranked on their own before its first ranks are taken.
 SHARES = 256
 
 _BITMAP = 1 << 15
+_SENT_ROWS = 1 << 16
 SEPARATOR = A.byte_class(lambda b: b in b".,;:!?" or 0x0A <= b <= 0x0D)
 MEMBER = A.byte_class(lambda b: b not in b" \t") & ~SEPARATOR
 COUNTS = "lang string, phrase string, n int, count long"
@@ -206,16 +207,14 @@ def count_slice(words: Words, now: Proposal, before: Proposal | None, longest: i
 def count_phrases(docs: DataFrame, now, before=None, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase, n, count) over all documents; proposals are broadcast, ``now`` may be None."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, earlier = now.value if now else Proposal(), before.value if before else None
-        parts = [
-            part
-            for data, offsets, langs in text_slices(table, SLICE)
-            for part in count_slice(Words(data, offsets, langs), whole, earlier, longest)
-        ]
-        return pa.concat_tables(parts) if parts else None
-
-    found = A.map_tables(docs, run, COUNTS)
+        for batch in batches:
+            for data, offsets, langs in text_slices(pa.Table.from_batches([batch]), SLICE):
+                for part in count_slice(Words(data, offsets, langs), whole, earlier, longest):
+                    yield from part.to_batches(max_chunksize=_SENT_ROWS)
+
+    found = A.reachable(docs).mapInArrow(run, COUNTS)
     return found.groupBy("lang", "phrase", "n").agg(F.sum("count").alias("count"))
 
 
