@@ -134,7 +134,7 @@ def model(
         store.write_run(df, lake.gold(name), BUILD, label)
         return store.read_run(spark, lake.gold(name), BUILD, label)
 
-    history = store.read_history(spark, lake.history, run_ts)
+    history = store.read_history(spark, lake.history, "applicant_id", run_ts)
     marts = {
         "dim_applicant": build("dim_applicant", gold.dim_applicant(history)),
         "dim_loan_type": build("dim_loan_type", gold.dim_loan_type(app, run_ts)),

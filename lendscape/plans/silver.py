@@ -69,7 +69,7 @@ def run_silver(
     rows = clean(spec, landed, salt)
     root, label = f"{silver}/{spec.silver_name}", ingestion_date.isoformat()
     if spec.upsert_keys:
-        store.publish_upsert(spark, root, rows, spec.upsert_keys, label, spec.buckets)
+        store.publish_upsert(spark, root, rows, spec.upsert_keys, label)
     else:
         store.write_run(rows.drop(landing.DAY), root, landing.DAY, label)
     return True
@@ -79,6 +79,6 @@ def read_silver(spark: SparkSession, spec: TableSpec, silver: str) -> DataFrame
     """Current state of a keyed table, or all days of a keyless one."""
     root = f"{silver}/{spec.silver_name}"
     if spec.upsert_keys:
-        return store.read_keyed(spark, root)
+        return store.read_keyed(spark, root, spec.upsert_keys)
     days = store.run_labels(spark, root, landing.DAY)
     return store.read_runs(spark, root, landing.DAY, days) if days else None

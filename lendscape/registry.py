@@ -333,7 +333,7 @@ def stored_upsert(spark, sf):
     store.publish_upsert(spark, root, first, ["o_orderkey"], "2026-05-12")
     for _ in range(2):
         store.publish_upsert(spark, root, second, ["o_orderkey"], "2026-05-13")
-    return store.read_keyed(spark, root)
+    return store.read_keyed(spark, root, ["o_orderkey"])
 
 
 @query(
@@ -360,33 +360,50 @@ def stored_upsert_backdated(spark, sf):
     )
     for label, rows in days:
         store.publish_upsert(spark, root, rows, ["o_orderkey"], label)
-    return store.read_keyed(spark, root)
+    return store.read_keyed(spark, root, ["o_orderkey"])
 
 
 @query(
     """
     WITH changed AS (SELECT min(o_orderkey) AS k FROM orders)
-    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey = k THEN 100 ELSE 0 END AS o_totalprice,
-           cast(7 AS bigint) AS files_kept, cast(1 AS bigint) AS files_written
+    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey = k THEN 100 ELSE 0 END AS o_totalprice
     FROM orders, changed
     """
 )
 def stored_upsert_buckets(spark, sf):
-    """A second day with one key: seven of eight buckets keep their files."""
+    """A folded base, and a second day with one key read over it."""
     root = f"{store.scratch(spark)}/orders"
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    store.publish_upsert(spark, root, orders, ["o_orderkey"], "2026-05-12", buckets=8)
-    before = set(store.read_keyed(spark, root).inputFiles())
+    store.publish_upsert(spark, root, orders, ["o_orderkey"], "2026-05-12")
+    store.fold(spark, root, ["o_orderkey"], "2026-05-12")
     one = orders.join(orders.agg(F.min("o_orderkey").alias("o_orderkey")), "o_orderkey")
     dearer = one.withColumn("o_totalprice", F.col("o_totalprice") + 100)
     store.publish_upsert(spark, root, dearer, ["o_orderkey"], "2026-05-13")
-    after = set(store.read_keyed(spark, root).inputFiles())
-    return store.read_keyed(spark, root).withColumns(
-        {
-            "files_kept": F.lit(len(before & after)).cast("long"),
-            "files_written": F.lit(len(after - before)).cast("long"),
-        }
+    return store.read_keyed(spark, root, ["o_orderkey"])
+
+
+@query(
+    """
+    SELECT strftime(o_orderdate, '%Y-%m-01') AS day, o_custkey, o_orderkey, o_totalprice FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey, date_trunc('month', o_orderdate)
+          ORDER BY o_orderdate DESC, o_orderkey) AS in_month
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') WHERE in_month = 1) WHERE rn = 1
+    """
+)
+def stored_upsert_months(spark, sf):
+    """A customer's newest order, merged month by month with folding on the way."""
+    root, orders = f"{store.scratch(spark)}/newest", table(spark, sf, "orders")
+    recent = settle(
+        orders.filter(F.col("o_orderdate") >= moment("1998-01-01 00:00:00")).withColumn(
+            "day", F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd")
+        )
     )
+    for (day,) in sorted(recent.select("day").distinct().collect()):
+        month = latest_per_key(recent.filter(F.col("day") == day), ["o_custkey"], "o_orderdate", ["o_orderkey"])
+        rows = month.select("day", "o_custkey", "o_orderkey", "o_totalprice")
+        store.publish_upsert(spark, root, rows, ["o_custkey"], day, fold_after=3)
+    return store.read_keyed(spark, root, ["o_custkey"])
 
 
 @query(
@@ -917,11 +934,30 @@ def stored_history(spark, sf):
             ["o_orderpriority", "o_orderstatus"],
             at,
         )
-    return store.read_history(spark, root).withColumns(
+    return store.read_history(spark, root, "applicant_id").withColumns(
         {c: F.col(c).cast("string").cast("timestamp_ntz") for c in ("valid_from", "valid_to")}
     )
 
 
+@query(
+    "WITH versions AS ("
+    + _two_snapshots_sql(False)
+    + f") SELECT 'r20260512T000000000000' AS run, count(*) FILTER (WHERE valid_from = TIMESTAMP '{FIRST_SNAPSHOT}') "
+    "AS opened, cast(0 AS bigint) AS closed FROM versions UNION ALL SELECT 'r20260513T000000000000', "
+    f"count(*) FILTER (WHERE valid_from = TIMESTAMP '{SECOND_SNAPSHOT}'), count(valid_to) FROM versions"
+)
+def stored_history_log(spark, sf):
+    """What each run of a stored history wrote: versions opened and closed, not the table."""
+    root = f"{store.scratch(spark)}/history"
+    for after, at in ((False, _DAYS[0]), (True, _DAYS[1])):
+        rows = _customer_state(spark, sf, after)
+        store.publish_history(spark, root, rows, "applicant_id", ["o_orderpriority", "o_orderstatus"], at)
+    log = store.read_runs(spark, root, store.RUN, store.run_labels(spark, root, store.RUN))
+    return log.groupBy("run").agg(
+        F.count_if(F.col("valid_to").isNull()).alias("opened"), F.count("valid_to").alias("closed")
+    )
+
+
 @query(
     "SELECT md5(concat(cast(applicant_id AS varchar), '|', cast(valid_from AS varchar))) AS applicant_sk, "
     "* EXCLUDE (valid_from, valid_to), cast(valid_from AS date) AS start_date, "
@@ -939,7 +975,7 @@ def stored_history_presented(spark, sf):
             spark, root, _customer_state(spark, sf, after), "applicant_id",
             ["o_orderpriority", "o_orderstatus"], at,
         )
-    return scd2_present(store.read_history(spark, root), "applicant_id", "applicant_sk")
+    return scd2_present(store.read_history(spark, root, "applicant_id"), "applicant_id", "applicant_sk")
 
 
 @query(_two_snapshots_sql(True))

@@ -9,12 +9,12 @@ from datetime import date as Date
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscape.operators.shape import broken_rules, stamp
-from lendscape.sources.store import exists, latest_run, read_runs, run_path, write_run
+from lendscape.sources.store import exists, has_run, latest_run, read_runs, write_run
 from lendscape.specs import TableSpec
 
 log = logging.getLogger(__name__)
@@ -153,18 +153,14 @@ def ingest(
         batch_id or f"{spec.name}-{run_ts:%Y%m%dT%H%M%S}",
         env,
     ).withColumn(ZONE, F.when(F.size("reasons") == 0, F.lit(CLEAN)).otherwise(F.lit(QUARANTINE)))
-    seen = Observation(f"ingest_{spec.name}")
-    observed = rows.drop(DAY).observe(
-        seen,
-        F.count_if(F.col(ZONE) == CLEAN).alias("clean"),
-        F.count_if(F.col(ZONE) == QUARANTINE).alias("quarantine"),
-    )
+    rows = rows.drop(DAY)
     if spec.cluster_by:
         # Order inside each file makes its row-group statistics selective for later filters.
-        observed = observed.sortWithinPartitions(ZONE, *spec.cluster_by)
-    write_run(observed, f"{bronze}/{spec.name}", DAY, ingestion_date.isoformat(), [ZONE])
-    counts = seen.get
-    result = IngestResult(spec.name, counts["clean"] or 0, counts["quarantine"] or 0)
+        rows = rows.sortWithinPartitions(ZONE, *spec.cluster_by)
+    counts = write_run(
+        rows, f"{bronze}/{spec.name}", DAY, ingestion_date.isoformat(), (ZONE, (CLEAN, QUARANTINE))
+    )
+    result = IngestResult(spec.name, counts[CLEAN], counts[QUARANTINE])
     if result.quarantine_rows:
         log.warning("%s: %d rows quarantined", spec.name, result.quarantine_rows)
     return result
@@ -182,7 +178,7 @@ def read_day(
 ) -> DataFrame | None:
     """One landed day with its date column; ``None`` when that day is not there."""
     root, label = f"{bronze}/{spec.name}", ingestion_date.isoformat()
-    if run_path(spark, root, DAY, label) is None:
+    if not has_run(spark, root, DAY, label):
         return None
     schema = spec.bronze_schema.add(DAY, T.DateType()).add(ZONE, T.StringType())
     stored = read_runs(spark, root, DAY, [label], schema)

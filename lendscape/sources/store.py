@@ -1,41 +1,38 @@
-"""Layer storage as parquet.
+"""Layer storage as plain parquet in dated partitions.
 
-A run is written to a new numbered attempt, ``<root>/<column>=<label>/try=<n>``, and counts once
-Spark has put its ``_SUCCESS`` marker there; the newest complete attempt is the run. A lost
-driver, also one repeating an earlier run, therefore leaves the previous attempt in force.
-Attempts older than the one before it are removed afterwards.
+A run is one partition, ``<root>/<column>=<label>``, written by Spark's dynamic partition
+overwrite: a repeated run replaces its own partition when its job commits, a failed one leaves
+everything as it was, other partitions are not touched. Any parquet reader sees the same rows.
 
-Keyed tables are kept in a fixed number of buckets by key hash. A day's rows are stored as a
-delta, the buckets they touch are merged and written anew, other buckets' files stay as they
-are. One commit file, put in place last, says which files make up each day's state.
+Keyed tables are merged on read. A day is stored as a delta partition, and the state is the
+latest row per key over the deltas, so back-dated and repeated days need no replay. ``fold``
+stores the state as of a day; reads then take that base, but for the keys of later deltas.
+
+A history is a log of versions: a run stores the versions it opened and those it closed.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import tempfile
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscape.operators.history import VALID_FROM, VALID_TO, open_versions, scd2_step
+from lendscape.operators.latest import latest_per_key
 from lendscape.operators.upsert import any_null, upsert
 
 LABEL = "label"
 RUN = "run"
-STATE = "state"
-DELTA = "delta"
-OPEN, CLOSED = "open", "closed"
-TRY = "try"
-BUCKET = "_bucket"
-# Buckets of a keyed table, fixed when it is first written. Choose them so that a bucket is
-# about a gigabyte when the table has its expected size.
-BUCKETS = 16
+DELTA, BASE = "delta", "base"
+# Deltas beyond the newest base after which a day's merge stores a new one.
+FOLD_AFTER = 7
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -49,58 +46,63 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def _glob(spark: SparkSession, root: str, pattern: str) -> list[str]:
-    """Paths below a root that match, in one call."""
-    literal = re.sub(r"([{}\[\]*?\\])", r"\\\1", root)
-    fs, target = _file_system(spark, f"{literal}/{pattern}")
-    return [str(status.getPath()) for status in fs.globStatus(target) or []]
-
-
-def _attempts(spark: SparkSession, root: str, column: str) -> dict[str, list[int]]:
-    """Complete attempts of every label, ascending."""
-    out: dict[str, list[int]] = {}
-    for path in _glob(spark, root, f"{column}=*/{TRY}=*/_SUCCESS"):
-        *_, label, attempt, _ = path.split("/")
-        out.setdefault(label.split("=", 1)[1], []).append(int(attempt.split("=")[1]))
-    return {label: sorted(numbers) for label, numbers in sorted(out.items())}
+def _folder(root: str, column: str, label: str) -> str:
+    """Folder of a partition, its label escaped as Spark does."""
+    safe = re.sub(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", label)
+    return f"{root}/{column}={safe}"
 
 
 def run_labels(spark: SparkSession, root: str, column: str) -> list[str]:
-    """Labels of complete runs, ascending. Lists names only."""
-    return list(_attempts(spark, root, column))
+    """Labels of stored runs, ascending. Lists names only."""
+    literal = re.sub(r"([{}\[\]*?\\])", r"\\\1", root)
+    fs, target = _file_system(spark, f"{literal}/{column}=*")
+    names = [status.getPath().getName() for status in fs.globStatus(target) or []]
+    return sorted(unquote(name.split("=", 1)[1]) for name in names)
 
 
 def latest_run(
     spark: SparkSession, root: str, column: str, before: str | None = None
 ) -> str | None:
-    """Greatest complete label, optionally below another one."""
+    """Greatest label, optionally below another one."""
     labels = [x for x in run_labels(spark, root, column) if before is None or x < before]
     return labels[-1] if labels else None
 
 
-def run_path(spark: SparkSession, root: str, column: str, label: str) -> str | None:
-    """Folder of a run's newest complete attempt."""
-    numbers = _attempts(spark, root, column).get(label)
-    return f"{root}/{column}={label}/{TRY}={numbers[-1]}" if numbers else None
+def has_run(spark: SparkSession, root: str, column: str, label: str) -> bool:
+    return exists(spark, _folder(root, column, label))
 
 
 def write_run(
-    df: DataFrame, root: str, column: str, label: str, partition_by: Sequence[str] = ()
-) -> int:
-    """Write a run, replacing an earlier one of the label only once it is complete.
+    df: DataFrame, root: str, column: str, label: str, split: tuple[str, Sequence[str]] | None = None
+) -> dict[str | None, int]:
+    """Write a run, replacing an earlier one of the label, and return its row count.
 
-    Returns the attempt's number.
+    ``split`` names a further partition column and the values it takes; counts are then per
+    value. Dynamic overwrite leaves a partition alone that gets no row, so such a one is
+    overwritten with no rows: a repeated run that has become empty leaves nothing behind.
     """
-    spark = df.sparkSession
-    begun = [int(p.rsplit("=", 1)[1]) for p in _glob(spark, f"{root}/{column}={label}", f"{TRY}=*")]
-    number = max(begun, default=0) + 1
-    df.write.partitionBy(*partition_by).parquet(f"{root}/{column}={label}/{TRY}={number}")
-    complete = _attempts(spark, root, column)[label]
-    for old in begun:
-        if len(complete) > 1 and old < complete[-2]:
-            fs, target = _file_system(spark, f"{root}/{column}={label}/{TRY}={old}")
-            fs.delete(target, True)
-    return number
+    name, values = split or (None, (None,))
+    seen = Observation(f"write_{uuid.uuid4().hex}")
+    counted = [
+        (F.count(F.lit(1)) if name is None else F.count_if(F.col(name) == v)).alias(f"n{i}")
+        for i, v in enumerate(values)
+    ]
+    (
+        df.observe(seen, *counted)
+        .withColumn(column, F.lit(label))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column, *([name] if name else []))
+        .parquet(root)
+    )
+    counts = {v: seen.get[f"n{i}"] or 0 for i, v in enumerate(values)}
+    folder = _folder(root, column, label)
+    for value, n in counts.items():
+        place = folder if value is None else _folder(folder, name, value)
+        if n == 0 and (value is None or exists(df.sparkSession, place)):
+            none = df.sparkSession.createDataFrame([], df.drop(name).schema if name else df.schema)
+            none.write.mode("overwrite").parquet(place)
+    return counts
 
 
 def read_run(
@@ -108,7 +110,7 @@ def read_run(
 ) -> DataFrame:
     """One run's rows, without the run column."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(run_path(spark, root, column, label))
+    return reader.parquet(_folder(root, column, label))
 
 
 def read_runs(
@@ -119,68 +121,14 @@ def read_runs(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Several runs' rows with the run column; other runs' files are not even listed."""
-    numbers = _attempts(spark, root, column)
-    paths = [f"{root}/{column}={x}/{TRY}={numbers[x][-1]}" for x in labels]
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.option("basePath", root).parquet(*paths).drop(TRY)
-
-
-def _commits(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(p.rsplit("/", 1)[1]) for p in _glob(spark, f"{root}/commits", "[0-9]*"))
+    return reader.option("basePath", root).parquet(*[_folder(root, column, x) for x in labels])
 
 
-def _last_commit(spark: SparkSession, root: str) -> dict:
-    """The state of a keyed table: bucket count and, per label, attempts and touched buckets."""
-    numbers = _commits(spark, root)
-    if not numbers:
-        return {"number": 0, "buckets": None, "labels": {}}
-    return json.loads(_read_text(spark, f"{root}/commits/{numbers[-1]}"))
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, target = _file_system(spark, path)
-    stream = fs.open(target)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _commit(spark: SparkSession, root: str, state: dict) -> None:
-    """Put the next commit file in place: written aside, then renamed, which fails when another
-    writer was first."""
-    number = state["number"] + 1
-    aside = f"{root}/commits/.{uuid.uuid4().hex}"
-    fs, target = _file_system(spark, aside)
-    stream = fs.create(target, False)
-    stream.write(bytearray(json.dumps(state | {"number": number}).encode()))
-    stream.close()
-    _, final = _file_system(spark, f"{root}/commits/{number}")
-    if fs.exists(final) or not fs.rename(target, final):
-        raise ValueError(f"{root} was changed by another writer")
-
-
-def _bucket_paths(
-    root: str, state: dict, upto: str, only: Sequence[int] | None = None
-) -> list[str]:
-    """Folders that hold the buckets' newest state as of a label."""
-    place: dict[int, str] = {}
-    for label in sorted(x for x in state["labels"] if x <= upto):
-        kind, number = state["labels"][label]["state"]
-        folder = f"{root}/{kind}/{LABEL}={label}/{TRY}={number}"
-        place.update((b, f"{folder}/{BUCKET}={b}") for b in state["labels"][label]["touched"])
-    return [path for b, path in sorted(place.items()) if only is None or b in only]
-
-
-def read_keyed(spark: SparkSession, root: str, as_of: str | None = None) -> DataFrame | None:
-    """State of a keyed table, by default the newest; ``None`` when there is none."""
-    state = _last_commit(spark, root)
-    known = [x for x in sorted(state["labels"]) if as_of is None or x <= as_of]
-    if not known:
-        return None
-    schema = T.StructType.fromJson(state["schema"])
-    paths = _bucket_paths(root, state, known[-1])
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+def _rows(spark: SparkSession, root: str, column: str, labels: Sequence[str]) -> DataFrame:
+    """Rows of runs with the label as text, in the columns of the last of them."""
+    schema = read_run(spark, root, column, labels[-1]).schema
+    return read_runs(spark, root, column, labels, schema.add(column, T.StringType()))
 
 
 def publish_upsert(
@@ -189,53 +137,63 @@ def publish_upsert(
     source: DataFrame,
     keys: Sequence[str],
     label: str,
-    buckets: int = BUCKETS,
+    fold_after: int = FOLD_AFTER,
 ) -> None:
-    """Merge a day's rows into a keyed table.
+    """Store a day's rows as the delta of its label; a key it repeats fails the job.
 
-    The source is evaluated once, into the label's delta, where its keys are checked. Buckets it
-    touches are merged with their state before the label. Labels after it, if any, are merged
-    again from their stored deltas in order, so a back-dated day ends up as if it had come in
-    time; and repeating a label starts from the state before it. Nothing is visible until the
-    commit at the end.
+    Only the day's rows are read and written. Bases holding the label's day or a later one are
+    dropped beforehand, since they were made without these rows. After ``fold_after`` deltas a
+    new base is stored.
     """
-    state = _last_commit(spark, root)
-    n = state["buckets"] or buckets
-    placed = _placed(source, keys, n).repartition(n, BUCKET)
-    checked = upsert(None, placed, keys, [BUCKET])
-    delta = write_run(checked, f"{root}/{DELTA}", LABEL, label, [BUCKET])
-    state["labels"][label] = {"delta": delta}
-    state |= {"buckets": n, "schema": source.schema.jsonValue()}
-    for later in sorted(x for x in state["labels"] if x >= label):
-        _merge_label(spark, root, state, later, keys)
-    _commit(spark, root, state)
-
-
-def _placed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Add the bucket: of the key, or of the whole row where the key is NULL."""
-    place = F.when(any_null(keys), F.xxhash64(*df.columns)).otherwise(F.xxhash64(*keys))
-    return df.withColumn(BUCKET, F.pmod(place, F.lit(buckets)).cast("int"))
-
-
-def _merge_label(
-    spark: SparkSession, root: str, state: dict, label: str, keys: Sequence[str]
-) -> None:
-    """Write the state of the buckets that a label's delta touches.
+    for base in run_labels(spark, f"{root}/{BASE}", LABEL):
+        if base >= label:
+            fs, target = _file_system(spark, _folder(f"{root}/{BASE}", LABEL, base))
+            fs.delete(target, True)
+    write_run(upsert(None, source, keys), f"{root}/{DELTA}", LABEL, label)
+    base, deltas = _layers(spark, root)
+    if len(deltas) >= fold_after:
+        fold(spark, root, keys, deltas[-1])
+
+
+def _layers(spark: SparkSession, root: str, as_of: str | None = None) -> tuple[str | None, list[str]]:
+    """Newest base and the deltas after it, as of a label."""
+    seen = lambda kind: [x for x in run_labels(spark, f"{root}/{kind}", LABEL) if as_of is None or x <= as_of]
+    base = max(seen(BASE), default=None)
+    return base, [x for x in seen(DELTA) if base is None or x > base]
+
 
-    Buckets touched for the first time need no merge if all are: the delta is their state.
+def read_keyed(
+    spark: SparkSession, root: str, keys: Sequence[str], as_of: str | None = None
+) -> DataFrame | None:
+    """State of a keyed table, by default the newest; ``None`` when there is none.
+
+    The latest row per key over the deltas, and rows of the base whose key is in none of them:
+    the base is not shuffled where the deltas' keys are few enough to be broadcast. Rows with
+    NULL keys match nothing and are all part of the state.
     """
-    entry, schema = state["labels"][label], T.StructType.fromJson(state["schema"])
-    folder = f"{root}/{DELTA}/{LABEL}={label}/{TRY}={entry['delta']}"
-    touched = sorted(int(p.rsplit("=", 1)[1]) for p in _glob(spark, folder, f"{BUCKET}=*"))
-    before = max((x for x in state["labels"] if x < label), default=None)
-    paths = [] if before is None else _bucket_paths(root, state, before, touched)
-    entry |= {"touched": touched, "state": (DELTA, entry["delta"])}
-    if paths:
-        read = lambda *x: _placed(spark.read.schema(schema).parquet(*x), keys, state["buckets"])
-        target, source = read(*paths), read(*[f"{folder}/{BUCKET}={b}" for b in touched])
-        # One exchange by bucket serves the merge and the write.
-        merged = upsert(target, source, keys, [BUCKET], state["buckets"])
-        entry["state"] = (STATE, write_run(merged, f"{root}/{STATE}", LABEL, label, [BUCKET]))
+    base, deltas = _layers(spark, root, as_of)
+    if base is None and not deltas:
+        return None
+    held = None if base is None else read_run(spark, f"{root}/{BASE}", LABEL, base)
+    if not deltas:
+        return held
+    rows = _rows(spark, f"{root}/{DELTA}", LABEL, deltas)
+    unkeyed = any_null(keys)
+    fresh = rows.drop(LABEL) if len(deltas) == 1 else (
+        latest_per_key(rows.filter(~unkeyed), keys, LABEL, []).unionByName(rows.filter(unkeyed)).drop(LABEL)
+    )
+    if held is None:
+        return fresh
+    changed = rows.filter(~unkeyed).select(*keys).distinct()
+    kept = held.join(changed, list(keys), "left_anti").select(*held.columns)
+    return kept.unionByName(fresh, allowMissingColumns=True).select(*fresh.columns)
+
+
+def fold(spark: SparkSession, root: str, keys: Sequence[str], upto: str) -> None:
+    """Store the state as of a label as the base of later reads. Deltas stay."""
+    state = read_keyed(spark, root, keys, upto)
+    if state is not None:
+        write_run(state, f"{root}/{BASE}", LABEL, upto)
 
 
 def run_label(run_ts: datetime) -> str:
@@ -254,34 +212,41 @@ def publish_history(
 ) -> None:
     """Fold one snapshot into the stored history.
 
-    A run stores all versions open after it and those it closed, in one job. Versions closed
-    by earlier runs are neither read nor rewritten.
+    A run stores the versions it opens, and those it closes with their end: bytes follow the
+    changes, not the table. Versions open before it are derived from the log.
     """
     label = run_label(run_ts)
-    newest = latest_run(spark, root, RUN)
-    if newest is not None and newest > label:
-        raise ValueError(f"history already holds a later run ({newest}) than {label}")
-    base = latest_run(spark, root, RUN, before=label)
-    if base is None:
-        rows = open_versions(source, run_ts, key)
+    labels = run_labels(spark, root, RUN)
+    if labels and labels[-1] > label:
+        raise ValueError(f"history already holds a later run ({labels[-1]}) than {label}")
+    earlier = [x for x in labels if x < label]
+    if earlier:
+        current = _open(_rows(spark, root, RUN, earlier), key).drop(RUN)
+        versions = scd2_step(current, source, key, check_cols, run_ts, close_deleted)
+        opened = F.col(VALID_FROM) == F.lit(run_ts).cast(current.schema[VALID_FROM].dataType)
+        rows = versions.filter(F.col(VALID_TO).isNotNull() | opened)
     else:
-        schema = open_versions(source, run_ts).schema.add(STATE, T.StringType())
-        stored = read_run(spark, root, RUN, base, schema)
-        current = stored.filter(F.col(STATE) == OPEN).drop(STATE)
-        rows = scd2_step(current, source, key, check_cols, run_ts, close_deleted)
-    state = F.when(F.col(VALID_TO).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
-    write_run(rows.withColumn(STATE, state), root, RUN, label, [STATE])
+        rows = open_versions(source, run_ts, key)
+    write_run(rows, root, RUN, label)
+
+
+def _open(log: DataFrame, key: str) -> DataFrame:
+    """Versions opened and not closed by any run of the log."""
+    closed = log.filter(F.col(VALID_TO).isNotNull()).select(key, VALID_FROM)
+    return log.filter(F.col(VALID_TO).isNull()).join(closed, [key, VALID_FROM], "left_anti").select(*log.columns)
 
 
-def read_history(spark: SparkSession, root: str, as_of: datetime | None = None) -> DataFrame | None:
-    """All versions as of a run (default: the latest); partitions not needed are pruned."""
+def read_history(
+    spark: SparkSession, root: str, key: str, as_of: datetime | None = None
+) -> DataFrame | None:
+    """All versions as of a run (default: the latest); partitions not needed are not listed."""
     labels = [
         x for x in run_labels(spark, root, RUN) if as_of is None or x <= run_label(as_of)
     ]
     if not labels:
         return None
-    wanted = (F.col(STATE) == CLOSED) | (F.col(RUN) == labels[-1])
-    return read_runs(spark, root, RUN, labels).filter(wanted).drop(RUN, STATE)
+    log = _rows(spark, root, RUN, labels)
+    return log.filter(F.col(VALID_TO).isNotNull()).unionByName(_open(log, key)).drop(RUN)
 
 
 def scratch(spark: SparkSession) -> str:
@@ -334,6 +299,8 @@ __all__ = [
     "VALID_FROM",
     "VALID_TO",
     "exists",
+    "fold",
+    "has_run",
     "latest_run",
     "materialise",
     "publish_history",
@@ -344,7 +311,6 @@ __all__ = [
     "read_runs",
     "run_label",
     "run_labels",
-    "run_path",
     "scratch",
     "settle",
     "write_run",

@@ -36,8 +36,6 @@ class TableSpec:
     masked: tuple[str, ...] = ()
     only: Mapping[str, Any] = field(default_factory=dict)
     cluster_by: tuple[str, ...] = ()
-    # Buckets of the keyed Silver table, fixed once it is written: about a gigabyte each.
-    buckets: int = 16
     # Text that means NULL in the file, and whether quoted fields may span lines (then a file is
     # read by one task).
     null_token: str = ""

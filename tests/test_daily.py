@@ -110,7 +110,7 @@ def test_gate_stops_on_bad_silver(spark, two_days):
 
 def test_later_history_run_is_protected(spark, two_days):
     lake, _, marts, _ = two_days
-    source = store.read_history(spark, lake.history).drop("valid_from", "valid_to")
+    source = store.read_history(spark, lake.history, "applicant_id").drop("valid_from", "valid_to")
     with pytest.raises(ValueError, match="later run"):
         store.publish_history(
             spark, lake.history, source, "applicant_id", ["cnt_children"], TS1
@@ -119,7 +119,7 @@ def test_later_history_run_is_protected(spark, two_days):
 
 def test_history_as_of_first_run(spark, two_days):
     lake, _, _, _ = two_days
-    past = store.read_history(spark, lake.history, TS1)
+    past = store.read_history(spark, lake.history, "applicant_id", TS1)
     assert past.count() == 300 and past.filter("valid_to is not null").count() == 0
 
 

@@ -238,18 +238,18 @@ def test_published_history_equals_pure_folding(spark, tmp_path):
     for at, rows in zip(T, snapshots):
         store.publish_history(spark, root, snap(spark, rows), "id", ["job", "kids"], at)
     expected = versions(fold(spark, snapshots))
-    assert versions(store.read_history(spark, root)) == expected
+    assert versions(store.read_history(spark, root, "id")) == expected
     # A repeated run replaces its own output only.
     store.publish_history(spark, root, snap(spark, snapshots[-1]), "id", ["job", "kids"], T[3])
-    assert versions(store.read_history(spark, root)) == expected
-    assert versions(store.read_history(spark, root, T[1])) == versions(fold(spark, snapshots[:2]))
+    assert versions(store.read_history(spark, root, "id")) == expected
+    assert versions(store.read_history(spark, root, "id", T[1])) == versions(fold(spark, snapshots[:2]))
 
 
 def test_published_history_may_start_empty(spark, tmp_path):
     root = str(tmp_path / "h")
     store.publish_history(spark, root, snap(spark, []), "id", ["job", "kids"], T[0])
     store.publish_history(spark, root, snap(spark, [(1, "a", 0, "x")]), "id", ["job", "kids"], T[1])
-    assert versions(store.read_history(spark, root)) == [(1, "a", 0, "x", T[1], None)]
+    assert versions(store.read_history(spark, root, "id")) == [(1, "a", 0, "x", T[1], None)]
 
 
 def test_history_step_avoids_interpreted_expressions(spark):

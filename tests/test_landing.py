@@ -46,8 +46,8 @@ def test_null_key_is_quarantined(spark, folders):
 def test_writes_day_directory(spark, folders):
     put(folders[0], "application_train.csv", HEADER + "1,5,a\n")
     run(spark, folders)
-    root = f"{folders[1]}/application_train/ingestion_date=2026-05-12/try=1"
-    assert store.exists(spark, f"{root}/zone=clean") and store.exists(spark, f"{root}/_SUCCESS")
+    root = f"{folders[1]}/application_train/ingestion_date=2026-05-12"
+    assert store.exists(spark, f"{root}/zone=clean")
     assert not store.exists(spark, f"{root}/zone=quarantine")
 
 

@@ -45,7 +45,7 @@ def test_repeated_source_key_fails_on_the_first_day_too(spark, tmp_path):
         upsert(None, twice, ["k"]).count()
     with pytest.raises(PySparkException, match="repeats a key"):
         store.publish_upsert(spark, str(tmp_path / "t"), twice, ["k"], "2026-05-12")
-    assert store.read_keyed(spark, str(tmp_path / "t")) is None
+    assert store.read_keyed(spark, str(tmp_path / "t"), ["k"]) is None
 
 
 def test_null_keys_match_nothing(spark):
@@ -84,8 +84,8 @@ def test_each_side_is_shuffled_once(spark):
 DAYS = ("2026-05-10", "2026-05-11", "2026-05-12")
 
 
-def publish(spark, root, label, *pairs, buckets=4):
-    store.publish_upsert(spark, root, frame(spark, list(pairs)), ["k"], label, buckets)
+def publish(spark, root, label, *pairs, fold_after=100):
+    store.publish_upsert(spark, root, frame(spark, list(pairs)), ["k"], label, fold_after)
 
 
 def test_published_days(spark, tmp_path):
@@ -93,31 +93,48 @@ def test_published_days(spark, tmp_path):
     publish(spark, root, DAYS[0], (1, "a"), (2, "a"))
     publish(spark, root, DAYS[1], (2, "b"), (3, "b"), (None, "n"))
     expected = [(1, "a"), (2, "b"), (3, "b"), (None, "n")]
-    assert rows(store.read_keyed(spark, root)) == expected
+    assert rows(store.read_keyed(spark, root, ["k"])) == expected
     publish(spark, root, DAYS[1], (2, "b"), (3, "b"), (None, "n"))
-    assert rows(store.read_keyed(spark, root)) == expected
-    assert rows(store.read_keyed(spark, root, DAYS[0])) == [(1, "a"), (2, "a")]
-    assert store.read_keyed(spark, root, "2026-05-09") is None
+    assert rows(store.read_keyed(spark, root, ["k"])) == expected
+    assert rows(store.read_keyed(spark, root, ["k"], DAYS[0])) == [(1, "a"), (2, "a")]
+    assert store.read_keyed(spark, root, ["k"], "2026-05-09") is None
 
 
 def test_random_order_of_days_gives_the_state_of_the_right_order(spark, tmp_path):
     rng = random.Random(3)
-    for turn in range(2):
-        root, days = str(tmp_path / f"t{turn}"), {}
-        for label in rng.sample([*DAYS, *DAYS[:1]], 4):
+    for fold_after in (1, 2, 100):
+        root, days = str(tmp_path / f"t{fold_after}"), {}
+        for label in rng.sample([*DAYS, *DAYS[:2]], 5):
             days[label] = [(k, f"{label}/{rng.random():.3f}") for k in rng.sample(range(12), 5)]
-            publish(spark, root, label, *days[label])
+            publish(spark, root, label, *days[label], fold_after=fold_after)
             want = {k: v for day in sorted(days) for k, v in days[day]}
-            assert dict(rows(store.read_keyed(spark, root))) == want
+            assert dict(rows(store.read_keyed(spark, root, ["k"]))) == want
 
 
-def test_untouched_buckets_keep_their_files(spark, tmp_path):
+def test_a_day_writes_only_its_own_rows(spark, tmp_path):
     root = str(tmp_path / "t")
-    publish(spark, root, DAYS[0], *[(k, "a") for k in range(40)], buckets=8)
-    before = set(store.read_keyed(spark, root).inputFiles())
-    publish(spark, root, DAYS[1], (7, "b"), buckets=8)
-    after = set(store.read_keyed(spark, root).inputFiles())
-    assert len(before - after) == 1 and len(before & after) == 7
+    publish(spark, root, DAYS[0], *[(k, "a") for k in range(40)])
+    before = sorted((tmp_path / "t").rglob("*.parquet"))
+    publish(spark, root, DAYS[1], (7, "b"))
+    new = set((tmp_path / "t").rglob("*.parquet")) - set(before)
+    assert {p.parent.name for p in new} == {f"label={DAYS[1]}"}
+    assert sum(spark.read.parquet(str(p)).count() for p in new) == 1
+
+
+def test_folded_deltas_are_not_read(spark, tmp_path):
+    root = str(tmp_path / "t")
+    publish(spark, root, DAYS[0], *[(k, "a") for k in range(9)], (None, "n"))
+    publish(spark, root, DAYS[1], (7, "b"), (None, "n"), fold_after=2)
+    publish(spark, root, DAYS[2], (8, "c"), (None, "m"))
+    state = store.read_keyed(spark, root, ["k"])
+    assert not [f for f in state.inputFiles() if f"/delta/label={DAYS[0]}" in f]
+    want = [(k, "a") for k in range(7)] + [(7, "b"), (8, "c"), (None, "m"), (None, "n"), (None, "n")]
+    assert rows(state) == want
+    text = state._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text  # one delta: nothing to rank, and the base is not shuffled
+    # A back-dated day takes the bases away that were made without it.
+    publish(spark, root, DAYS[0], *[(k, "x") for k in range(3)])
+    assert rows(store.read_keyed(spark, root, ["k"])) == [(0, "x"), (1, "x"), (2, "x"), (7, "b"), (8, "c"), (None, "m"), (None, "n")]
 
 
 def test_failed_repetition_leaves_the_state(spark, tmp_path):
@@ -128,25 +145,33 @@ def test_failed_repetition_leaves_the_state(spark, tmp_path):
     for label in DAYS[:2]:
         with pytest.raises(PySparkException, match="lost"):
             store.publish_upsert(spark, root, broken, ["k"], label)
-        assert rows(store.read_keyed(spark, root)) == [(1, "b")]
-        assert rows(store.read_keyed(spark, root, DAYS[0])) == [(1, "a")]
+        assert rows(store.read_keyed(spark, root, ["k"])) == [(1, "b")]
+        assert rows(store.read_keyed(spark, root, ["k"], DAYS[0])) == [(1, "a")]
 
 
-def test_incomplete_attempt_is_ignored(spark, tmp_path):
+def test_a_failing_or_repeated_run_leaves_others_alone(spark, tmp_path):
     root = str(tmp_path / "r")
-    store.write_run(frame(spark, [(1, "a")]), root, "day", DAYS[0])
-    (tmp_path / "r" / f"day={DAYS[0]}" / "try=2").mkdir()
-    (tmp_path / "r" / f"day={DAYS[1]}" / "try=1").mkdir(parents=True)
-    assert store.run_labels(spark, root, "day") == [DAYS[0]]
-    assert rows(store.read_run(spark, root, "day", DAYS[0])) == [(1, "a")]
-    store.write_run(frame(spark, [(2, "b")]), root, "day", DAYS[0])
-    assert rows(store.read_run(spark, root, "day", DAYS[0])) == [(2, "b")]
-
-
-def test_another_writer_is_noticed(spark, tmp_path):
-    root = str(tmp_path / "t")
-    publish(spark, root, DAYS[0], (1, "a"))
-    stale = store._last_commit(spark, root)
-    publish(spark, root, DAYS[1], (1, "b"))
-    with pytest.raises(ValueError, match="another writer"):
-        store._commit(spark, root, stale)
+    for label in DAYS:
+        assert store.write_run(frame(spark, [(1, label), (2, label)]), root, "day", label) == {None: 2}
+    others = {p: p.stat().st_mtime_ns for p in (tmp_path / "r").rglob("*.parquet") if DAYS[1] not in str(p)}
+    broken = frame(spark, [(1, "x")]).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(PySparkException, match="lost"):
+        store.write_run(broken, root, "day", DAYS[1])
+    assert rows(store.read_run(spark, root, "day", DAYS[1])) == [(1, DAYS[1]), (2, DAYS[1])]
+    store.write_run(frame(spark, [(3, "b")]), root, "day", DAYS[1])
+    assert rows(store.read_run(spark, root, "day", DAYS[1])) == [(3, "b")]
+    assert store.write_run(frame(spark, []), root, "day", DAYS[1]) == {None: 0}
+    assert rows(store.read_run(spark, root, "day", DAYS[1])) == []
+    assert {p: p.stat().st_mtime_ns for p in others} == others
+    # Any reader of parquet sees the same rows.
+    assert spark.read.parquet(root).groupBy("day").count().count() == 2
+
+
+def test_split_runs(spark, tmp_path):
+    root = str(tmp_path / "s")
+    split = ("v", ("good", "bad"))
+    write = lambda *pairs: store.write_run(frame(spark, list(pairs)), root, "day", DAYS[0], split)
+    assert write((1, "good"), (2, "bad"), (3, "bad")) == {"good": 1, "bad": 2}
+    assert write((4, "good")) == {"good": 1, "bad": 0}
+    got = store.read_runs(spark, root, "day", [DAYS[0]])
+    assert [(r.k, r.v) for r in got.collect()] == [(4, "good")]
