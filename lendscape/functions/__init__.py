@@ -3,6 +3,7 @@
 from lendscape.functions.columns import (
     bracket,
     day_gap,
+    keyed_mask,
     mask,
     percent,
     safe_ratio,
@@ -14,6 +15,7 @@ from lendscape.functions.columns import (
 __all__ = [
     "bracket",
     "day_gap",
+    "keyed_mask",
     "mask",
     "percent",
     "safe_ratio",

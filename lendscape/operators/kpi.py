@@ -7,6 +7,7 @@ then built from that small result, so the fact is never multiplied by grouping s
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,24 +17,41 @@ from lendscape.functions import bracket, percent, safe_ratio
 
 ALL = "ALL"
 
-# Amounts are added up as decimals: a sum of doubles depends on the order in which tasks deliver,
-# so a repeated run would not give the same total. Digits beyond this scale are not dropped,
-# they raise; a column with finer amounts declares its own scale.
-AMOUNT_SCALE = 12
+# Amounts are added up to a decimal: a sum of doubles depends on the order in which tasks deliver,
+# so a repeated run would not give the same total. A double holds any decimal number of fifteen
+# digits; what it holds beyond them, or beyond twelve decimals, is rounded away row by row.
+_MILLION = 1_000_000
+_PLACES = 12
 
 
-def exact(amount: Column | str, scale: int = AMOUNT_SCALE) -> Column:
-    """An amount as a decimal of the same value; one that does not fit raises."""
-    value = F.col(amount) if isinstance(amount, str) else amount
-    kind = f"decimal({16 + scale},{scale})"
-    kept = value.try_cast(kind)
-    return F.when(value.isNull() | (kept.cast("double") == value), kept).otherwise(
-        F.raise_error(F.concat(F.lit(f"amount beyond {scale} decimals: "), value.cast("string"))).cast(kind)
-    )
+def exact_sum(amount: Column | str) -> Column:
+    """Sum of amounts as a decimal with twelve places, the same in any order of the rows.
+
+    Three whole numbers are added up per group, which stays in generated code: the whole part, and
+    millionths and their millionths of the rest. They become one decimal once per group. Sums
+    beyond 64 bits raise. NULL amounts are left out; without others the sum is NULL.
+    """
+    value = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    whole = value.cast("bigint")  # towards zero; an amount beyond 64 bits raises
+    # Decimals that fifteen digits leave: twelve below a thousand, eleven below ten thousand, ...
+    unit = F.when(F.abs(value) < 1000, F.lit(10**_PLACES))
+    for kept in range(_PLACES - 1, 0, -1):
+        unit = unit.when(F.abs(value) < F.lit(float(10 ** (15 - kept))), F.lit(10**kept))
+    unit = unit.otherwise(F.lit(1)).cast("bigint")
+    rest = F.call_function("div", F.lit(10**_PLACES), unit)
+    places = F.round((value - whole) * unit).cast("bigint") * rest
+    micro = F.call_function("div", places, F.lit(_MILLION))
+    total = lambda c, kind: F.sum(c).cast(kind)
+    return (
+        total(whole, "decimal(31,12)")
+        + total(micro, "decimal(20,0)") * F.lit(Decimal("0.000001"))
+        + total(places % _MILLION, "decimal(20,0)") * F.lit(Decimal("0.000000000001"))
+    ).cast("decimal(38,12)")
 
 
-def exact_sum(amount: Column | str, scale: int = AMOUNT_SCALE) -> Column:
-    return F.sum(exact(amount, scale))
+def exact_avg(amount: Column | str) -> Column:
+    """Average from the exact sum; NULL without amounts."""
+    return safe_ratio(exact_sum(amount).cast("double"), F.count(amount))
 
 
 def _sum_back(names: Sequence[str]) -> list[Column]:
@@ -78,8 +96,7 @@ def segment_default_rates(
 
 
 def average_credit(fact: DataFrame, by: Sequence[str], amount: str = "amt_credit") -> DataFrame:
-    total = exact_sum(amount).cast("double")
-    return fact.groupBy(*by).agg(safe_ratio(total, F.count(amount)).alias("avg_credit_amount"))
+    return fact.groupBy(*by).agg(exact_avg(amount).alias("avg_credit_amount"))
 
 
 def exposure(
@@ -108,14 +125,14 @@ def income_credit_ratio(
     credit: str = "amt_credit",
 ) -> DataFrame:
     """Average of the row-level ratio; rows without credit are left out of the average."""
-    return fact.groupBy(*by).agg(F.avg(safe_ratio(income, credit)).alias("income_to_credit_ratio"))
+    return fact.groupBy(*by).agg(exact_avg(safe_ratio(income, credit)).alias("income_to_credit_ratio"))
 
 
 def punctuality(
     fact: DataFrame, by: Sequence[str] = (), diff: str = "days_payment_diff"
 ) -> DataFrame:
     """Average days between due and paid; positive is late, unpaid rows are left out."""
-    return fact.groupBy(*by).agg(F.avg(diff).alias("avg_days_payment_diff"))
+    return fact.groupBy(*by).agg(exact_avg(diff).alias("avg_days_payment_diff"))
 
 
 def masked_presence(
@@ -290,7 +307,7 @@ def risk_summary(
         F.count_if(F.col("target_flag") == 1).alias("bad"),
         exact_sum("amt_credit").alias("credit"),
         F.count("amt_credit").alias("credit_n"),
-        F.sum("income_to_credit_ratio").alias("ratio"),
+        exact_sum("income_to_credit_ratio").alias("ratio"),
         F.count("income_to_credit_ratio").alias("ratio_n"),
     )
     rolled = fine.rollup(loan_type).agg(
@@ -303,7 +320,7 @@ def risk_summary(
         {
             "default_rate_pct": percent(F.col("bad"), F.col("n")),
             "avg_credit_amount": safe_ratio(F.col("credit").cast("double"), "credit_n"),
-            "income_to_credit_ratio": safe_ratio("ratio", "ratio_n"),
+            "income_to_credit_ratio": safe_ratio(F.col("ratio").cast("double"), "ratio_n"),
         },
     )
     bureau_rows = long_form(
@@ -325,7 +342,7 @@ def risk_summary(
         },
     )
     payment_rows = long_form(
-        payments.agg(F.avg("days_payment_diff").alias("diff")),
+        payments.agg(exact_avg("days_payment_diff").alias("diff")),
         F.lit(ALL),
         {"avg_days_payment_diff": F.col("diff")},
     )

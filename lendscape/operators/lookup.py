@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendscape.operators.history import VALID_FROM, VALID_TO, stretch_of
+
+
 def left_lookup(
     left: DataFrame, right: DataFrame, on: Sequence[str], take: Sequence[str]
 ) -> DataFrame:
@@ -36,6 +39,64 @@ def lookup_current(
     return fact.join(right, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
+def lookup_as_of(
+    fact: DataFrame,
+    versions: DataFrame,
+    key: str,
+    at: str,
+    take: Mapping[str, str] | Sequence[str],
+    stretch: str | int | None = None,
+) -> DataFrame:
+    """Attach columns of the version valid at the fact's moment: ``valid_from <= at < valid_to``.
+
+    Facts and versions are united and ordered; a fact takes the last version before it. No range
+    join meets every version of an applicant with every fact. No key is handled as a whole
+    either: rows are windowed per (key, stretch of time), and one row per stretch that has a version
+    carries the last one into the stretches after it.
+
+    * ``versions`` hold ``key`` and half-open validity; of versions that begin together the
+      one that ends last counts.
+    * Facts before the first version, in a gap, or with NULL key or moment keep NULLs.
+    """
+    names = take if isinstance(take, Mapping) else {c: c for c in take}
+    known = F.col(key).isNotNull() & F.col(at).isNotNull()
+    end = F.col(VALID_TO)
+    # An open version sorts behind one that has ended.
+    order_end = F.struct(end.isNull(), end)
+    version = F.struct(end.alias("_end"), *[F.col(c).alias(a) for c, a in names.items()])
+    whole = F.struct(*[F.col(f"`{c}`") for c in fact.columns])
+    facts = fact.filter(known).select(
+        F.col(key).alias("_key"), F.col(at).cast(versions.schema[VALID_FROM].dataType).alias("_at"), whole.alias("_fact")
+    )
+    held = versions.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(VALID_FROM).alias("_at"), version.alias("_version"), order_end.alias("_order")
+    )
+    both = facts.unionByName(held, allowMissingColumns=True)
+    both = both.withColumn("_chunk", stretch_of(both, "_at", stretch))
+    is_fact = F.col("_fact").isNotNull()
+    within = Window.partitionBy("_key", "_chunk").orderBy("_at", is_fact, "_order")
+    inner = F.last("_version", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    last = (
+        held.withColumn("_chunk", stretch_of(held, "_at", stretch))
+        .groupBy("_key", "_chunk")
+        .agg(F.max_by("_version", F.struct("_at", "_order")).alias("_last"))
+    )
+    # A row per stretch with facts and one per stretch with versions; the first take from the second.
+    asked = facts.withColumn("_chunk", stretch_of(facts, "_at", stretch)).select("_key", "_chunk").distinct()
+    stretches = asked.join(last, ["_key", "_chunk"], "full_outer")
+    ahead = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = stretches.withColumn("_carried", F.last("_last", ignorenulls=True).over(ahead)).drop("_last")
+    found = (
+        both.withColumn("_inner", inner)
+        .filter(is_fact)
+        .join(carried, ["_key", "_chunk"], "left")
+        .withColumn("_found", F.coalesce("_inner", "_carried"))
+        .withColumn("_valid", F.col("_found._end").isNull() | (F.col("_at") < F.col("_found._end")))
+        .select("_fact.*", *[F.when(F.col("_valid"), F.col(f"_found.{a}")).alias(a) for a in names.values()])
+    )
+    return found.unionByName(fact.filter(~known), allowMissingColumns=True)
+
+
 def lookup_small(
     fact: DataFrame,
     dim: DataFrame,

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscape.functions import mask, sentinel_to_null
+from lendscape.functions import keyed_mask, mask, sentinel_to_null
 
 
 def select_existing(df: DataFrame, keep: Iterable[str]) -> DataFrame:
@@ -32,11 +32,16 @@ def null_sentinels(
 
 
 def mask_columns(
-    df: DataFrame, columns: Iterable[str], suffix: str = "_MASKED", salt: str | None = None
+    df: DataFrame,
+    columns: Iterable[str],
+    suffix: str = "_MASKED",
+    salt: str | None = None,
+    key: bytes | None = None,
 ) -> DataFrame:
-    """Add a digest per personal column and drop the originals."""
+    """Add a digest per personal column, keyed where a key is given, and drop the originals."""
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c + suffix: mask(c, salt=salt) for c in present}).drop(*present)
+    digest = lambda c: mask(c, salt=salt) if key is None else keyed_mask(c, key)
+    return df.withColumns({c + suffix: digest(c) for c in present}).drop(*present)
 
 
 def conform(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> DataFrame:

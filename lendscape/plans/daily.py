@@ -10,10 +10,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendscape.operators import partials
 from lendscape.operators import quality as q
 from lendscape.operators.kpi import risk_summary
 from lendscape.plans import gold, suites
-from lendscape.plans.silver import business_rules, read_silver, run_silver
+from lendscape.plans.silver import business_rules, clean, read_silver, run_silver
 from lendscape.sources import landing, store
 from lendscape.specs import (
     APPLICATION,
@@ -91,10 +92,15 @@ def bronze_gate(spark: SparkSession, lake: Lake, day: Date) -> DataFrame:
 
 
 def refine(
-    spark: SparkSession, lake: Lake, day: Date, salt: str | None = None, parallel: int = 4
+    spark: SparkSession,
+    lake: Lake,
+    day: Date,
+    salt: str | None = None,
+    parallel: int = 4,
+    mask_key: bytes | None = None,
 ) -> None:
     """Applications first, the other tables side by side after them."""
-    run_silver(spark, APPLICATION, lake.bronze, lake.silver, day, salt)
+    run_silver(spark, APPLICATION, lake.bronze, lake.silver, day, salt, mask_key)
     others = [s for s in SOURCES.values() if s is not APPLICATION]
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(lambda s: run_silver(spark, s, lake.bronze, lake.silver, day), others))
@@ -187,6 +193,21 @@ def summarise(
     return store.read_run(spark, lake.gold("risk_summary"), BUILD, label)
 
 
+def keep_partials(spark: SparkSession, lake: Lake, day: Date) -> DataFrame | None:
+    """Store the partial results of a day's landed applications, and return those of all days.
+
+    Periods are rolled up from them, so that no day's facts are read again.
+    """
+    landed = landing.read_day(spark, lake.bronze, APPLICATION, day)
+    root = lake.gold("application_partials")
+    if landed is not None:
+        fact = gold.stg_application(clean(APPLICATION, landed))
+        parts = partials.daily_partials(fact, "ingestion_date", ["name_contract_type"])
+        store.write_run(parts.drop(partials.DAY), root, partials.DAY, day.isoformat())
+    days = store.run_labels(spark, root, partials.DAY)
+    return store.read_runs(spark, root, partials.DAY, days) if days else None
+
+
 def run_day(
     spark: SparkSession,
     source: str,
@@ -197,6 +218,7 @@ def run_day(
     apply_business_rules: bool = True,
     require_all: bool = True,
     salt: str | None = None,
+    mask_key: bytes | None = None,
 ) -> dict[str, DataFrame]:
     """The whole batch. Warnings are logged; failures stop it at the gate they occur in."""
     landed = land(spark, source, lake, day, run_ts, env, apply_business_rules)
@@ -204,9 +226,10 @@ def run_day(
         for result in landed.values():
             landing.require_rows(result)
     q.gate(bronze_gate(spark, lake, day))
-    refine(spark, lake, day, salt)
+    refine(spark, lake, day, salt, mask_key=mask_key)
     q.gate(silver_gate(spark, lake), require=["silver_application", "silver_bureau"])
     marts = model(spark, lake, run_ts)
     q.gate(gold_gate(spark, marts))
     marts["risk_summary"] = summarise(spark, lake, marts, run_ts)
+    marts["application_partials"] = keep_partials(spark, lake, day)
     return marts

@@ -11,7 +11,7 @@ from lendscape.functions import day_gap, safe_ratio, surrogate_key
 from lendscape.operators.dims import dim_from_distinct, dim_static
 from lendscape.operators.history import scd2_present
 from lendscape.operators.kpi import applicant_features as join_features
-from lendscape.operators.kpi import count_per, exact_sum
+from lendscape.operators.kpi import count_per, exact_avg, exact_sum
 from lendscape.operators.lookup import left_lookup, lookup_current, lookup_small
 from lendscape.operators.shape import conform
 from lendscape.specs import CARRIED_ATTRIBUTES, CREDIT_STATUSES, TRACKED_ATTRIBUTES
@@ -260,7 +260,7 @@ def applicant_features(
     )
     paid = payments.groupBy("sk_id_curr").agg(
         F.count(F.lit(1)).alias("payments"),
-        F.avg("days_payment_diff").alias("avg_days_payment_diff"),
+        exact_avg("days_payment_diff").alias("avg_days_payment_diff"),
     )
     counted = count_per(previous, "sk_id_curr", "previous_applications")
     return join_features(applicants, "sk_id_curr", [records, counted, paid])

@@ -37,6 +37,7 @@ def clean(
     bronze: DataFrame,
     salt: str | None = None,
     tiebreak: Sequence[str] | None = None,
+    mask_key: bytes | None = None,
 ) -> DataFrame:
     """Row filter, kept columns, latest row per key, sentinels to NULL, then masking.
 
@@ -48,7 +49,7 @@ def clean(
     if spec.dedup_keys:
         rows = latest_per_key(rows, spec.dedup_keys, "ingestion_ts", tiebreak)
     rows = null_sentinels(rows, spec.sentinels)
-    return mask_columns(rows, spec.masked, salt=salt)
+    return mask_columns(rows, spec.masked, salt=salt, key=mask_key)
 
 
 def run_silver(
@@ -58,6 +59,7 @@ def run_silver(
     silver: str,
     ingestion_date: Date,
     salt: str | None = None,
+    mask_key: bytes | None = None,
 ) -> bool:
     """Merge one landed day into the keyed table, or replace that day of a keyless one.
 
@@ -66,7 +68,7 @@ def run_silver(
     landed = landing.read_day(spark, bronze, spec, ingestion_date)
     if landed is None:
         return False
-    rows = clean(spec, landed, salt)
+    rows = clean(spec, landed, salt, mask_key=mask_key)
     root, label = f"{silver}/{spec.silver_name}", ingestion_date.isoformat()
     if spec.upsert_keys:
         store.publish_upsert(spark, root, rows, spec.upsert_keys, label)

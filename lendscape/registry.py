@@ -13,8 +13,8 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscape.functions import mask, sentinel_to_null, surrogate_key
-from lendscape.operators import kpi, lookup, shape
+from lendscape.functions import keyed_mask, mask, percent, sentinel_to_null, surrogate_key
+from lendscape.operators import kpi, lookup, partials, ranking, shape
 from lendscape.operators import quality as q
 from lendscape.operators.dims import dim_from_distinct, dim_static
 from lendscape.operators.history import (
@@ -29,6 +29,7 @@ from lendscape.operators.upsert import upsert
 from lendscape.plans import gold, silver, suites
 from lendscape.sources import landing, store
 from lendscape.sources.store import settle
+from lendscape.streaming.upserts import upsert_files
 from lendscape.specs import (
     APPLICATION,
     BUREAU,
@@ -154,6 +155,25 @@ def mask_salted(spark, sf):
     return shape.mask_columns(part, ["p_size"], "_masked", salt="pepper")
 
 
+def _hmac_sql(key: str, text: str) -> str:
+    block = key.encode().ljust(64, b"\0")
+    inner, outer = ("unhex('" + bytes(b ^ pad for b in block).hex() + "')" for pad in (0x36, 0x5C))
+    return f"sha256({outer} || unhex(sha256({inner} || encode({text}))))"
+
+
+@query(
+    f"SELECT c_custkey, {_hmac_sql('a secret', 'c_name')} AS c_name_masked, "
+    f"{_hmac_sql('a secret', 'cast(c_nationkey AS varchar)')} AS c_nationkey_masked FROM customer"
+)
+def mask_keyed(spark, sf):
+    """Personal columns under a keyed digest."""
+    return table(spark, sf, "customer").select(
+        "c_custkey",
+        keyed_mask("c_name", b"a secret", integral=False).alias("c_name_masked"),
+        keyed_mask("c_nationkey", b"a secret").alias("c_nationkey_masked"),
+    )
+
+
 @query(
     f"SELECT o_orderkey, {RUN_TS_SQL} AS ingestion_ts, DATE '2026-05-12' AS ingestion_date, "
     "'b1' AS batch_id, 'dev' AS env FROM orders"
@@ -484,6 +504,28 @@ def staged_view(spark, sf):
     )
 
 
+@query(
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 100 END AS o_totalprice,
+           o_orderdate FROM orders
+    """
+)
+def streamed_upsert(spark, sf):
+    """Files of a folder merged batch by batch, then more files by a second call."""
+    folder, orders = store.scratch(spark), table(spark, sf, "orders")
+    rows = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    dearer = orders.filter("o_orderstatus <> 'F'").select(
+        "o_orderkey", "o_custkey", (F.col("o_totalprice") + 100).alias("o_totalprice"), "o_orderdate"
+    )
+    for part in (rows, dearer):
+        part.repartition(2).write.mode("append").parquet(f"{folder}/in")
+        upsert_files(
+            spark, f"{folder}/in", rows.schema, f"{folder}/orders", ["o_orderkey"], "o_orderdate",
+            f"{folder}/checkpoint", files_per_batch=1, fold_after=3,
+        )
+    return store.read_keyed(spark, f"{folder}/orders", ["o_orderkey"])
+
+
 # --- Latest per key -------------------------------------------------------------------------
 
 
@@ -1088,6 +1130,23 @@ def current_dim_lookup(spark, sf):
     )
 
 
+@query(
+    f"""
+    SELECT e.event_id, e.user_id, e.ts, h.event_type AS state, h.valid_from AS state_since
+    FROM (SELECT event_id, user_id, ts + INTERVAL 36 HOUR AS ts FROM events) e
+    LEFT JOIN ({_EVENT_HISTORY}) h ON h.user_id = e.user_id AND h.valid_from <= e.ts
+      AND (h.valid_to IS NULL OR e.ts < h.valid_to)
+    """
+)
+def as_of_lookup(spark, sf):
+    """Each event, a day and a half later, with the state its user has then."""
+    later = F.col("ts") + F.expr("INTERVAL 36 HOURS")
+    facts = table(spark, sf, "events").select("event_id", "user_id", later.alias("ts"))
+    versions = scd2_history_from_log(spark, sf)
+    take = {"event_type": "state", "valid_from": "state_since"}
+    return lookup.lookup_as_of(facts, versions, "user_id", "ts", take, stretch="DAY")
+
+
 @query(
     "SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"
 )
@@ -1147,10 +1206,11 @@ _STG_APP = """
     FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
 
 
-def applicant_history(spark, sf):
+def applicant_history(spark, sf, app=None):
     """Applications landed before the first border, then all with the last line's status."""
-    attributes = gold.applicant_attributes(stg_application(spark, sf))
-    landed = stg_application(spark, sf).filter(
+    app = stg_application(spark, sf) if app is None else app
+    attributes = gold.applicant_attributes(app)
+    landed = app.filter(
         F.col("ingestion_date") < F.lit(FIRST_SNAPSHOT[:10]).cast("date")
     )
     first = open_versions(gold.applicant_attributes(landed), moment(FIRST_SNAPSHOT))
@@ -1223,8 +1283,8 @@ _FACT_LOAN = """
     FROM app LEFT JOIN dim ON sk_id_curr = applicant_id AND is_current"""
 
 
-def _loan_types(spark, sf):
-    return gold.dim_loan_type(stg_application(spark, sf), moment(RUN_TS))
+def _loan_types(spark, sf, app=None):
+    return gold.dim_loan_type(stg_application(spark, sf) if app is None else app, moment(RUN_TS))
 
 
 @query(_WITH_APPLICANTS + _FACT_LOAN)
@@ -1343,10 +1403,14 @@ def kpi_avg_credit(spark, sf):
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1"
 )
 def kpi_exposure_per_applicant(spark, sf):
+    """Added up per order before the join, so that one row per order is shuffled for it."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return rounded(kpi.exposure(joined, ["o_custkey"], "l_extendedprice"), 4)
+    per_order = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        kpi.exact_sum("l_extendedprice").alias("amount")
+    )
+    joined = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+    total = F.sum("amount").cast("double").alias("bureau_exposure")
+    return rounded(joined.groupBy("o_custkey").agg(total), 4)
 
 
 @query(
@@ -1407,6 +1471,101 @@ def kpi_masked_presence(spark, sf):
     )
 
 
+@query(
+    f"""
+    SELECT income_quartile, count(*) AS rows_total, count(days_employed_masked) AS rows_masked,
+           cast(count(days_employed_masked) AS double) * 100.0 / count(*) AS masked_presence_pct,
+           min(amt_income_total) AS income_from, max(amt_income_total) AS income_to
+    FROM (SELECT *, CASE WHEN amt_income_total IS NOT NULL THEN ntile(4) OVER (
+            PARTITION BY amt_income_total IS NULL ORDER BY amt_income_total, sk_id_curr) END AS income_quartile
+          FROM ({_STG_APP})) GROUP BY 1
+    """
+)
+def kpi_masked_presence_quartiles(spark, sf):
+    """Share of masked values per quarter of the incomes."""
+    app = stg_application(spark, sf).select("sk_id_curr", "amt_income_total", "days_employed_masked")
+    tiled = ranking.ntile(app, 4, "amt_income_total", "sk_id_curr", "income_quartile")
+    counted = tiled.groupBy("income_quartile").agg(
+        F.count(F.lit(1)).alias("rows_total"),
+        F.count("days_employed_masked").alias("rows_masked"),
+        F.min("amt_income_total").alias("income_from"),
+        F.max("amt_income_total").alias("income_to"),
+    )
+    return counted.withColumn("masked_presence_pct", percent(F.col("rows_masked"), F.col("rows_total")))
+
+
+def _stored_partials(spark, sf) -> DataFrame:
+    """Daily partials in a partition per month, of which one month is stored again."""
+    root, app = f"{store.scratch(spark)}/partials", stg_application(spark, sf)
+    parts = partials.daily_partials(app, "ingestion_date", ["name_contract_type"])
+    month = parts.withColumn("month", F.substring(partials.DAY, 1, 7))
+    month.repartition("month").write.partitionBy("month").parquet(root)
+    again = app.filter(F.trunc("ingestion_date", "month") == F.lit("1996-01-01").cast("date"))
+    store.write_run(
+        partials.daily_partials(again, "ingestion_date", ["name_contract_type"]), root, "month", "1996-01"
+    )
+    return store.read_runs(spark, root, "month", store.run_labels(spark, root, "month"))
+
+
+_ROLLED_UP = """
+    SELECT {period} name_contract_type, count(*) AS applications, count(*) FILTER (WHERE target_flag = 1) AS defaults,
+           cast(count(*) FILTER (WHERE target_flag = 1) AS double) * 100.0 / count(*) AS default_rate_pct,
+           cast(sum(cast(amt_credit AS decimal(18, 2))) AS double) / count(amt_credit) AS avg_credit_amount,
+           true AS applicants_near
+    FROM ({app}) GROUP BY ALL"""
+
+
+def _rolled_up(spark, sf, unit: str | None) -> DataFrame:
+    rolled = partials.indicators(partials.rolled_up(_stored_partials(spark, sf), ["name_contract_type"], unit))
+    # An application is an applicant in these tables, so the estimate is held against their number.
+    near = F.abs(F.col("applicants") - F.col("applications")) <= F.greatest(F.lit(1.0), F.col("applications") * 0.04)
+    return rolled.withColumn("applicants_near", near).drop("applicants")
+
+
+@query(_ROLLED_UP.format(period="cast(date_trunc('month', ingestion_date) AS date) AS period,", app=_STG_APP))
+def kpi_monthly_from_days(spark, sf):
+    """Monthly indicators added up from stored daily partials."""
+    return _rolled_up(spark, sf, "month")
+
+
+@query(_ROLLED_UP.format(period="cast(date_trunc('week', ingestion_date) AS date) AS period,", app=_STG_APP))
+def kpi_weekly_from_days(spark, sf):
+    return _rolled_up(spark, sf, "week")
+
+
+@query(
+    f"""
+    SELECT name_contract_type, q AS quantile, count(amt_credit) AS amounts, true AS rank_near
+    FROM ({_STG_APP}), (VALUES (cast(0.1 AS double)), (0.5), (0.9)) AS p(q) GROUP BY 1, 2
+    """
+)
+def credit_quantiles_from_days(spark, sf):
+    """Quantiles of daily sketches merged over all days, held against the rows' own ranks."""
+    whole = partials.rolled_up(_stored_partials(spark, sf), ["name_contract_type"])
+    wanted = settle(
+        whole.select(
+            F.col("name_contract_type").alias("_type"),
+            F.col("amounts"),
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.lit(p).alias("quantile"), partials.quantile("distribution", p).alias("_value"))
+                        for p in (0.1, 0.5, 0.9)
+                    ]
+                )
+            ),
+        )
+    )
+    app = stg_application(spark, sf).select("name_contract_type", "amt_credit")
+    ranked = app.join(wanted, F.col("name_contract_type").eqNullSafe(F.col("_type")))
+    return (
+        ranked.groupBy("name_contract_type", "quantile", "amounts")
+        .agg((F.count_if(F.col("amt_credit") <= F.col("_value")) / F.count("amt_credit")).alias("_rank"))
+        .withColumn("rank_near", F.abs(F.col("_rank") - F.col("quantile")) <= 0.02)
+        .drop("_rank")
+    )
+
+
 @query(
     f"""
     SELECT cast(date_trunc('month', ingestion_date) AS date) AS period, count(*) AS applications,
@@ -1515,9 +1674,10 @@ def credit_histogram(spark, sf):
     """
 )
 def kpi_summary(spark, sf):
-    dim = settle(dim_applicant(spark, sf))
-    types = settle(_loan_types(spark, sf))
-    fact = gold.fact_loan_application(stg_application(spark, sf), dim, types)
+    app = settle(stg_application(spark, sf))
+    dim = settle(gold.dim_applicant(applicant_history(spark, sf, app)))
+    types = settle(_loan_types(spark, sf, app))
+    fact = gold.fact_loan_application(app, dim, types)
     loans = gold.with_loan_type(fact, types)
     summary = kpi.risk_summary(
         loans, _bureau_fact(spark, sf, dim), fact_installment_payment(spark, sf)

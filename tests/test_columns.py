@@ -63,3 +63,21 @@ def test_unit_hash_is_reproducible_and_uniform(spark):
     b = df.coalesce(1).agg(F.avg(unit_hash("id", 1)), F.max(unit_hash("id", 1))).first()
     assert a[0] == pytest.approx(b[0]) and a[1] == b[1] < 1
     assert a[0] == pytest.approx(0.5, abs=0.02)
+
+
+def test_keyed_mask_equals_hmac(spark):
+    import hashlib
+    import hmac
+
+    from lendscape.functions import keyed_mask
+
+    rows = [("Hi There",), ("",), (None,), ("é 日本",)]
+    df = spark.createDataFrame(rows, "v string")
+    for key in (b"\x0b" * 20, b"k" * 64, b"k" * 131):
+        got = [r[0] for r in df.select(keyed_mask("v", key, integral=False)).collect()]
+        assert got == [None if v is None else hmac.new(key, v.encode(), hashlib.sha256).hexdigest() for (v,) in rows]
+    # A published test vector (RFC 4231, case 1).
+    first = df.select(keyed_mask("v", b"\x0b" * 20, integral=False)).first()[0]
+    assert first == "b0344c61d8db38535ca8afceaf0bf12b881dc200c9833da726e9376c2e32cff7"
+    numbers = spark.createDataFrame([(-3000.0,)], "v double")
+    assert numbers.select(keyed_mask("v", b"key")).first()[0] == hmac.new(b"key", b"-3000", hashlib.sha256).hexdigest()

@@ -136,11 +136,14 @@ def test_small_amounts_keep_their_digits(spark):
     assert got == {1: 0.00008, 2: None}
 
 
-@pytest.mark.parametrize("amount", [1e-13, 1e17])
-def test_amounts_that_do_not_fit_raise(spark, amount):
-    fact = spark.createDataFrame([(1, amount)], "k long, a double")
-    with pytest.raises(PySparkException, match="decimals"):
-        kpi.exposure(fact, ["k"], "a").collect()
+def test_amounts_beyond_64_bits_raise(spark):
+    for amount in (1e19, -1e19, float("nan")):
+        with pytest.raises(PySparkException):
+            kpi.exposure(spark.createDataFrame([(1, amount)], "k long, a double"), ["k"], "a").collect()
+    large = spark.createDataFrame([(1, 1e17)], "k long, a double")
+    assert kpi.exposure(large, ["k"], "a").first().bureau_exposure == 1e17
+    tiny = spark.createDataFrame([(1, 1e-13)], "k long, a double")
+    assert kpi.exposure(tiny, ["k"], "a").first().bureau_exposure == 0
 
 
 def test_quantiles_without_segments(spark):
@@ -153,3 +156,25 @@ def test_quantiles_without_segments(spark):
         low, high = ranked[int(at)], ranked[min(int(at) + 1, len(ranked) - 1)]
         assert value == pytest.approx(low + (high - low) * (at - int(at)))
     assert len(got) == 3
+
+
+def test_exact_sums_of_any_order_and_size(spark):
+    import random
+    from decimal import Decimal
+
+    from lendscape.operators.kpi import exact_avg, exact_sum
+
+    rng = random.Random(9)
+    texts = [f"{rng.choice(['-', ''])}{rng.randrange(10**rng.randrange(1, 15))}" for _ in range(300)]
+    texts = [t if len(t) > 13 else f"{t}.{rng.randrange(10 ** min(12, 15 - len(t.strip('-')))):d}" for t in texts]
+    values = [(float(t),) for t in texts]
+    want = sum((Decimal(repr(v)) for (v,) in values), Decimal(0))
+    for n in (1, 7):
+        df = spark.createDataFrame(rng.sample(values, len(values)) + [(None,)], "v double").repartition(n)
+        row = df.agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).first()
+        assert row.s == want and row.a == float(want) / len(values)
+    cents = spark.createDataFrame([(123456789.1,)] * 1000 + [(-0.1,)] * 1000, "v double")
+    assert cents.agg(exact_sum("v")).first()[0] == Decimal("123456789000")
+    # More digits than fifteen: rounded the same way in every run.
+    assert spark.createDataFrame([(0.1 * 0.7,)], "v double").agg(exact_sum("v")).first()[0] == Decimal("0.07")
+    assert spark.createDataFrame([(None,)], "v double").agg(exact_sum("v")).first()[0] is None
