@@ -1,12 +1,17 @@
 """Nearest neighbours by largest inner product, with a robust-pruned directed graph per shard.
 
 Vectors are dealt to shards of about ``SHARD_ROWS``; every valid row is in one. Within a shard,
-points are inserted in growing batches: a greedy beam search over the graph so far proposes
-neighbours, and relaxed pruning keeps a neighbour only if no kept one is ``ALPHA`` times nearer
-to it than the point itself, so that ``DEGREE`` edges point in diverse directions. Inner products
-become distances by one added coordinate that gives all vectors of a shard the same length.
-Queries run in blocks against each shard by beam search; the shards' best are merged, and scores
-are computed on the original vectors in double precision.
+points are inserted in growing batches: a greedy beam search over the graph so far, begun at the
+best of ``SEEDS`` random nodes, proposes neighbours, and relaxed pruning keeps a neighbour only if
+no kept one is ``ALPHA`` times nearer to it than the point itself, so that ``DEGREE`` edges point
+in diverse directions.
+
+Vectors are put into bands of nearly one length, the longest at most ``BAND_RATIO`` times the
+shortest, and a shard holds vectors of one band. Its graph is built on directions; within a band
+the nearest directions are, but for that ratio, the largest inner products. Over lengths that
+differ more, neither directions nor distances lead to them. Queries run in blocks against each
+shard by beam search on inner products; the shards' best are merged, and scores are computed on
+the original vectors in double precision.
 
 Equal vectors are one graph node carrying its smallest ids; as a query can name no more than
 ``top`` of them besides itself, nothing is lost.
@@ -14,7 +19,8 @@ Equal vectors are one graph node carrying its smallest ids; as a query can name
 * Vectors that are NULL, zero, hold NULL or non-finite components, or have another length than
   most, take no part. NULL ids take no part.
 * Fewer than ``top`` candidates: all of them. Equal scores rank by the smaller id.
-* Repeated ids: each row is a candidate of its own vector; a query excludes its own id.
+* Repeated ids: each row is a candidate of its own vector; a query excludes its own id. Each
+  query row gets its own ranks, also where several rows have one id.
 * An empty table gives an empty result.
 """
 
@@ -31,6 +37,8 @@ from pyspark.sql import functions as F
 from lendscape.llm import arrow as A
 
 SHARD_ROWS = 16_384
+BAND_RATIO = 1.1
+SEEDS = 1024
 DEGREE = 32
 BUILD_BEAM = 64
 SEARCH_BEAM = 160
@@ -38,13 +46,14 @@ ALPHA = 1.2
 TOP = 20
 _BATCH = 256
 _EXPAND = 4
+_STARTS = 16
 
 
 class Graph:
-    """A shard: float vectors, edges (-1 where fewer), and where searches begin."""
+    """A shard: float vectors, edges (-1 where fewer), and the nodes where searches may begin."""
 
-    def __init__(self, x: np.ndarray, edges: np.ndarray, entry: int):
-        self.x, self.edges, self.entry = x, edges, entry
+    def __init__(self, x: np.ndarray, edges: np.ndarray, seeds: np.ndarray):
+        self.x, self.edges, self.seeds = x, edges, seeds
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Beam search for each query by largest inner product: node numbers (-1 where fewer)
@@ -55,9 +64,14 @@ class Graph:
         done = np.ones((b, beam), bool)
         seen = np.zeros((b, n + 1), bool)  # the last column stands for missing edges
         seen[:, n] = True
-        ids[:, 0], done[:, 0], seen[:, self.entry] = self.entry, False, True
-        near[:, 0] = queries @ self.x[self.entry]
+        # Tight clusters have few edges between them; the best of many seeds lie near the right one.
+        first = min(_STARTS, beam, len(self.seeds))
+        to_seed = queries @ self.x[self.seeds].T
+        best = np.argpartition(-to_seed, first - 1, axis=1)[:, :first]
         rows = np.arange(b)
+        ids[:, :first], near[:, :first] = self.seeds[best], np.take_along_axis(to_seed, best, 1)
+        done[:, :first] = False
+        seen[rows[:, None], ids[:, :first]] = True
         while len(rows):
             open_ = np.where(done[rows], -np.inf, near[rows])
             pick = np.argpartition(-open_, min(_EXPAND, beam) - 1, axis=1)[:, :_EXPAND]
@@ -115,24 +129,26 @@ def robust_prune(x: np.ndarray, points: np.ndarray, candidates: np.ndarray) -> n
 
 
 def build(vectors: np.ndarray) -> Graph:
-    """Graph over distinct vectors."""
-    x = vectors.astype(np.float32)
-    square = (x * x).sum(axis=1)
-    x = np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], axis=1)
+    """Graph over distinct vectors: built on their directions, to be searched on the vectors, which
+    are scaled to a length of at most one."""
+    most = np.abs(vectors).max(axis=1, keepdims=True)
+    lengths = most * np.sqrt(((vectors / most) ** 2).sum(axis=1, keepdims=True))
+    x = (vectors / lengths).astype(np.float32)
     n = len(x)
     order = np.random.default_rng(0).permutation(n)
     start = order[: min(n, _BATCH)]
-    entry = int(start[((x[start] - x.mean(axis=0)) ** 2).sum(axis=1).argmin()])
-    graph = Graph(x, np.full((n, DEGREE), -1, np.int32), entry)
+    graph = Graph(x, np.full((n, DEGREE), -1, np.int32), start)
     graph.edges[start] = robust_prune(x, start, np.tile(start, (len(start), 1)))
     at = len(start)
     while at < n:
         points = order[at : at + min(_BATCH, at)]
-        # Among vectors of one length the largest product is the smallest distance.
+        # Among directions the largest product is the smallest distance.
         found, _ = graph.search(x[points], BUILD_BEAM)
         graph.edges[points] = robust_prune(x, points, found)
         _add_reverse(graph, points)
         at += len(points)
+        graph.seeds = order[: min(at, SEEDS)]
+    graph.x = (vectors / lengths.max()).astype(np.float32)
     return graph
 
 
@@ -168,10 +184,17 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
     return rows.filter(F.col("_id").isNotNull() & F.col("_v").isNotNull() & sound & some)
 
 
-_GRAPH = "shard int, n int, width int, x binary, edges binary, entry int, vectors binary, ids array<array<long>>"
+def band(vector: str) -> Column:
+    """Number of the band a vector's length lies in; a length of one is the middle of a band."""
+    most = F.array_max(F.transform(vector, lambda c: F.abs(c)))
+    square = F.aggregate(vector, F.lit(0.0), lambda acc, c: acc + (c / most) * (c / most))
+    return F.floor((F.log(most) + F.log(square) / 2) / F.lit(math.log(BAND_RATIO)) + 0.5).cast("int")
 
 
-def build_index(rows: DataFrame, shards: int, keep: int) -> DataFrame:
+_GRAPH = "shard int, n int, width int, x binary, edges binary, seeds binary, vectors binary, ids array<array<long>>"
+
+
+def build_index(rows: DataFrame, shard_rows: int, keep: int) -> DataFrame:
     """A row per shard with its graph. ``keep`` ids are kept of equal vectors."""
     order = Window.partitionBy("_v").orderBy("_id")
     nodes = (
@@ -179,7 +202,16 @@ def build_index(rows: DataFrame, shards: int, keep: int) -> DataFrame:
         .filter(F.col("_rank") <= keep)
         .groupBy("_v")
         .agg(F.sort_array(F.collect_list("_id")).alias("ids"))
-        .select(F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int").alias("shard"), "_v", "ids")
+        .withColumn("_band", band("_v"))
+    )
+    nodes = A.staged(nodes, "nodes")
+    # A row per band, of which the range of doubles allows some fifteen thousand.
+    sizes = nodes.groupBy("_band").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("_parts"))
+    after = Window.partitionBy(F.lit(0)).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_first", F.coalesce(F.sum("_parts").over(after), F.lit(0)))
+    part = F.pmod(F.xxhash64(F.col("ids")[0]), F.col("_parts"))
+    nodes = nodes.join(F.broadcast(sizes), "_band").select(
+        (F.col("_first") + part).cast("int").alias("shard"), "_v", "ids"
     )
 
     def make(table: pa.Table) -> pa.Table:
@@ -194,12 +226,12 @@ def build_index(rows: DataFrame, shards: int, keep: int) -> DataFrame:
             "width": vectors.shape[1],
             "x": graph.x.astype("<f4").tobytes(),
             "edges": graph.edges.astype("<i4").tobytes(),
-            "entry": graph.entry,
+            "seeds": graph.seeds.astype("<i4").tobytes(),
             "vectors": vectors.astype("<f8").tobytes(),
             "ids": ids,
         }
         kinds = [("shard", pa.int32()), ("n", pa.int32()), ("width", pa.int32()), ("x", pa.binary()),
-                 ("edges", pa.binary()), ("entry", pa.int32()), ("vectors", pa.binary()), ("ids", pa.list_(pa.list_(pa.int64())))]
+                 ("edges", pa.binary()), ("seeds", pa.binary()), ("vectors", pa.binary()), ("ids", pa.list_(pa.list_(pa.int64())))]
         return pa.Table.from_pylist([row], schema=pa.schema(kinds))
 
     return A.staged(A.reachable(nodes).groupBy("shard").applyInArrow(make, _GRAPH), "graphs")
@@ -221,18 +253,19 @@ def nearest(
     most = sizes.orderBy(F.desc("n"), "width").first()
     width, n = (most["width"], most["n"]) if most else (0, 0)
     rows = rows.filter(F.size("_v") == width)
-    shards = max(1, math.ceil(n / shard_rows))
-    graphs = build_index(rows, shards, top + 1)
-
+    graphs = build_index(rows, shard_rows, top + 1)
     asked = valid_vectors(vectors.filter(is_query), id_col, vector).filter(F.size("_v") == width)
+    asked = A.staged(asked.withColumn("_row", F.monotonically_increasing_id()), "queries")
     blocks = max(1, math.ceil(n / shard_rows))  # of queries; grows with the rows, as queries do
     packed = (
-        asked.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(blocks)))
+        asked.withColumn("_block", F.pmod(F.xxhash64("_row"), F.lit(blocks)))
         .groupBy("_block")
-        .agg(F.sort_array(F.collect_list(F.struct("_id", "_v"))).alias("_queries"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        .agg(F.sort_array(F.collect_list(F.struct("_row", "_id", "_v"))).alias("_queries"))
     )
-    met = packed.join(graphs, "shard")
+    # Every block of queries meets every shard; blocks are given the shards' numbers, then join.
+    last = graphs.agg(F.max("shard")).first()[0]
+    numbers = F.sequence(F.lit(0), F.lit(last or 0))
+    met = packed.withColumn("shard", F.explode(numbers)).join(graphs, "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,15 +275,15 @@ def nearest(
                 graph = Graph(
                     np.frombuffer(row["x"], "<f4").reshape(row["n"], -1),
                     np.frombuffer(row["edges"], "<i4").reshape(row["n"], -1),
-                    row["entry"],
+                    np.frombuffer(row["seeds"], "<i4"),
                 )
                 own = np.frombuffer(row["vectors"], "<f8").reshape(row["n"], -1)
                 for a in range(0, len(row["_queries"]), _BATCH):
                     some = row["_queries"][a : a + _BATCH]
                     yield _answers(graph, own, ids, some, top, beam)
 
-    out = A.reachable(met).mapInArrow(run, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    out = A.reachable(met).mapInArrow(run, "_row long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("_row").orderBy(F.desc("score"), "vec_id")
     return (
         out.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top)
@@ -260,21 +293,21 @@ def nearest(
 
 def _answers(graph: Graph, own: np.ndarray, ids: list, queries: list, top: int, beam: int) -> pa.RecordBatch:
     q = np.array([x["_v"] for x in queries], np.float64)
-    wide = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
-    found, _ = graph.search(wide, max(beam, top + 1))
+    found, _ = graph.search((q / np.abs(q).max(axis=1, keepdims=True)).astype(np.float32), max(beam, top + 1))
     out: list[tuple] = []
-    for row, name, numbers in zip(q, (x["_id"] for x in queries), found):
+    for row, asked, numbers in zip(q, queries, found):
         numbers = numbers[numbers >= 0]
         scores = (own[numbers] * row).sum(axis=1)
         ranked = sorted(
-            (-s, i) for s, k in zip(scores.tolist(), numbers.tolist()) for i in ids[k] if i != name
+            (-s, i) for s, k in zip(scores.tolist(), numbers.tolist()) for i in ids[k] if i != asked["_id"]
         )
-        out += [(name, i, -s) for s, i in ranked[:top]]
-    columns = list(zip(*out)) or [(), (), ()]
+        out += [(asked["_row"], asked["_id"], i, -s) for s, i in ranked[:top]]
+    columns = list(zip(*out)) or [(), (), (), ()]
     return pa.RecordBatch.from_pydict(
         {
-            "query_id": pa.array(columns[0], pa.int64()),
-            "vec_id": pa.array(columns[1], pa.int64()),
-            "score": pa.array(columns[2], pa.float64()),
+            "_row": pa.array(columns[0], pa.int64()),
+            "query_id": pa.array(columns[1], pa.int64()),
+            "vec_id": pa.array(columns[2], pa.int64()),
+            "score": pa.array(columns[3], pa.float64()),
         }
     )

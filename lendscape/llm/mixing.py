@@ -15,7 +15,9 @@ All splitting is in whole numbers and leaves less than one token per child unspe
 
 * NULL domain, language or source reads as the empty name; weights not named are 1.
 * NULL or empty text: no tokens, taken in no whole epoch that its leaf does not have.
-* NULL ids read as the empty id. Rows repeating the last document of a prefix are taken alike.
+* Rows of one id stand together in an epoch's order, fewer tokens first; a prefix may end among
+  them, even among rows with equal id and tokens, which are numbered for it in any order. NULL ids
+  are ordered by a digest of their text. The budget is kept in every case.
 * An empty table gives an empty result.
 """
 
@@ -33,6 +35,8 @@ BUDGET_PERCENT = 80
 EPOCHS = 3
 SEED = 20
 BINS = 4096
+# Parts of a leaf's rows when they meet its plan: a leaf may hold a third of all rows.
+LEAF_PARTS = 64
 WEIGHTS: Mapping[str, Mapping[str, int]] = {
     "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
     "lang": {"en": 4, "de": 3, "fr": 3, "es": 2},
@@ -106,10 +110,17 @@ def leaf_budgets(
     return above
 
 
+def order_key(id_col: str, text: str) -> Column:
+    """Id as text; of NULL ids a digest of the document."""
+    digest = F.concat(F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    return F.coalesce(F.col(id_col).cast("string"), digest)
+
+
 def placed(docs: DataFrame, domain: Column, id_col: str, lang: str, source: str, text: str) -> DataFrame:
-    """Leaf, id key and tokens of every document."""
+    """Id, leaf, order key and tokens of every document."""
     return docs.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_key"),
+        F.col(id_col).alias("_id"),
+        order_key(id_col, text).alias("_key"),
         F.coalesce(domain, F.lit("")).alias("domain"),
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.coalesce(F.col(source), F.lit("")).alias("source"),
@@ -117,8 +128,19 @@ def placed(docs: DataFrame, domain: Column, id_col: str, lang: str, source: str,
     )
 
 
+def with_leaf(rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Join rows with one row per leaf, the rows of a leaf in parts by their key."""
+    part = F.pmod(F.xxhash64("_key", "n_tokens"), F.lit(LEAF_PARTS)).cast("int")
+    each = leaves.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(LEAF_PARTS - 1))))
+    return rows.withColumn("_part", part).join(each, [*LEVELS, "_part"]).drop("_part")
+
+
 def plan(rows: DataFrame, seed: int = SEED, bins: int = BINS, **options) -> DataFrame:
-    """One row per leaf: whole epochs, and where the prefix of the next one ends."""
+    """One row per leaf: whole epochs, and where the prefix of the next one ends.
+
+    Its end is a place in the order (hash, key, tokens), the rows at this place that are taken as
+    a whole, and the tokens taken of one more.
+    """
     leaf = list(LEVELS)
     leaves = A.staged(rows.groupBy(*leaf).agg(F.sum("n_tokens").alias("tokens")), "leaves")
     budgets = leaves.join(leaf_budgets(leaves, **options), leaf)
@@ -132,7 +154,7 @@ def plan(rows: DataFrame, seed: int = SEED, bins: int = BINS, **options) -> Data
         ),
         "budgets",
     )
-    hashed = rows.join(budgets, leaf).withColumn("_hash", order_hash(seed, F.col("whole"), F.col("_key")))
+    hashed = with_leaf(rows, budgets).withColumn("_hash", order_hash(seed, F.col("whole"), F.col("_key")))
     bin_of = F.floor(F.col("_hash") * bins / F.lit(1 << 32)).cast("int")
     before = Window.partitionBy(*leaf).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     binned = (
@@ -145,49 +167,64 @@ def plan(rows: DataFrame, seed: int = SEED, bins: int = BINS, **options) -> Data
     # Stored, for else the documents would be dealt out by leaf to meet this window's rows.
     binned = A.staged(binned, "bins")
     within = Window.partitionBy(*leaf, "_bin").orderBy("_hash", "_key", "n_tokens")
+    ahead = F.sum(F.col("n_tokens") * F.col("_rows")).over(within.rowsBetween(Window.unboundedPreceding, -1))
+    left = F.col("rest") - F.col("_ahead")
     ended = (
         hashed.withColumn("_bin", bin_of)
         .join(binned, [*leaf, "_bin"])
-        .withColumn(
-            "_ahead",
-            F.col("_before")
-            + F.coalesce(F.sum("n_tokens").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-        .filter(F.col("_ahead") < F.col("rest"))
-        .groupBy(*leaf)
-        .agg(F.max(F.struct("_hash", "_key", (-F.col("_ahead")).alias("_ahead"))).alias("_last"))
+        # Rows of one place are counted first: a repeated document is one row here.
+        .groupBy(*leaf, "_bin", "_before", "rest", "_hash", "_key", "n_tokens")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_ahead", F.col("_before") + F.coalesce(ahead, F.lit(0)))
+        .filter((left > 0) & (left <= F.col("n_tokens") * F.col("_rows")))
         .select(
             *leaf,
-            F.col("_last._hash").alias("cut_hash"),
-            F.col("_last._key").alias("cut_key"),
-            (-F.col("_last._ahead")).alias("cut_ahead"),
+            F.col("_hash").alias("cut_hash"),
+            F.col("_key").alias("cut_key"),
+            F.col("n_tokens").alias("cut_tokens"),
+            _div(left, F.col("n_tokens")).alias("cut_rows"),
+            (left % F.col("n_tokens")).alias("cut_part"),
         )
     )
-    return budgets.join(ended, leaf, "left")
+    return A.staged(budgets.join(ended, leaf, "left"), "leaf_plan")
+
+
+def numbered(rows: DataFrame, by: list[str], parts: int = LEAF_PARTS) -> DataFrame:
+    """Adds ``_index`` from 1 within ``by``, in any order; a large group is numbered in parts."""
+    row, part = F.monotonically_increasing_id(), F.pmod(F.xxhash64("_row"), F.lit(parts))
+    rows = A.staged(rows.withColumn("_row", row).withColumn("_part", part), "numbered")
+    ahead = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
+    inner = F.row_number().over(Window.partitionBy(*by, "_part").orderBy("_row"))
+    joined = rows.withColumn("_inner", inner).join(sizes, [*by, "_part"])
+    return joined.withColumn("_index", F.col("_before") + F.col("_inner")).drop("_row", "_part", "_before", "_inner")
 
 
 def decide(rows: DataFrame, leaf_plan: DataFrame, seed: int = SEED) -> DataFrame:
     """Adds ``copies`` (epochs a document appears in, a partial one included) and
     ``tokens_taken``."""
-    joined = rows.join(leaf_plan, list(LEVELS)).withColumn(
+    joined = with_leaf(rows, leaf_plan).withColumn(
         "_hash", order_hash(seed, F.col("whole"), F.col("_key"))
     )
-    at_cut = (F.col("_hash") == F.col("cut_hash")) & (F.col("_key") == F.col("cut_key"))
-    inside = (F.col("_hash") < F.col("cut_hash")) | (
-        (F.col("_hash") == F.col("cut_hash")) & (F.col("_key") < F.col("cut_key"))
-    )
-    part = (
-        F.when(at_cut, F.least("n_tokens", F.col("rest") - F.col("cut_ahead")))
-        .when(inside, F.col("n_tokens"))
-        .otherwise(0)
-    )
-    taken = F.coalesce(at_cut | inside, F.lit(False))
-    return joined.withColumns(
-        {
-            "copies": F.col("whole") + taken.cast("long"),
-            "tokens_taken": F.col("whole") * F.col("n_tokens") + F.coalesce(part, F.lit(0)),
-        }
-    )
+    place = F.struct("_hash", "_key", "n_tokens")
+    cut = F.struct(*[F.col(f"cut_{c}").alias(n) for c, n in (("hash", "_hash"), ("key", "_key"), ("tokens", "n_tokens"))])
+    ended = F.col("cut_hash").isNotNull()
+    at_cut = ended & (place == cut)
+
+    def taken(df: DataFrame, part: Column, whole: Column) -> DataFrame:
+        return df.withColumns(
+            {
+                "copies": F.col("whole") + (whole | (part > 0)).cast("long"),
+                "tokens_taken": F.col("whole") * F.col("n_tokens")
+                + F.when(whole, F.col("n_tokens")).otherwise(part).cast("long"),
+            }
+        )
+
+    others = taken(joined.filter(~at_cut), F.lit(0), ended & (place < cut))
+    ties = numbered(joined.filter(at_cut), list(LEVELS))
+    partial = F.when(F.col("_index") == F.col("cut_rows") + 1, F.col("cut_part")).otherwise(0)
+    return others.unionByName(taken(ties, partial, F.col("_index") <= F.col("cut_rows")).drop("_index"))
 
 
 def mix(
@@ -203,9 +240,8 @@ def mix(
     """Per document: leaf, tokens, copies and tokens taken."""
     rows = A.staged(placed(docs, domain, id_col, lang, source, text), "placed")
     out = decide(rows, plan(rows, seed, **options), seed)
-    kind = docs.schema[id_col].dataType
     return out.select(
-        F.when(F.col("_key") != "", F.col("_key").cast(kind)).alias(id_col),
+        F.col("_id").alias(id_col),
         *LEVELS,
         "n_tokens",
         "copies",
@@ -216,14 +252,14 @@ def mix(
 def resample(docs: DataFrame, domain: Column, seed: int = SEED, **options) -> DataFrame:
     """The documents themselves, a row per epoch they appear in; their own columns only."""
     rows = A.staged(placed(docs, domain, "doc_id", "lang", "source", "text"), "placed")
-    leaf_plan = A.staged(plan(rows, seed, **options), "leaf_plan")
+    leaf_plan = plan(rows, seed, **options)
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key"),
+        order_key("doc_id", "text").alias("_key"),
         F.coalesce(domain, F.lit("")).alias("domain"),
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
-        F.lit(0).cast("long").alias("n_tokens"),
+        n_tokens(F.col("text")).alias("n_tokens"),
     )
     chosen = decide(keyed, leaf_plan, seed).filter(F.col("copies") > 0)
     return chosen.select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_doc.*")
@@ -258,7 +294,7 @@ b{depth} AS (SELECT {keys}, CAST(CASE WHEN full_ THEN cap ELSE ((budget - spent)
     leaf = ", ".join(LEVELS)
     return f"""
 WITH placed AS (
-  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') k,
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), ':' || md5(coalesce(text, ''))) k,
     'domain' || coalesce(TRY_CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS BIGINT), 0) % 4 AS domain,
     coalesce(lang, '') lang, coalesce(source, '') source,
     len(regexp_extract_all(coalesce(text, ''), '{WORD}')) n_tokens

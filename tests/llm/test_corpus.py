@@ -128,6 +128,25 @@ def test_mixing_odd_rows(spark, odd, clashing, none):
     assert again.count() == sum(r.copies for r in got)
 
 
+def test_budget_is_kept_on_repeated_and_null_ids(spark, odd):
+    """The rows that SQL gives, whatever ids and texts repeat."""
+    import duckdb
+
+    same = [(i % 7, "one two three four five six seven eight nine ten", "en", "src1", 1) for i in range(70)]
+    nameless = [(None, "a b c d e f g h i j", "en", "src1", 1)] * 50 + [(100 + i, f"k l m n o {i}", "en", "src1", 1) for i in range(50)]
+    mixed = [(i % 5, "w " * (i % 4), "fr", f"src{i % 2}", 1) for i in range(60)]
+    for rows in (same, nameless, mixed, [tuple(r) for r in odd.collect()]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+        con = duckdb.connect()
+        con.register("documents", docs.toArrow())
+        got = mixing.mix(docs, mixing.domain_of(F.col("source")))
+        assert differences(got, con, SQL["op2_mixing"]) is None
+        total, taken = (sum(r[c] for r in got.collect()) for c in ("n_tokens", "tokens_taken"))
+        assert taken <= 0.8 * total
+        again = mixing.resample(docs, mixing.domain_of(F.col("source")))
+        assert again.count() == sum(r.copies for r in got.collect())
+
+
 def test_shortage_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame(
         [("a", "x", "1", 10), ("a", "y", "1", 1000), ("b", "x", "1", 1000), ("b", "y", "1", 1000)],
@@ -224,6 +243,50 @@ def test_graph_recall_over_several_shards(spark):
     assert sum(len({i for i, _ in want[q]} & got[q]) for q in want) >= 0.9 * 20 * len(want)
 
 
+@pytest.mark.parametrize("kind", ["unit", "normal", "log-normal", "clusters"])
+def test_graph_recall_for_lengths_that_differ(spark, kind):
+    rng = np.random.default_rng(11)
+    n, d = 2048, 48
+    x = rng.normal(size=(n, d))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    centres = rng.normal(size=(20, d))
+    x = {
+        "unit": unit,
+        "normal": x,
+        "log-normal": unit * np.exp(rng.normal(size=(n, 1))),
+        "clusters": centres[rng.integers(0, 20, n)] + 0.1 * x,
+    }[kind]
+    vectors = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    want = plain_nearest(vectors, vectors[::20], 20)
+    got = defaultdict(set)
+    for r in graph_index.nearest(df, F.col("vec_id") % 20 == 0, shard_rows=1024).collect():
+        got[r.query_id].add(r.vec_id)
+    assert sum(len({i for i, _ in want[q]} & got[q]) for q in want) >= 0.95 * 20 * len(want)
+
+
+def test_each_query_row_has_its_own_ranks(spark):
+    vectors = [(i, [float(i % 7), 1.0, float(i)]) for i in range(1, 60)]
+    more = [(20, vectors[19][1]), (40, [-1.0, 0.5, -3.0])]
+    df = spark.createDataFrame(vectors + more, "vec_id long, embedding array<double>")
+    got = graph_index.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    ranks = sorted((r.query_id, r["rank"]) for r in got)
+    assert ranks == sorted((q, k) for q in (20, 20, 40, 40) for k in range(1, 21))
+    want = [(i, s) for q in ((20, vectors[19][1]), (40, vectors[39][1]), more[0], more[1])
+            for i, s in plain_nearest(vectors + more, [q], 20)[q[0]]]
+    assert sorted((r.vec_id, round(r.score, 9)) for r in got) == sorted((i, round(s, 9)) for i, s in want)
+
+
+def test_bands_of_extreme_lengths(spark):
+    vectors = [(i, [s * 3.0, s * 4.0]) for i, s in enumerate((1e-300, 1e-3, 1.0, 1.04, 1.2, 1e150))]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = dict(map(tuple, df.select("vec_id", graph_index.band("embedding")).collect()))
+    step = np.log(graph_index.BAND_RATIO)
+    for i, (x, y) in vectors:
+        assert got[i] == np.floor((np.log(5) + np.log(y / 4)) / step + 0.5)
+    assert graph_index.nearest(df, F.lit(True)).count() == 30
+
+
 def test_odd_vectors_take_no_part(spark):
     good = [(i, [float(i % 3), 1.0]) for i in range(1, 31)]
     odd = [(0, None), (40, []), (60, [0.0, 0.0]), (80, [float("nan"), 1.0]), (100, [float("inf"), 1.0]),
