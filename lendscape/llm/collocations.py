@@ -54,12 +54,12 @@ SAMPLE_COUNT = 2
 BITS_PER_PHRASE = 16
 FILTER_BITS = 1 << 28
 # Text handled at once: arrays of it and of its words take about thirty times as much.
-SLICE = 4 << 20
+SLICE = 1 << 20
 # Shares of a language ranked on their own before its first ranks are taken.
 SHARES = 256
 
 _BITMAP = 1 << 15
-_SENT_ROWS = 1 << 16
+_SENT_ROWS = 1 << 14
 SEPARATOR = A.byte_class(lambda b: b in b".,;:!?" or 0x0A <= b <= 0x0D)
 MEMBER = A.byte_class(lambda b: b not in b" \t") & ~SEPARATOR
 COUNTS = "lang string, phrase string, n int, count long"
@@ -213,6 +213,7 @@ def count_phrases(docs: DataFrame, now, before=None, longest: int = LONGEST) ->
             for data, offsets, langs in text_slices(pa.Table.from_batches([batch]), SLICE):
                 for part in count_slice(Words(data, offsets, langs), whole, earlier, longest):
                     yield from part.to_batches(max_chunksize=_SENT_ROWS)
+            pa.default_memory_pool().release_unused()
 
     found = A.reachable(docs).mapInArrow(run, COUNTS)
     return found.groupBy("lang", "phrase", "n").agg(F.sum("count").alias("count"))
