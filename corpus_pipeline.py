@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendscape.llm import arrow as A
@@ -33,11 +33,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: a row of its smallest id. NULL ids are in no group."""
+    """Keep one document of each group: of the rows with its smallest id the first by a hash of all
+    columns. NULL ids are in no group."""
     groups = ngram_join.similar_sets(docs)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(A.staged(first, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    kept = docs.join(A.staged(first, "kept"), "doc_id", "left_semi").select(*docs.columns)
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(order))
+    chosen = kept.withColumn("_place_in_id", rank).filter("_place_in_id = 1").select(*docs.columns)
+    return chosen.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,8 +85,8 @@ def test_summary_matches_facts(two_days):
     assert got[("default_rate_pct", "ALL")] == pytest.approx(100.0 * bad / n)
     assert {s for k, s in got if k == "default_rate_pct"} == {
         "ALL",
-        "Cash loans",
-        "Revolving loans",
+        "instalment loan",
+        "credit line",
     }
 
 
