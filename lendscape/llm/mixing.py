@@ -129,8 +129,8 @@ def placed(docs: DataFrame, domain: Column, id_col: str, lang: str, source: str,
 
 
 def with_leaf(rows: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Join rows with one row per leaf, the rows of a leaf in parts by their key."""
-    part = F.pmod(F.xxhash64("_key", "n_tokens"), F.lit(LEAF_PARTS)).cast("int")
+    """Join rows with one row per leaf, the rows of a leaf dealt out over parts."""
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(LEAF_PARTS)).cast("int")
     each = leaves.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(LEAF_PARTS - 1))))
     return rows.withColumn("_part", part).join(each, [*LEVELS, "_part"]).drop("_part")
 
@@ -184,6 +184,7 @@ def plan(rows: DataFrame, seed: int = SEED, bins: int = BINS, **options) -> Data
             F.col("n_tokens").alias("cut_tokens"),
             _div(left, F.col("n_tokens")).alias("cut_rows"),
             (left % F.col("n_tokens")).alias("cut_part"),
+            F.col("_rows").alias("cut_of"),
         )
     )
     return A.staged(budgets.join(ended, leaf, "left"), "leaf_plan")
@@ -201,30 +202,40 @@ def numbered(rows: DataFrame, by: list[str], parts: int = LEAF_PARTS) -> DataFra
     return joined.withColumn("_index", F.col("_before") + F.col("_inner")).drop("_row", "_part", "_before", "_inner")
 
 
-def decide(rows: DataFrame, leaf_plan: DataFrame, seed: int = SEED) -> DataFrame:
+def decide(
+    rows: DataFrame, leaf_plan: DataFrame, seed: int = SEED, tokens: Column | None = None
+) -> DataFrame:
     """Adds ``copies`` (epochs a document appears in, a partial one included) and
-    ``tokens_taken``."""
+    ``tokens_taken``.
+
+    Rows at the place where a prefix ends are numbered only if some leaf has several there. The
+    tokens, ``n_tokens`` unless given, are compared last, so they are seldom computed.
+    """
+    tokens = F.col("n_tokens") if tokens is None else tokens
     joined = with_leaf(rows, leaf_plan).withColumn(
         "_hash", order_hash(seed, F.col("whole"), F.col("_key"))
     )
-    place = F.struct("_hash", "_key", "n_tokens")
-    cut = F.struct(*[F.col(f"cut_{c}").alias(n) for c, n in (("hash", "_hash"), ("key", "_key"), ("tokens", "n_tokens"))])
-    ended = F.col("cut_hash").isNotNull()
-    at_cut = ended & (place == cut)
-
-    def taken(df: DataFrame, part: Column, whole: Column) -> DataFrame:
+    hash_, key, ended = F.col("_hash"), F.col("_key"), F.col("cut_hash").isNotNull()
+    at_cut = ended & (hash_ == F.col("cut_hash")) & (key == F.col("cut_key")) & (tokens == F.col("cut_tokens"))
+    ahead = ended & F.when(hash_ != F.col("cut_hash"), hash_ < F.col("cut_hash")).when(
+        key != F.col("cut_key"), key < F.col("cut_key")
+    ).otherwise(tokens < F.col("cut_tokens"))
+
+    def taken(df: DataFrame, at: Column, index: Column) -> DataFrame:
+        whole = ahead | (at & (index <= F.col("cut_rows")))
+        part = F.when(at & (index == F.col("cut_rows") + 1), F.col("cut_part")).otherwise(F.lit(0))
         return df.withColumns(
             {
                 "copies": F.col("whole") + (whole | (part > 0)).cast("long"),
-                "tokens_taken": F.col("whole") * F.col("n_tokens")
-                + F.when(whole, F.col("n_tokens")).otherwise(part).cast("long"),
+                "tokens_taken": F.col("whole") * tokens + F.when(whole, tokens).otherwise(part).cast("long"),
             }
         )
 
-    others = taken(joined.filter(~at_cut), F.lit(0), ended & (place < cut))
+    if leaf_plan.filter("cut_of > 1").isEmpty():
+        return taken(joined, at_cut, F.lit(1))
+    others = taken(joined.filter(~at_cut), F.lit(False), F.lit(0))
     ties = numbered(joined.filter(at_cut), list(LEVELS))
-    partial = F.when(F.col("_index") == F.col("cut_rows") + 1, F.col("cut_part")).otherwise(0)
-    return others.unionByName(taken(ties, partial, F.col("_index") <= F.col("cut_rows")).drop("_index"))
+    return others.unionByName(taken(ties, F.lit(True), F.col("_index")).drop("_index"))
 
 
 def mix(
@@ -259,9 +270,8 @@ def resample(docs: DataFrame, domain: Column, seed: int = SEED, **options) -> Da
         F.coalesce(domain, F.lit("")).alias("domain"),
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
-        n_tokens(F.col("text")).alias("n_tokens"),
     )
-    chosen = decide(keyed, leaf_plan, seed).filter(F.col("copies") > 0)
+    chosen = decide(keyed, leaf_plan, seed, n_tokens(F.col("_doc.text"))).filter(F.col("copies") > 0)
     return chosen.select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_doc.*")
 
 
