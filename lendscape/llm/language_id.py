@@ -209,7 +209,7 @@ class Model:
         if not self.languages:
             return [UNDETERMINED] * len(array), np.zeros(len(array))
         names, scores = [], []
-        for a, b in A.slices(array):
+        for a, b in A.slices(array, A.SLICE_BYTES // 2):
             part = array.slice(a, b - a)
             codes, first, words = letter_words(part)
             per_word = self.word_scores(words)[codes]
