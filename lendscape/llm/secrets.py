@@ -136,8 +136,18 @@ def _find(array: pa.Array) -> list[list[tuple[int, str, int]]]:
         for m in _ACCESS.finditer(raw, offsets[i], offsets[i + 1]):
             if m.end() - m.start() >= ACCESS_MIN:
                 found[i].append((m.start(), "access", m.end()))
+    ahead: dict[int, list[tuple[int, int]]] = {}
+    near: dict[int, list[tuple[int, int]]] = {}
+    # Candidates of a text come in order, so its fixed matches are walked beside them.
     for i, start, end in _long_runs(data, offsets, _CANDIDATE, WINDOW):
-        fixed = [(s, e) for s, k, e in found[i] if k != "entropy" and s < end and start < e]
+        if i not in ahead:
+            ahead[i] = sorted(((s, e) for s, _, e in found[i]), reverse=True)
+        fixed = [x for x in near.get(i, ()) if x[1] > start]
+        while ahead[i] and ahead[i][-1][0] < end:
+            x = ahead[i].pop()
+            if x[1] > start:
+                fixed.append(x)
+        near[i] = fixed
         if any(s <= start and end <= e for s, e in fixed):
             continue
         parts = outside(start, end, fixed) if fixed else []
@@ -155,8 +165,11 @@ def _holders(patterns: list[re.Pattern], raw: bytes, offsets: np.ndarray) -> lis
 
 
 def _in_code_points(raw: bytes, base: int, found: list) -> list[tuple[int, str, int]]:
-    at = lambda pos: len(raw[base:pos].decode(errors="ignore"))
-    return sorted(((at(s), k, at(e)) for s, k, e in found), key=lambda x: (x[0], KINDS.index(x[1])))
+    at, last, count = {}, base, 0
+    for pos in sorted({p for s, _, e in found for p in (s, e)}):
+        count += len(raw[last:pos].decode())
+        at[pos], last = count, pos
+    return sorted(((at[s], k, at[e]) for s, k, e in found), key=lambda x: (x[0], KINDS.index(x[1])))
 
 
 def joined(spans: list[tuple[int, str, int]]) -> str:
