@@ -49,6 +49,8 @@ NOTICES = {
 }
 # Edits allowed per this many characters of a notice.
 CHARS_PER_EDIT = 12
+# Characters of a window in which starts of matches are looked for at once.
+STRETCH = 1024
 
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)
@@ -109,7 +111,19 @@ class Scanner:
         return out
 
     def matches(self, i: int, text: str, a: int, b: int) -> Iterator[regex.Match]:
-        """Matches of a notice in a window: the best ones, then those of what is left of them."""
+        """Matches of a notice in a window, which is searched by stretches of its starts.
+
+        The work of a best match grows with the range, hence of all of them with its square.
+        """
+        most = len(self.notices[i][0]) + edits_allowed(self.notices[i][0])
+        while a < b:
+            stop = a + STRETCH
+            found = [m for m in self.best(i, text, a, min(b, stop + most)) if m.start() < stop]
+            yield from found
+            a = max([stop, *(m.end() for m in found)])
+
+    def best(self, i: int, text: str, a: int, b: int) -> Iterator[regex.Match]:
+        """The best matches of a notice in a range, then those of what is left of them."""
         least = len(self.notices[i][0]) - edits_allowed(self.notices[i][0])
         ranges = [(a, b)]
         while ranges:
@@ -143,8 +157,11 @@ def phrase_places(padded: str) -> dict[str, list[int]]:
     out = {}
     for phrase, label in PHRASES.items():
         at, places = padded.find(f" {phrase} "), []
+        counted = word = 0
         while at >= 0:
-            places.append(padded.count(" ", 0, at))
+            word += padded.count(" ", counted, at)
+            counted = at
+            places.append(word)
             at = padded.find(f" {phrase} ", at + 1)
         if places:
             out[label] = places

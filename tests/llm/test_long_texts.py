@@ -24,3 +24,21 @@ def test_spans_of_a_long_text(unit):
     assert seconds(secrets.redact, text) < 30
     one, found = secrets.find(A.texts(pa.array([unit])))[0], secrets.find(text)[0]
     assert found == [(s + i * len(unit), k, e + i * len(unit)) for i in range(n) for s, k, e in one]
+
+
+def test_phrases_and_notices_of_a_long_text():
+    n = 5 * MB // 12
+    text = "mit license " * n
+    assert seconds(licenses.scan, text) < 30
+    assert licenses.scan(text)[:4] == (2 * n, n, 0, 2 * n - 2)
+
+
+def test_a_long_window_is_searched_in_stretches():
+    notice = "releqqed under the mit license"
+    text = " ".join([notice] * 2000)
+    assert seconds(licenses.scan, text) < 10
+    found = licenses.scanner().find(text)
+    # Every copy, whatever stretch it begins in, and none twice.
+    starts = {x.start for x in found if x.edits == 2}
+    assert starts >= {i * (len(notice) + 1) for i in range(2000)}
+    assert len(found) == len(set(found))
