@@ -8,8 +8,10 @@ worker.
 
 A long text is cut into blocks of fixed size, wherever the cuts fall. A block's state map tells
 what it does from any state: the characters that still belong to the word open at its start, the
-tokens emitted inside, and the word left open at its end. Maps compose associatively, and an
-inclusive prefix scan of logarithmic depth over a text's blocks gives its count.
+tokens emitted inside, and the word left open at its end. Maps compose associatively. A prefix
+scan of logarithmic depth over a text's blocks gives the count up to each; of a text's own count
+only its up-sweep is needed, in which every border between blocks is met once. Open words are kept
+as the blocks' parts and joined when they are closed, so time and memory follow the text's length.
 
 * NULL or empty text: 0 bytes, 0 tokens.
 * Special strings inside texts count as the library counts them by default.
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscape.llm import arrow as A
-from lendscape.llm.wordbpe import CUT_BYTES, cut_pieces, encoder
+from lendscape.llm.wordbpe import CUT_BYTES, cut_pieces, encoder, word_parts
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -38,11 +40,11 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 class StateMap(NamedTuple):
     """What a block does: text before its first white space, then, if it has any white space,
-    the inner text's tokens and the word left open at the end."""
+    the inner text's tokens and the word left open at the end. Words are in parts."""
 
-    head: bytes
+    head: tuple[bytes, ...]
     emitted: int
-    tail: bytes | None
+    tail: tuple[bytes, ...] | None
 
 
 class CountTransducer:
@@ -55,8 +57,11 @@ class CountTransducer:
 
     def emitted(self, array: pa.Array) -> np.ndarray:
         """Tokens of texts that each begin and end between words."""
-        codes, first, pieces = cut_pieces(array)
-        return A.per_text(self.emits(pieces)[codes], first)
+        out = np.zeros(len(array), np.int64)
+        for a, b in A.slices(array, CUT_BYTES):
+            codes, first, pieces = cut_pieces(array.slice(a, b - a))
+            out[a:b] = A.per_text(self.emits(pieces)[codes], first)
+        return out
 
     def state_maps(self, blocks: list[bytes]) -> list[StateMap]:
         cuts = []
@@ -67,7 +72,7 @@ class CountTransducer:
         inner = [b"" if c is None else b[c[0] : c[1]] for b, c in zip(blocks, cuts)]
         emitted = self.emitted(pa.array([x.decode() for x in inner], pa.large_string()))
         return [
-            StateMap(b, 0, None) if c is None else StateMap(b[: c[0]], int(n), b[c[1] :])
+            StateMap((b,), 0, None) if c is None else StateMap((b[: c[0]],), int(n), (b[c[1] :],))
             for b, c, n in zip(blocks, cuts, emitted)
         ]
 
@@ -89,15 +94,22 @@ class CountTransducer:
             step *= 2
         return maps
 
+    def total(self, maps: list[StateMap]) -> StateMap:
+        """Composition of all maps, by the up-sweep of a prefix scan."""
+        while len(maps) > 1:
+            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0]
+
     def count_long(self, text: str, block: int = BLOCK_BYTES) -> int:
         raw = text.encode()
-        last = self.prefix_scan(self.state_maps([raw[i : i + block] for i in range(0, len(raw), block)]))[-1]
+        last = self.total(self.state_maps([raw[i : i + block] for i in range(0, len(raw), block)]))
         edges = [last.head] if last.tail is None else [last.head, last.tail]
         return last.emitted + self.count_words(edges)
 
-    def count_words(self, words: list[bytes]) -> int:
+    def count_words(self, words: list[tuple[bytes, ...]]) -> int:
         """Tokens of words that cuts have left in parts."""
-        return int(self.emitted(pa.array([x.decode() for x in words], pa.large_string())).sum())
+        parts = [x for word in words for x in word_parts(b"".join(word).decode())]
+        return int(self.emitted(pa.array(parts, pa.large_string())).sum())
 
     def counts(self, array: pa.Array, block: int = BLOCK_BYTES) -> np.ndarray:
         """Tokens of every text."""
@@ -105,8 +117,7 @@ class CountTransducer:
         out = np.zeros(len(array), np.int64)
         short = np.flatnonzero(sizes <= block)
         short_texts = array if len(short) == len(array) else array.take(pa.array(short))
-        for a, b in A.slices(short_texts, CUT_BYTES):
-            out[short[a:b]] = self.emitted(short_texts.slice(a, b - a))
+        out[short] = self.emitted(short_texts)
         for i in np.flatnonzero(sizes > block):
             out[i] = self.count_long(array[int(i)].as_py(), block)
         return out

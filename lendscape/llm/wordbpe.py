@@ -32,6 +32,14 @@ _PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
 MEMORY = 600_000
 # Bytes of text cut at once.
 CUT_BYTES = 4 << 20
+# Longer words are cut where pieces meet, longer pieces are merged by windows of this many letters.
+WINDOW = 1 << 14
+# Two neighbours that are in different pieces whatever stands around them: no apostrophe of a
+# contraction, no sign inside a special token, nothing that composes with the character before.
+_BORDER = re.compile(
+    r"(?<=[0-9])(?=[!-~])|(?<=\S)(?=[0-9])|(?<=[。，、！？；：])(?=[一-鿿])"
+    r"|(?<=[A-Za-z])(?=[!-&(-/:-@\[-`{}~])|(?<=[!-&(-/:-@\[-`{}~])(?=[A-Za-z])"
+)
 
 _SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
 
@@ -82,6 +90,16 @@ def cut_pieces(array: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return np.asarray(pieces.indices), np.searchsorted(at, offsets), pieces.dictionary.to_pylist()
 
 
+def word_parts(word: str) -> list[str]:
+    """A word in parts whose tokens, one after the other, are the word's; the parts of a very long
+    one are about a window, or as long as it has no border."""
+    parts, at = [], 0
+    while len(word) - at > WINDOW and (border := _BORDER.search(word, at + WINDOW)):
+        parts.append(word[at : border.start()])
+        at = border.start()
+    return [*parts, word[at:]]
+
+
 def byte_letters() -> dict[int, str]:
     """Byte to letter rule of byte-level vocabularies: printable bytes stand for themselves."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -105,8 +123,32 @@ class WordEncoder:
 
     def _merged(self, piece: str) -> bytes:
         text = piece if piece.isascii() else "".join(map(self.letters.get, piece.encode()))
+        if len(text) > WINDOW:
+            return self._long(text)
         return _packed([t.id for t in self.model.tokenize(text)])
 
+    def _long(self, text: str) -> bytes:
+        """Ids of a long piece, window by window.
+
+        A chain of tokens is the encoding if each two neighbours stand side by side in some encoding.
+        So a window may be left at any token with which another window begins.
+        """
+        out, at, size = [], 0, WINDOW
+        tokens = self.model.tokenize(text[:size])
+        while at + size < len(text):
+            # The last token closes the piece, which the text does not do here.
+            for k in range(len(tokens) - 2, len(tokens) // 2, -(len(tokens) // 16 + 1)):
+                start = at + sum(len(t.value) for t in tokens[:k])
+                after = self.model.tokenize(text[start : start + WINDOW])
+                if len(after) > 1 and after[0].id == tokens[k].id:
+                    out.append(_packed([t.id for t in tokens[:k]]))
+                    at, size, tokens = start, WINDOW, after
+                    break
+            else:
+                size *= 2
+                tokens = self.model.tokenize(text[at : at + size])
+        return b"".join([*out, _packed([t.id for t in tokens])])
+
     def _word(self, word: str) -> bytes:
         if not _PLAIN.fullmatch(word) or any(s in word for s in self.special):
             return _packed(self.library.encode(word, add_special_tokens=False).ids)
@@ -122,7 +164,9 @@ class WordEncoder:
             if ids is None:
                 piece = pieces[i]
                 ids = self._merged(piece) if _PIECE.fullmatch(piece) else self._word(piece)
-                out[i] = memory[piece] = ids
+                out[i] = ids
+                if len(piece) <= WINDOW:
+                    memory[piece] = ids
         return out
 
 

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from lendscape.llm import arrow as A
-from lendscape.llm import licenses, secrets
+from lendscape.llm import licenses, secrets, token_counts, wordbpe
 
 MB = 1_000_000
 
@@ -42,3 +42,34 @@ def test_a_long_window_is_searched_in_stretches():
     starts = {x.start for x in found if x.edits == 2}
     assert starts >= {i * (len(notice) + 1) for i in range(2000)}
     assert len(found) == len(set(found))
+
+
+@pytest.fixture(scope="module")
+def machine():
+    return token_counts.machine(token_counts.TOKENIZER)
+
+
+def test_long_pieces_and_words_equal_the_library(machine, monkeypatch, rng):
+    library = wordbpe.encoder(token_counts.TOKENIZER).library
+    monkeypatch.setattr(wordbpe, "WINDOW", 64)
+    odd = ["abc", "don't", "'s", "'", "<|endoftext|>", "<|", "|>", "9", "é", "é", "日本", "。", "，", "中文", "+/=",
+           "İ", "Σ", "̸", "ll", "~", "|", "<", ">", "ﬁ", "　"]
+    texts = ["".join(rng.choices(k, k=rng.randint(40, 900))) for k in ("ab", "acgt", "etaoin", "éa", "Ab1/+", odd) for _ in range(150)]
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert machine.counts(A.texts(pa.array(texts))).tolist() == want
+    assert machine.counts(A.texts(pa.array(texts)), block=37).tolist() == want
+    for text in texts:
+        assert "".join(wordbpe.word_parts(text)) == text
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/"])
+def test_tokens_of_a_long_text_without_blanks(machine, rng, letters):
+    text = A.texts(pa.array(["".join(rng.choices(letters, k=4 * MB))]))
+    assert seconds(machine.counts, text) < 40
+
+
+def test_open_words_are_not_copied_by_every_block(machine):
+    maps = machine.state_maps([b"a" * 1000] * 1000)
+    whole = machine.total(maps)
+    assert whole.tail is None and sum(map(len, whole.head)) == 1_000_000
+    assert all(part is maps[i].head[0] for i, part in enumerate(whole.head))
