@@ -8,11 +8,13 @@ the short ones.
 
 1. Shingles are counted (in 32-bit classes, so a count is never too low). Those of at least
    ``LONG`` documents are long lists; at most ``MOST_LONG`` of the most frequent are remembered,
-   which decides an order of shingles, never a result.
+   which decides an order of shingles, never a result. Tasks count before they send, so a shingle
+   of every document is one number of each task.
 2. Each document puts its first n - T(n) + 1 shingles, short lists first, into inverted lists;
    the rest are the L lists left out. Equal sets are put there once.
-3. Short lists have fewer than ``LONG`` entries. Each document's short lists are merged by a heap
-   and partners occurring at least T - L times are kept.
+3. Each document's short lists are merged by a heap and partners occurring at least T - L times
+   are kept. A list of ``LONG`` or more entries that was not remembered goes to step 4, where
+   any pair that it holds is a candidate; so no list is expanded into more than LONG**2 / 2 pairs.
 4. Long lists are not expanded into pairs. First each entry meets the one with most long lists;
    after linked documents have been joined, a list whose entries all lie in one component needs
    nothing more, and of any other list only entries outside its largest component meet those
@@ -122,7 +124,8 @@ def _class32(sets: np.ndarray) -> np.ndarray:
 def long_lists(texts: DataFrame, parts: int, long: int, most: int) -> np.ndarray:
     """Sorted 32-bit classes of the most frequent shingles (at least ``long`` documents).
 
-    Tasks send each range of classes as sorted differences, two bytes each where they fit.
+    Tasks send each range of classes as sorted differences, two bytes each where they fit, and
+    the counts of classes that they met more than once.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,15 +133,9 @@ def long_lists(texts: DataFrame, parts: int, long: int, most: int) -> np.ndarray
         size = 0
 
         def flush() -> pa.RecordBatch:
-            sorted_ = np.sort(np.concatenate(held))
-            edges = np.searchsorted(sorted_, [(i << 32) // parts for i in range(1, parts)])
-            pieces = np.split(sorted_, edges)
-            blobs = []
-            for piece in pieces:
-                steps = np.diff(piece, prepend=np.uint32(0))
-                tail = steps[1:]
-                kind = "<u2" if len(tail) and tail.max() < 65536 else "<u4"
-                blobs.append(kind[2:].encode() + steps[:1].astype("<u4").tobytes() + tail.astype(kind).tobytes())
+            values, counts = _counted(np.sort(np.concatenate(held)))
+            edges = np.searchsorted(values, [(i << 32) // parts for i in range(1, parts)])
+            blobs = [_counts_blob(v, n) for v, n in zip(np.split(values, edges), np.split(counts, edges))]
             return pa.RecordBatch.from_pydict({"part": pa.array(range(parts), pa.int32()), "blob": blobs})
 
         for batch in batches:
@@ -153,14 +150,13 @@ def long_lists(texts: DataFrame, parts: int, long: int, most: int) -> np.ndarray
         if size:
             yield flush()
 
-    def classes(blob: bytes) -> np.ndarray:
-        first = np.frombuffer(blob[1:5], "<u4")
-        rest = np.frombuffer(blob[5:], f"<u{blob[:1].decode()}").astype(np.uint32)
-        return np.cumsum(np.concatenate([first, rest]), dtype=np.uint32)
-
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs in _by_part(batches):
-            values, counts = _counted(np.sort(np.concatenate(list(map(classes, blobs)))))
+            values, counts = zip(*map(_counts, blobs))
+            values, counts = np.concatenate(values), np.concatenate(counts)
+            order = np.argsort(values, kind="stable")
+            at = _first_of(values[order])
+            values, counts = values[order][at], np.add.reduceat(counts[order], at, dtype=np.int64)
             keep = counts >= long
             if keep.any():
                 yield pa.RecordBatch.from_pydict(
@@ -178,14 +174,41 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
     held: dict[int, list[bytes]] = {}
     for batch in batches:
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist()):
-            if len(blob) > 1:
+            if blob:
                 held.setdefault(part, []).append(blob)
     while held:
         yield held.popitem()[1]
 
 
+def _counts_blob(values: np.ndarray, counts: np.ndarray) -> bytes | None:
+    """Sorted distinct values as differences, and the counts other than one."""
+    if not len(values):
+        return None
+    steps = np.diff(values, prepend=np.uint32(0))
+    wide = "<u2" if steps[1:].max(initial=0) < 65536 else "<u4"
+    more = np.flatnonzero(counts > 1)
+    head = np.array([len(values), int(wide[2]), len(more), values[0]], "<u4").tobytes()
+    return head + more.astype("<u4").tobytes() + counts[more].astype("<u4").tobytes() + steps[1:].astype(wide).tobytes()
+
+
+def _counts(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, wide, more, first = np.frombuffer(blob[:16], "<u4").tolist()
+    at = 16 + 8 * more
+    where, many = np.frombuffer(blob[16:at], "<u4").reshape(2, more)
+    values = np.empty(n, np.uint32)
+    values[0], values[1:] = first, np.frombuffer(blob[at:], f"<u{wide}")
+    counts = np.ones(n, np.uint32)
+    counts[where] = many
+    return np.cumsum(values, dtype=np.uint32), counts
+
+
+def _first_of(sorted_: np.ndarray) -> np.ndarray:
+    """Where each distinct value begins."""
+    return np.flatnonzero(np.append(len(sorted_) > 0, sorted_[1:] != sorted_[:-1]))
+
+
 def _counted(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    at = _first_of(sorted_)
     return sorted_[at], np.diff(np.append(at, len(sorted_)))
 
 
@@ -325,16 +348,20 @@ def _shared(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return token[keep], np.concatenate(tables, axis=1)[:, owner[keep]]
 
 
-def _pairs_of_lists(token: np.ndarray, entry: np.ndarray) -> Iterator[np.ndarray]:
-    """Columns (larger id, size, long, smaller id, size, long) of pairs that share a list."""
+def _distinct_entries(token: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists ascending by size, of equal sets in a list the smallest id."""
     order = np.lexsort((entry[0], entry[1], entry[2], token))
     token, entry = token[order], entry[:, order]
-    keep = np.ones(len(token), bool)  # of equal sets in a list, the smallest id
+    keep = np.ones(len(token), bool)
     keep[1:] = (token[1:] != token[:-1]) | (entry[2, 1:] != entry[2, :-1]) | (entry[1, 1:] != entry[1, :-1])
     token, entry = token[keep], entry[:, keep]
     order = np.lexsort((entry[0], entry[1], token))
-    token, entry = token[order], entry[:, order]
-    at = np.flatnonzero(np.append(len(token) > 0, token[1:] != token[:-1]))
+    return token[order], entry[:, order]
+
+
+def _pairs_of_lists(token: np.ndarray, entry: np.ndarray) -> Iterator[np.ndarray]:
+    """Columns (larger id, size, long, smaller id, size, long) of pairs that share a list."""
+    at = _first_of(token)
     sizes = np.diff(np.append(at, len(token)))
     for k in np.unique(sizes[sizes > 1]):
         starts = at[sizes == k]
@@ -356,18 +383,31 @@ def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return pair[:, at], np.add.reduceat(count, at)
 
 
-_LISTS = "r long, n long, n_long long, partners binary"
+_LISTS = "r long, n long, n_long long, partners binary, token long"
+_FOUND = pa.schema([(c, pa.int64()) for c in ("r", "s", "c", "n", "token")])
 
 
-def partner_lists(short: DataFrame, parts: int) -> DataFrame:
-    """Per range of shingles and document: its partners on short lists, sorted, with counts."""
+def partner_lists(short: DataFrame, parts: int, long: int) -> DataFrame:
+    """Per range of shingles and document: its partners on short lists, sorted, with counts.
+
+    Of lists with ``long`` or more entries, a row per entry with the list's token instead.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs in _by_part(batches):
             yield from lists(blobs)
 
     def lists(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        token, entry = _shared(blobs)
+        token, entry = _distinct_entries(*_shared(blobs))
+        at = _first_of(token)
+        sizes = np.diff(np.append(at, len(token)))
+        big = np.repeat(sizes >= long, sizes)
+        for i in range(0, int(big.sum()), 100_000):
+            some = np.flatnonzero(big)[i : i + 100_000]
+            columns = dict(zip(("r", "n", "n_long"), map(pa.array, entry[[0, 1, 3]][:, some])))
+            listed = pa.array(token[some].astype(np.int64))
+            yield pa.RecordBatch.from_pydict(columns | {"partners": pa.nulls(len(some), pa.binary()), "token": listed})
+        token, entry = token[~big], entry[:, ~big]
         pairs, counts, held = [], [], 0
         for pair in _pairs_of_lists(token, entry):
             pairs.append(pair)
@@ -390,6 +430,7 @@ def partner_lists(short: DataFrame, parts: int) -> DataFrame:
                     "n": pa.array(pair[1, some]),
                     "n_long": pa.array(pair[2, some]),
                     "partners": pa.array([packed[a:b].tobytes() for a, b in zip(some, stops)], pa.binary()),
+                    "token": pa.nulls(len(some), pa.int64()),
                 }
             )
 
@@ -403,24 +444,30 @@ def heap_merge(lists: list[list[tuple]]) -> Iterator[tuple[int, int, int, int]]:
 
 
 def merged(lists: DataFrame, parts: int) -> DataFrame:
-    """Candidates (r, s, c): partners occurring on enough short lists, c times."""
+    """Candidates (r, s, c): partners occurring on enough short lists, c times.
+
+    Entries (r, n, token) of lists that are not expanded go through.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (
             row
             for batch in batches
-            for row in zip(*[batch.column(c).to_pylist() for c in ("r", "n", "n_long", "partners")])
+            for row in zip(*[batch.column(c).to_pylist() for c in ("r", "n", "n_long", "partners", "token")])
         )
         out: list[tuple] = []
         for (r, n, n_long), same in groupby(rows, key=lambda x: x[:3]):
-            parted = [
-                [tuple(x) for x in np.frombuffer(row[3], "<i8").reshape(-1, 4).tolist()] for row in same
-            ]
+            parted = []
+            for *_, partners, token in same:
+                if partners is None:
+                    out.append((r, None, None, n, token))
+                else:
+                    parted.append([tuple(x) for x in np.frombuffer(partners, "<i8").reshape(-1, 4).tolist()])
             left_out = n - prefix_length(n)
             for s, m, m_long, c in heap_merge(parted):
                 needed = least_overlap(n, m) - max(left_out, m - prefix_length(m)) - min(n_long, m_long)
                 if c >= needed:
-                    out.append((r, s, c))
+                    out.append((r, s, c, n, None))
             if len(out) >= 10_000:
                 yield _candidates(out)
                 out = []
@@ -428,11 +475,11 @@ def merged(lists: DataFrame, parts: int) -> DataFrame:
             yield _candidates(out)
 
     placed = lists.repartition(parts, "r").sortWithinPartitions("r", "n", "n_long")
-    return A.reachable(placed).mapInArrow(run, "r long, s long, c long")
+    return A.reachable(placed).mapInArrow(run, "r long, s long, c long, n long, token long")
 
 
 def _candidates(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({c: pa.array(x, pa.int64()) for c, x in zip("rsc", zip(*rows))})
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], schema=_FOUND)
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -510,12 +557,18 @@ def similar_sets(
     index = A.staged(inverted(texts, long_lists(texts, parts, long, most_long), parts), "inverted")
 
     short = index.filter((F.col("kind") == SHORT) & F.col("blob").isNotNull()).select("part", "blob")
-    by_short = A.staged(merged(partner_lists(short, parts), parts), "candidates")
+    found = A.staged(merged(partner_lists(short, parts, long), parts), "candidates")
+    by_short = found.filter("token IS NULL").select("r", "s", "c")
+    # All of an entry counts as standing on the list, so that only sizes decide on its pairs.
+    unremembered = found.filter("token IS NOT NULL").select(
+        "token", F.col("r").alias("doc_id"), "n", F.col("n").alias("h"), F.lit(0).cast("long").alias("place")
+    )
     entry = A.staged(
         index.filter(F.col("kind") == LONG_ENTRY)
         .groupBy("token", "k1", "n")
         .agg(F.min("doc_id").alias("doc_id"), F.min("n_long").alias("h"), F.min("place").alias("place"))
-        .select("token", "doc_id", "n", "h", "place"),
+        .select("token", "doc_id", "n", "h", "place")
+        .unionByName(unremembered),
         "long_entries",
     )
 

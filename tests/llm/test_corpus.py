@@ -76,7 +76,7 @@ def copies(spark):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"long": 4}, {"long": 4, "most_long": 20}])
+@pytest.mark.parametrize("options", [{}, {"long": 4}, {"long": 4, "most_long": 20}, {"long": 4, "most_long": 0}])
 def test_similar_sets(spark, copies, options):
     docs = spark.createDataFrame(copies, "doc_id long, text string").repartition(5)
     assert ordered(ngram_join.similar_sets(docs, **options).collect()) == plain_groups(copies)
@@ -91,6 +91,27 @@ def test_similar_sets_of_the_test_table_and_odd_rows(spark, clashing, none):
     assert ngram_join.similar_sets(none).count() == 0
 
 
+def test_a_long_list_that_is_not_remembered(spark):
+    """Boilerplate that no task may expand into pairs hides no link."""
+    # A near pair at the far end, and enough words of its own to keep any other two apart.
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(k, f"all of them begin with this line {own(k)}") for k in range(1_000)]
+    rows += [(1_000, rows[-1][1] + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(map(tuple, ngram_join.similar_sets(docs, most_long=0).select("doc_id", "component_id").collect()))
+    assert got == {k: k for k in range(1_000)} | {1_000: 999}
+
+
+def test_counts_of_shingles_round_trip(rng):
+    import numpy as np
+
+    for values in ([5], [0, 1 << 31, (1 << 32) - 1], sorted(rng.sample(range(1 << 32), 500)), list(range(9))):
+        values = np.array(values, np.uint32)
+        counts = np.array([rng.choice([1, 1, 2, 70_000]) for _ in values])
+        got = ngram_join._counts(ngram_join._counts_blob(values, counts))
+        assert [x.tolist() for x in got] == [values.tolist(), counts.tolist()]
+
+
 def test_overlap_bounds():
     for n in range(1, 60):
         for m in range(1, 60):
