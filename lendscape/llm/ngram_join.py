@@ -14,7 +14,7 @@ the short ones.
    the rest are the L lists left out. Equal sets are put there once.
 3. Each document's short lists are merged by a heap and partners occurring at least T - L times
    are kept. A list of ``LONG`` or more entries that was not remembered goes to step 4, where
-   any pair that it holds is a candidate; so no list is expanded into more than LONG**2 / 2 pairs.
+   any pair that it holds is a candidate; so this step expands no list into more than LONG**2 / 2.
 4. Long lists are not expanded into pairs. First each entry meets the one with most long lists;
    after linked documents have been joined, a list whose entries all lie in one component needs
    nothing more, and of any other list only entries outside its largest component meet those
