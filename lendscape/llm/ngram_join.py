@@ -13,8 +13,10 @@ the short ones.
 2. Each document puts its first n - T(n) + 1 shingles, short lists first, into inverted lists;
    the rest are the L lists left out. Equal sets are put there once.
 3. Each document's short lists are merged by a heap and partners occurring at least T - L times
-   are kept. A list of ``LONG`` or more entries that was not remembered goes to step 4, where
-   any pair that it holds is a candidate; so this step expands no list into more than LONG**2 / 2.
+   are kept. No list is expanded into more than LONG**2 / 2 pairs: the documents of a list of
+   ``LONG`` or more entries that was not remembered are crowded. They are searched among
+   themselves once more, their shingles counted exactly and ordered by count, so that a list
+   enters a prefix only after all rarer shingles of the document; its long lists join step 4.
 4. Long lists are not expanded into pairs. First each entry meets the one with most long lists;
    after linked documents have been joined, a list whose entries all lie in one component needs
    nothing more, and of any other list only entries outside its largest component meet those
@@ -39,7 +41,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendscape.llm import arrow as A
@@ -383,14 +385,14 @@ def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return pair[:, at], np.add.reduceat(count, at)
 
 
-_LISTS = "r long, n long, n_long long, partners binary, token long"
-_FOUND = pa.schema([(c, pa.int64()) for c in ("r", "s", "c", "n", "token")])
+_LISTS = "r long, n long, n_long long, partners binary"
+_FOUND = pa.schema([(c, pa.int64()) for c in ("r", "s", "c")])
 
 
 def partner_lists(short: DataFrame, parts: int, long: int) -> DataFrame:
     """Per range of shingles and document: its partners on short lists, sorted, with counts.
 
-    Of lists with ``long`` or more entries, a row per entry with the list's token instead.
+    For a document on a list of ``long`` or more entries, a row without partners besides.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,11 +404,13 @@ def partner_lists(short: DataFrame, parts: int, long: int) -> DataFrame:
         at = _first_of(token)
         sizes = np.diff(np.append(at, len(token)))
         big = np.repeat(sizes >= long, sizes)
-        for i in range(0, int(big.sum()), 100_000):
-            some = np.flatnonzero(big)[i : i + 100_000]
-            columns = dict(zip(("r", "n", "n_long"), map(pa.array, entry[[0, 1, 3]][:, some])))
-            listed = pa.array(token[some].astype(np.int64))
-            yield pa.RecordBatch.from_pydict(columns | {"partners": pa.nulls(len(some), pa.binary()), "token": listed})
+        crowded = np.unique(entry[0, big])
+        for i in range(0, len(crowded), 100_000):
+            some = crowded[i : i + 100_000]
+            zero = pa.array(np.zeros(len(some), np.int64))
+            yield pa.RecordBatch.from_pydict(
+                {"r": pa.array(some), "n": zero, "n_long": zero, "partners": pa.nulls(len(some), pa.binary())}
+            )
         token, entry = token[~big], entry[:, ~big]
         pairs, counts, held = [], [], 0
         for pair in _pairs_of_lists(token, entry):
@@ -430,7 +434,6 @@ def partner_lists(short: DataFrame, parts: int, long: int) -> DataFrame:
                     "n": pa.array(pair[1, some]),
                     "n_long": pa.array(pair[2, some]),
                     "partners": pa.array([packed[a:b].tobytes() for a, b in zip(some, stops)], pa.binary()),
-                    "token": pa.nulls(len(some), pa.int64()),
                 }
             )
 
@@ -446,28 +449,28 @@ def heap_merge(lists: list[list[tuple]]) -> Iterator[tuple[int, int, int, int]]:
 def merged(lists: DataFrame, parts: int) -> DataFrame:
     """Candidates (r, s, c): partners occurring on enough short lists, c times.
 
-    Entries (r, n, token) of lists that are not expanded go through.
+    Documents on lists that are not expanded go through, with s NULL.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (
             row
             for batch in batches
-            for row in zip(*[batch.column(c).to_pylist() for c in ("r", "n", "n_long", "partners", "token")])
+            for row in zip(*[batch.column(c).to_pylist() for c in ("r", "n", "n_long", "partners")])
         )
         out: list[tuple] = []
         for (r, n, n_long), same in groupby(rows, key=lambda x: x[:3]):
             parted = []
-            for *_, partners, token in same:
+            for *_, partners in same:
                 if partners is None:
-                    out.append((r, None, None, n, token))
+                    out.append((r, None, None))
                 else:
                     parted.append([tuple(x) for x in np.frombuffer(partners, "<i8").reshape(-1, 4).tolist()])
             left_out = n - prefix_length(n)
             for s, m, m_long, c in heap_merge(parted):
                 needed = least_overlap(n, m) - max(left_out, m - prefix_length(m)) - min(n_long, m_long)
                 if c >= needed:
-                    out.append((r, s, c, n, None))
+                    out.append((r, s, c))
             if len(out) >= 10_000:
                 yield _candidates(out)
                 out = []
@@ -475,13 +478,76 @@ def merged(lists: DataFrame, parts: int) -> DataFrame:
             yield _candidates(out)
 
     placed = lists.repartition(parts, "r").sortWithinPartitions("r", "n", "n_long")
-    return A.reachable(placed).mapInArrow(run, "r long, s long, c long, n long, token long")
+    return A.reachable(placed).mapInArrow(run, "r long, s long, c long")
 
 
 def _candidates(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], schema=_FOUND)
 
 
+def by_count(texts: DataFrame, long: int) -> tuple[DataFrame, DataFrame]:
+    """The search among documents with their shingles ordered by exact count, then by hash.
+
+    Returns candidates (r, s, c) that occur on enough lists of fewer than ``long`` documents, and
+    the entries of the longer lists (token, doc_id, n, h, place). Counts come from a shuffle of
+    the shingles of these documents, so nothing about them has to be remembered in one place.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            array = A.texts(batch.column("_text"))
+            for a, b in A.slices(array):
+                sets, first = shingles(array.slice(a, b - a))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": batch.column("_id").slice(a, b - a),
+                        "n": pa.array(np.diff(first)),
+                        "k1": pa.array(set_key(sets, first)[0]),
+                        "tokens": pa.ListArray.from_arrays(
+                            pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64))
+                        ),
+                    }
+                )
+
+    rows = A.reachable(texts.distinct()).mapInArrow(run, "doc_id long, n long, k1 long, tokens array<long>")
+    each = A.staged(rows, "crowded_sets").select("doc_id", "n", "k1", F.explode("tokens").alias("token"))
+    # A shingle of one document only stands first in its order and on no list.
+    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("_count")).filter("_count > 1")
+    own = Window.partitionBy("doc_id", "n", "k1")
+    at = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("_count", "token"))
+    length = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1
+    prefix = (
+        each.join(counts, "token")
+        .withColumn("_from_here", length - at + 1)
+        .filter("_from_here > 0")
+        .withColumn("h", F.count_if(F.col("_count") >= long).over(own))
+        .groupBy("token", "n", "k1", "h", "_count", "_from_here")
+        .agg(F.min("doc_id").alias("doc_id"))
+    )
+    prefix = A.staged(prefix, "crowded_prefixes")
+    entries = prefix.filter(F.col("_count") >= long).select(
+        F.xxhash64("token", F.lit("by count")).alias("token"),  # not a list of the other order
+        "doc_id",
+        "n",
+        "h",
+        (F.col("h") - F.col("_from_here")).alias("place"),
+    )
+    short = prefix.filter(F.col("_count") < long).select("token", "doc_id", "n", "k1", "h")
+    left, right = (short.select("token", *[F.col(c).alias(f"{c}_{x}") for c in short.columns[1:]]) for x in "rs")
+    out = [F.ceil(F.col(f"n_{x}") * SIMILAR / 100) - 1 for x in "rs"]
+    needed = F.ceil((F.col("n_r") + F.col("n_s")) * SIMILAR / (100 + SIMILAR)) - F.greatest(*out) - F.least("h_r", "h_s")
+    close = 100 * F.least("n_r", "n_s") >= SIMILAR * F.greatest("n_r", "n_s")
+    pairs = (
+        left.join(right, "token")
+        .filter((F.col("doc_id_r") < F.col("doc_id_s")) & close)
+        .groupBy(*[f"{c}_{x}" for c in ("doc_id", "n", "k1", "h") for x in "rs"])
+        .agg(F.count(F.lit(1)).alias("c"))
+        .filter(F.col("c") >= needed)
+        .select(F.col("doc_id_r").alias("r"), F.col("doc_id_s").alias("s"), "c")
+    )
+    return pairs, entries
+
+
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the candidate pairs (r, s), those that are linked, as edges (a, b).
 
@@ -558,19 +624,19 @@ def similar_sets(
 
     short = index.filter((F.col("kind") == SHORT) & F.col("blob").isNotNull()).select("part", "blob")
     found = A.staged(merged(partner_lists(short, parts, long), parts), "candidates")
-    by_short = found.filter("token IS NULL").select("r", "s", "c")
-    # All of an entry counts as standing on the list, so that only sizes decide on its pairs.
-    unremembered = found.filter("token IS NOT NULL").select(
-        "token", F.col("r").alias("doc_id"), "n", F.col("n").alias("h"), F.lit(0).cast("long").alias("place")
-    )
-    entry = A.staged(
+    by_short = found.filter("s IS NOT NULL")
+    entry = (
         index.filter(F.col("kind") == LONG_ENTRY)
         .groupBy("token", "k1", "n")
         .agg(F.min("doc_id").alias("doc_id"), F.min("n_long").alias("h"), F.min("place").alias("place"))
         .select("token", "doc_id", "n", "h", "place")
-        .unionByName(unremembered),
-        "long_entries",
     )
+    crowded = found.filter("s IS NULL").select(F.col("r").alias("_id")).distinct()
+    if not crowded.isEmpty():
+        pairs, entries = by_count(texts.join(crowded, "_id", "left_semi"), long)
+        by_short = by_short.unionByName(A.staged(pairs, "crowded_candidates"))
+        entry = entry.unionByName(entries)
+    entry = A.staged(entry, "long_entries")
 
     # First round: everyone's likeliest partner.
     # On a long list, whoever has most long lists is most like the others.

@@ -23,14 +23,18 @@ def ordered(rows):
     return sorted(map(tuple, rows), key=repr)
 
 
+def plain_shingles(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    n = len(words)
+    return {tuple(words[k : k + 5]) for k in range(n - 4)} if n >= 5 else {tuple(words)} if n else set()
+
+
 def plain_groups(rows):
     """(id, set size, smallest linked id) by comparing every pair that shares a shingle."""
     sets = []
     for i, text in rows:
-        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
-        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
-        n = len(words)
-        sets.append((i, {tuple(words[k : k + 5]) for k in range(n - 4)} if n >= 5 else {tuple(words)} if n else set()))
+        sets.append((i, plain_shingles(text)))
     parent = {i: i for i, _ in sets if i is not None}
 
     def root(x):
@@ -95,11 +99,39 @@ def test_a_long_list_that_is_not_remembered(spark):
     """Boilerplate that no task may expand into pairs hides no link."""
     # A near pair at the far end, and enough words of its own to keep any other two apart.
     own = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
-    rows = [(k, f"all of them begin with this line {own(k)}") for k in range(1_000)]
-    rows += [(1_000, rows[-1][1] + " end")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows = [(k, f"all of them begin with this line {own(k)}") for k in range(20_000)]
+    rows += [(20_000, rows[-1][1] + " end"), (20_001, rows[7][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     got = dict(map(tuple, ngram_join.similar_sets(docs, most_long=0).select("doc_id", "component_id").collect()))
-    assert got == {k: k for k in range(1_000)} | {1_000: 999}
+    assert got == {k: k for k in range(20_000)} | {20_000: 19_999, 20_001: 7}
+
+
+def test_search_by_exact_counts(spark, copies):
+    """Candidates and long lists hold every link, and a line that all share is on no list."""
+    rows = list({(i, t) for i, t in copies if i is not None and t and t.split()})
+    texts = spark.createDataFrame(rows, "_id long, _text string")
+    pairs, entries = ngram_join.by_count(texts, 4)
+    lists = {}
+    for e in entries.collect():
+        assert 0 <= e.place < e.h
+        lists.setdefault(e.token, set()).add(e.doc_id)
+    met = {tuple(sorted((p.r, p.s))) for p in pairs.collect()}
+    met |= {(a, b) for members in lists.values() for a in members for b in members if a < b}
+    smallest = {}
+    for i, s in sorted(((i, frozenset(plain_shingles(t))) for i, t in rows), key=lambda x: x[0]):
+        smallest.setdefault(s, i)
+    distinct = [(i, s) for s, i in smallest.items()]
+    links = {
+        tuple(sorted((a, b)))
+        for k, (a, s) in enumerate(distinct)
+        for b, t in distinct[:k]
+        if a != b and 100 * len(s & t) >= 80 * len(s | t)
+    }
+    assert len(links) > 100 and links <= met
+
+    own = [(k, "one line that all share " + " ".join(f"w{k}x{j}" for j in range(30))) for k in range(200)]
+    pairs, entries = ngram_join.by_count(spark.createDataFrame(own, "_id long, _text string"), 4)
+    assert pairs.isEmpty() and entries.isEmpty()
 
 
 def test_counts_of_shingles_round_trip(rng):
