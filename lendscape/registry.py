@@ -383,22 +383,51 @@ def stored_upsert_backdated(spark, sf):
     return store.read_keyed(spark, root, ["o_orderkey"])
 
 
+def _dearer_first(orders):
+    """The order with the smallest key, at a higher price."""
+    one = orders.join(orders.agg(F.min("o_orderkey").alias("o_orderkey")), "o_orderkey")
+    return one.withColumn("o_totalprice", F.col("o_totalprice") + 100)
+
+
 @query(
     """
     WITH changed AS (SELECT min(o_orderkey) AS k FROM orders)
-    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey = k THEN 100 ELSE 0 END AS o_totalprice
+    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey = k THEN 100 ELSE 0 END AS o_totalprice,
+           cast(7 AS bigint) AS files_kept, cast(1 AS bigint) AS files_written
     FROM orders, changed
     """
 )
 def stored_upsert_buckets(spark, sf):
+    """A second day with one key: seven of eight buckets keep their files."""
+    root = f"{store.scratch(spark)}/orders"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    store.merge_buckets(spark, root, orders, ["o_orderkey"], 8)
+    before = set(store.read_buckets(spark, root, orders.schema).inputFiles())
+    store.merge_buckets(spark, root, _dearer_first(orders), ["o_orderkey"], 8)
+    state = store.read_buckets(spark, root, orders.schema)
+    after = set(state.inputFiles())
+    return state.withColumns(
+        {
+            "files_kept": F.lit(len(before & after)).cast("long"),
+            "files_written": F.lit(len(after - before)).cast("long"),
+        }
+    )
+
+
+@query(
+    """
+    WITH changed AS (SELECT min(o_orderkey) AS k FROM orders)
+    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey = k THEN 100 ELSE 0 END AS o_totalprice
+    FROM orders, changed
+    """
+)
+def stored_upsert_folded(spark, sf):
     """A folded base, and a second day with one key read over it."""
     root = f"{store.scratch(spark)}/orders"
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     store.publish_upsert(spark, root, orders, ["o_orderkey"], "2026-05-12")
     store.fold(spark, root, ["o_orderkey"], "2026-05-12")
-    one = orders.join(orders.agg(F.min("o_orderkey").alias("o_orderkey")), "o_orderkey")
-    dearer = one.withColumn("o_totalprice", F.col("o_totalprice") + 100)
-    store.publish_upsert(spark, root, dearer, ["o_orderkey"], "2026-05-13")
+    store.publish_upsert(spark, root, _dearer_first(orders), ["o_orderkey"], "2026-05-13")
     return store.read_keyed(spark, root, ["o_orderkey"])
 
 

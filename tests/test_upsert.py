@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lendscape.operators.upsert import upsert
+from lendscape.registry import QUERIES
 from lendscape.sources import store
 
 SCHEMA = "k long, v string"
@@ -175,3 +176,62 @@ def test_split_runs(spark, tmp_path):
     assert write((4, "good")) == {"good": 1, "bad": 0}
     got = store.read_runs(spark, root, "day", [DAYS[0]])
     assert [(r.k, r.v) for r in got.collect()] == [(4, "good")]
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_query_tells_how_many_buckets_a_second_day_rewrote(spark, sf):
+    got = QUERIES["stored_upsert_buckets"].run(spark, sf)
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    assert [tuple(r) for r in got.select("files_kept", "files_written").distinct().collect()] == [(7, 1)]
+    assert got.count() == orders.count()
+
+
+def merge(spark, root, *pairs, buckets=8):
+    store.merge_buckets(spark, root, frame(spark, list(pairs)), ["k"], buckets)
+
+
+def buckets_read(spark, root):
+    return rows(store.read_buckets(spark, root, frame(spark, []).schema))
+
+
+def test_a_merge_rewrites_only_its_own_buckets(spark, tmp_path):
+    root, files = str(tmp_path / "t"), lambda: set((tmp_path / "t").rglob("*.parquet"))
+    merge(spark, root, *[(k, "a") for k in range(60)])
+    before = files()
+    assert len(before) == 8
+    merge(spark, root, (7, "b"))
+    (new,), (gone,) = files() - before, before - files()
+    assert new.parent == gone.parent
+    assert buckets_read(spark, root) == sorted(((k, "b" if k == 7 else "a") for k in range(60)), key=str)
+
+
+def test_merged_buckets_hold_the_state_of_any_days(spark, tmp_path):
+    rng = random.Random(5)
+    for buckets in (1, 3, 8):
+        root, want = str(tmp_path / f"t{buckets}"), {}
+        for day in range(4):
+            pairs = [(k, f"{day}/{k}") for k in rng.sample(range(12), 4)]
+            for _ in range(2):
+                merge(spark, root, *pairs, buckets=buckets)
+            want |= dict(pairs)
+            assert dict(buckets_read(spark, root)) == want
+
+
+def test_merged_buckets_on_odd_input(spark, tmp_path):
+    root = str(tmp_path / "t")
+    merge(spark, root)
+    assert buckets_read(spark, root) == []
+    merge(spark, root, (1, "a"), (None, "n"))
+    merge(spark, root, (None, "n"), (2, "b"))
+    want = [(1, "a"), (2, "b"), (None, "n"), (None, "n")]
+    assert buckets_read(spark, root) == want
+    broken = frame(spark, [(1, "x")]).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(PySparkException, match="lost"):
+        store.merge_buckets(spark, root, broken, ["k"], 8)
+    with pytest.raises(PySparkException, match="repeats a key"):
+        merge(spark, root, (2, "x"), (2, "y"))
+    with pytest.raises(PySparkException):
+        store.merge_buckets(spark, root, frame(spark, [(1, "x")]).drop("v"), ["k"], 8)
+    with pytest.raises(ValueError, match="4 buckets"):
+        merge(spark, root, (1, "x"), buckets=4)
+    assert buckets_read(spark, root) == want
